@@ -1,0 +1 @@
+"""Whole jobs: the daily move plan, training data, model studies, and the registered queries."""

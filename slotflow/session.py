@@ -31,9 +31,10 @@ def local_session(cpus: int | str = 8, name: str = "slotflow", memory: str = "12
         .appName(name)
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", memory)
-        .config("spark.driver.bindAddress", "127.0.0.1")
+        .config("spark.driver.host", "127.0.0.1")
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     spark = configure(builder.getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")

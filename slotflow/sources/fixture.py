@@ -17,6 +17,17 @@ from slotflow.sources.tables import load
 AS_OF = date(1998, 7, 1)
 CREATED_AT = datetime(1998, 6, 30, 17, 15)
 
+SCHEMAS = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz,"
+    " o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double,"
+    " l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string,"
+    " l_shipdate timestamp_ntz",
+}
+
 
 def pid(key: str) -> Column:
     return F.lpad(F.col(key).cast("string"), 8, "0")
@@ -33,7 +44,7 @@ class Fixture:
         self.spark, self.folder = configure(spark), folder
 
     def table(self, name: str) -> DataFrame:
-        return load(self.spark, self.folder, name)
+        return load(self.spark, self.folder, name, SCHEMAS[name])
 
     # Orders: the live system holds the last twelve days, the archive what is older than ten.
 

@@ -11,9 +11,10 @@ from slotflow.functions.columns import within
 ORDER_TELEGRAM = "ORH"  # fixed value
 
 
-def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A Parquet table of ``folder``, lazily."""
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+def load(spark: SparkSession, folder: str, name: str, schema: str | None = None) -> DataFrame:
+    """A Parquet table of ``folder``, lazily. A given ``schema`` spares the look into the files."""
+    reader = spark.read.schema(schema) if schema else spark.read
+    return reader.parquet(f"{folder}/{name}.parquet")
 
 
 def load_jdbc(
