@@ -7,17 +7,19 @@ from datetime import date, timedelta
 
 from pyspark.sql import Column, functions as F
 
-NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+NUMBER_CHARACTERS = "0123456789+-.eE \t\n"
 
 
 def to_number(text: Column) -> Column:
     """Decimal text, blanks around it allowed, as double; anything else is NULL."""
-    return F.when(text.rlike(NUMBER), F.trim(text).try_cast("double"))
+    plain = F.translate(text, NUMBER_CHARACTERS, "") == ""
+    return F.when(plain, F.trim(text).try_cast("double"))
 
 
 def without_first(text: Column, mark: str) -> Column:
-    """``text`` without the first ``mark`` (one plain character)."""
-    return F.regexp_replace(text, f"^([^{mark}]*){mark}", "$1")
+    """``text`` without the first ``mark`` (one character)."""
+    place = F.locate(mark, text)
+    return F.when(place > 0, F.overlay(text, F.lit(""), place, F.lit(1))).otherwise(text)
 
 
 def half_even(value: Column) -> Column:

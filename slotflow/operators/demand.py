@@ -44,31 +44,39 @@ FEATURE_COLUMNS = [
 ]
 
 
-def daily_orders(headers: DataFrame, lines: DataFrame, products: DataFrame, as_of: date, lag: int = 0) -> DataFrame:
-    """[orderdate, order_type, prod_id, orders, units] of replenishment orders in the last 30 days.
+def daily_orders(
+    headers: DataFrame,
+    lines: DataFrame,
+    products: DataFrame,
+    as_of: date,
+    lag: int = 0,
+    days: int = LONGEST,
+    repeated_lines: bool = False,
+) -> DataFrame:
+    """[orderdate, order_type, prod_id, orders, units] of replenishment orders in the last ``days`` days.
 
     A header kept by both systems counts once in ``orders`` and twice in ``units``. Its copies
     are counted before the join, so that lines are not doubled on the way.
+
+    ``repeated_lines`` takes the lines of both systems as they are and drops repeated ones after
+    the join: only lines of recent orders are compared, and the shuffle on the header serves both.
     """
     recent = (
         headers.filter(F.col("order_type") == REPLENISHMENT)
-        .filter(within(F.col("creation_time"), as_of, LONGEST + lag, 1 + lag))
-        .groupBy("id", F.to_date("creation_time").alias("orderdate"), "order_type")
+        .filter(within(F.col("creation_time"), as_of, days + lag, 1 + lag))
+        .groupBy(F.col("id").alias("originator_header_id"), F.to_date("creation_time").alias("orderdate"), "order_type")
         .agg(F.count(F.lit(1)).alias("copies"))
     )
-    # The semi join moves below the distinct of merged lines: older lines go before they are compared,
-    # and the shuffle on the header serves the comparison and the join alike.
-    wanted = recent.select(F.col("id").alias("originator_header_id"))
-    ordered = lines.join(wanted, "originator_header_id", "left_semi").select(
-        F.col("originator_header_id").alias("id"), "item_id", "requested_quantity"
-    )
+    ordered = lines.join(recent, "originator_header_id")
+    if repeated_lines:
+        ordered = ordered.distinct()
     named = products.select(F.col("id").alias("item_id"), F.col("system_product_id").alias("prod_id"))
     return (
-        ordered.join(recent, "id")
+        ordered.select("originator_header_id", "orderdate", "order_type", "copies", "item_id", "requested_quantity")
         .join(named, "item_id")
         .groupBy("orderdate", "order_type", "prod_id")
         .agg(
-            F.count_distinct("id").alias("orders"),
+            F.count_distinct("originator_header_id").alias("orders"),
             F.sum(F.col("requested_quantity") * F.col("copies")).alias("units"),
         )
     )
@@ -80,6 +88,7 @@ def order_features(daily: DataFrame, as_of: date, lag: int = 0) -> DataFrame:
     An average divides by the days of its window, also where some had no order.
     """
     day = F.col("orderdate")
+    daily = daily.filter(within(day, as_of, LONGEST + lag, 1 + lag))
     sums = {
         f"{kind}_{days}": F.sum(F.when(within(day, as_of, days + lag, 1 + lag), F.col(kind)).otherwise(0))
         for days in WINDOWS
@@ -101,24 +110,29 @@ def order_features(daily: DataFrame, as_of: date, lag: int = 0) -> DataFrame:
     )
 
 
+def daily_stock(snapshots: DataFrame, as_of: date, lag: int = 0, days: int = LONGEST) -> DataFrame:
+    """[snap_date, prod_id, units] per day: snapshots in their shortest form."""
+    day = F.col("snap_date")
+    return (
+        snapshots.filter(within(day, as_of, days + lag, 1 + lag))
+        .groupBy(F.to_date(day).alias("snap_date"), "prod_id")
+        .agg(F.sum("units").alias("units"))
+    )
+
+
 def stock_features(snapshots: DataFrame, as_of: date, lag: int = 0, fix_lst7: bool = False) -> DataFrame:
     """[prod_id, avg_stock_lst7/14/30, current_stock] from daily stock snapshots.
 
     Averages divide by the days a product was seen. The 7-day column averages over all 30
     days, as users of the feature know it; ``fix_lst7`` makes it seven.
     """
-    day = F.col("snap_date")
-    daily = (
-        snapshots.filter(within(day, as_of, LONGEST + lag, 1 + lag))
-        .groupBy(F.to_date(day).alias("snap_date"), "prod_id")
-        .agg(F.sum("units").alias("stock"))
-    )
+    day, daily = F.col("snap_date"), daily_stock(snapshots, as_of, lag)
     span = {7: 7 if fix_lst7 else LONGEST, 14: 14, 30: 30}
     averages = [
-        half_up(F.avg(F.when(within(day, as_of, days + lag, 1 + lag), F.col("stock"))), 4).alias(f"avg_stock_lst{name}")
+        half_up(F.avg(F.when(within(day, as_of, days + lag, 1 + lag), F.col("units"))), 4).alias(f"avg_stock_lst{name}")
         for name, days in span.items()
     ]
-    latest = F.when(within(day, as_of, 1 + lag, 1 + lag), F.col("stock")).otherwise(0)
+    latest = F.when(within(day, as_of, 1 + lag, 1 + lag), F.col("units")).otherwise(0)
     return daily.groupBy("prod_id").agg(*averages, F.max(latest).alias("current_stock"))
 
 

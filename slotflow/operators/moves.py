@@ -13,6 +13,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, functions as F
 
 from slotflow.functions.checks import unique
+from slotflow.session import materialize
 
 # Fixed values of a move instruction.
 TARGETS = {"no_demand": "Z-MOVE_ASRS", "surplus": "Z-MOVE_ASRS", "shortfall": "Z-MOVE_OSR", "absent": "Z-MOVE_OSR"}
@@ -45,7 +46,8 @@ def plan_moves(stock: DataFrame, expected: DataFrame) -> DataFrame:
     ``stock`` is read several times: pass a stored table or a materialized frame.
     """
     needed = F.col("exp_demand") - F.when(_in_zone("OSR"), 0).otherwise(F.coalesce("osr_units", F.lit(0)))
-    rows = stock.join(item_positions(stock, expected), "item_number").select(
+    positions = materialize(item_positions(stock, expected))
+    rows = stock.join(positions, "item_number").select(
         *ROW,
         "osr_rows",
         (F.col("osr_units") >= F.col("exp_demand")).alias("covered"),

@@ -47,7 +47,9 @@ def price_lines(messages: DataFrame, trim: bool = False) -> DataFrame:
         text = without_first(F.trim(text) if trim else text, MARK)
         return (to_number(text) if name in NUMERIC else text).alias(name)
 
-    return lines.select(*[field(*spec) for spec in FIELDS]).dropna("any")
+    # Text cut out of a record is never NULL, so only the numbers can be missing.
+    parsed = lines.select(*[field(*spec) for spec in FIELDS])
+    return parsed.filter(" and ".join(f"{name} is not null" for name in NUMERIC))
 
 
 def min_sale_price(lines: DataFrame) -> DataFrame:

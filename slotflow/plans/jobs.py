@@ -47,36 +47,46 @@ def merged_orders(site: Warehouse, dedupe_headers: bool = False) -> tuple[DataFr
     )
 
 
-def orders_by_day(site: Warehouse, as_of: date, lag: int = 0) -> DataFrame:
-    headers, lines = merged_orders(site)
-    return demand.daily_orders(headers, lines, site.products(), as_of, lag)
+def orders_by_day(site: Warehouse, as_of: date, lag: int = 0, days: int = demand.LONGEST) -> DataFrame:
+    """Daily orders of both systems; lines are compared after the join with recent headers."""
+    headers = site.headers_live().unionByName(site.headers_archive())
+    lines = site.lines_live().unionByName(site.lines_archive())
+    return demand.daily_orders(headers, lines, site.products(), as_of, lag, days, repeated_lines=True)
 
 
-def features(site: Warehouse, as_of: date, lag: int = 0, fix_lst7: bool = False) -> DataFrame:
+def _features(site: Warehouse, daily: DataFrame, snapshots: DataFrame, as_of: date, lag: int) -> DataFrame:
+    orders = demand.order_features(daily, as_of, lag)
+    stock = demand.stock_features(snapshots, as_of, lag)
+    return demand.demand_features(site.assortment(), site.dissections(), orders, stock, as_of, lag)
+
+
+def features(site: Warehouse, as_of: date, lag: int = 0) -> DataFrame:
     """Demand features of ``as_of``, or with ``lag=1`` those of the training set."""
-    return demand.demand_features(
-        site.assortment(),
-        site.dissections(),
-        demand.order_features(orders_by_day(site, as_of, lag), as_of, lag),
-        demand.stock_features(site.snapshots(), as_of, lag, fix_lst7),
-        as_of,
-        lag,
-    )
+    return _features(site, orders_by_day(site, as_of, lag), site.snapshots(), as_of, lag)
 
 
 def training_data(site: Warehouse, as_of: date) -> DataFrame:
     """Features of the day before with the units sold that day."""
-    return demand.training_set(features(site, as_of, lag=1), orders_by_day(site, as_of), as_of)
+    daily = materialize(orders_by_day(site, as_of, days=demand.LONGEST + 1))
+    return demand.training_set(_features(site, daily, site.snapshots(), as_of, 1), daily, as_of)
 
 
 def sale_prices(site: Warehouse, as_of: date) -> DataFrame:
+    """Lowest sale price per product in the messages of the day before."""
     return min_sale_price(price_lines(order_messages(site.events(), as_of)))
 
 
 def model_data(site: Warehouse, as_of: date) -> tuple[DataFrame, DataFrame]:
-    """Priced training rows and priced feature rows."""
+    """Priced training rows and priced feature rows.
+
+    Orders, stock and prices shrink to a row per product and day once, for both.
+    """
+    daily = materialize(orders_by_day(site, as_of, days=demand.LONGEST + 1))
+    snapshots = materialize(demand.daily_stock(site.snapshots(), as_of, days=demand.LONGEST + 1))
     prices = materialize(sale_prices(site, as_of))
-    return priced_features(training_data(site, as_of), prices), priced_features(features(site, as_of), prices)
+    train = demand.training_set(_features(site, daily, snapshots, as_of, 1), daily, as_of)
+    today = _features(site, daily, snapshots, as_of, 0)
+    return priced_features(train, prices), priced_features(today, prices)
 
 
 def demand_forecast(site: Warehouse, as_of: date, forecaster: Callable = knn_forecast) -> DataFrame:
