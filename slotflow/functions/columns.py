@@ -7,19 +7,22 @@ from datetime import date, timedelta
 
 from pyspark.sql import Column, functions as F
 
-NUMBER_CHARACTERS = "0123456789+-.eE \t\n"
+OTHER_LETTERS = "[A-DF-Za-df-z]"
 
 
 def to_number(text: Column) -> Column:
-    """Decimal text, blanks around it allowed, as double; anything else is NULL."""
-    plain = F.translate(text, NUMBER_CHARACTERS, "") == ""
-    return F.when(plain, F.trim(text).try_cast("double"))
+    """Decimal text, blanks around it allowed, as double; anything else is NULL.
+
+    Whole numbers, nearly all of them, take the short way. A cast to double also reads
+    words and suffixes (``NaN``, ``1d``), which are no numbers here.
+    """
+    whole = text.try_cast("long").cast("double")
+    return F.coalesce(whole, F.when(~text.rlike(OTHER_LETTERS), text.try_cast("double")))
 
 
 def without_first(text: Column, mark: str) -> Column:
     """``text`` without the first ``mark`` (one character)."""
-    place = F.locate(mark, text)
-    return F.when(place > 0, F.overlay(text, F.lit(""), place, F.lit(1))).otherwise(text)
+    return F.when(text.contains(mark), F.overlay(text, F.lit(""), F.locate(mark, text), F.lit(1))).otherwise(text)
 
 
 def half_even(value: Column) -> Column:

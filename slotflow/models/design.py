@@ -46,13 +46,11 @@ class Design:
 
     def row(self) -> Column:
         """The matrix row as an array of doubles. A missing number stops the job."""
-
-        def present(name: str) -> Column:
-            stop = F.raise_error(F.lit(f"missing value in {name}")).cast("double")
-            return F.coalesce(F.col(name).cast("double"), stop)
-
-        flags = [F.when(F.col(f).cast("string") == level, 1.0).otherwise(0.0) for f, level in self.dummies]
-        return F.array(*[present(n) for n in self.numbers], *flags)
+        cells = [
+            f"coalesce(cast({n} as double), cast(raise_error('missing value in {n}') as double))" for n in self.numbers
+        ]
+        cells += [f"if(cast({f} as string) <=> {_quoted(level)}, 1D, 0D)" for f, level in self.dummies]
+        return F.expr(f"array({', '.join(cells)})")
 
 
 @dataclass(frozen=True)
@@ -62,10 +60,17 @@ class Scale:
     means: tuple[float, ...]
     spreads: tuple[float, ...]
 
-    def apply(self, x: str = "x") -> Column:
-        return F.array(
-            *[(F.col(x)[i] - m) / s if s > 0 else F.lit(0.0) for i, (m, s) in enumerate(zip(self.means, self.spreads))]
-        )
+    def apply(self) -> Column:
+        """``x``, centred and scaled."""
+        cells = [
+            f"(x[{i}] - ({m!r}D)) / {s!r}D" if s > 0 else "0D" for i, (m, s) in enumerate(zip(self.means, self.spreads))
+        ]
+        return F.expr(f"array({', '.join(cells)})")
+
+
+def _quoted(text: str) -> str:
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
 
 
 def _level_order(level: str):
@@ -88,13 +93,16 @@ def fit_design(train: DataFrame, numbers: Sequence[str] = NUMBERS, factors: Sequ
     return Design(tuple(numbers), tuple(dummies))
 
 
+def moments(width: int) -> list[Column]:
+    """Aggregates ``means`` and ``spreads``, sample deviations, of the columns of ``x``."""
+    means = ", ".join(f"avg(x[{i}])" for i in range(width))
+    spreads = ", ".join(f"coalesce(stddev_samp(x[{i}]), 0D)" for i in range(width))
+    return [F.expr(f"array({means})").alias("means"), F.expr(f"array({spreads})").alias("spreads")]
+
+
 def fit_scale(matrix: DataFrame, width: int) -> Scale:
-    """Means and sample deviations of the columns of ``x``, in one pass."""
-    x = F.col("x")
-    row = matrix.agg(
-        F.array(*[F.avg(x[i]) for i in range(width)]).alias("means"),
-        F.array(*[F.coalesce(F.stddev_samp(x[i]), F.lit(0.0)) for i in range(width)]).alias("spreads"),
-    ).first()
+    """Centre and spread of every column, in one pass."""
+    row = matrix.agg(*moments(width)).first()
     return Scale(tuple(row.means), tuple(row.spreads))
 
 

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
 from slotflow.functions.columns import hash_number, key_hash
-from slotflow.models.design import KEY, LABEL, fit_design, prepare
+from slotflow.models.design import KEY, LABEL, fit_design, moments, prepare
 from slotflow.session import materialize
 
 KS = (5, 7, 9)  # fixed values: the candidates for k
@@ -28,7 +28,6 @@ BLOCK_ROWS = 4096
 CHUNK_ROWS = 2048
 MOST_PIVOTS = 1024
 CELLS_AT_ONCE = 2**22  # distances one task holds at a time
-PAIRS_PER_TASK = 5_000_000
 
 FOUND = "problem int, query string, id string, label double, distance double"
 
@@ -47,22 +46,27 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def _nearest(problem: int, queries: pd.DataFrame, ids: np.ndarray, labels: np.ndarray, rows: np.ndarray, k: int):
     """The k nearest of ``rows`` per query; ``ids`` are sorted and decide ties."""
     asked, names = _matrix(queries), queries["id"].to_numpy()
+    lengths, last = (rows**2).sum(axis=1), min(k, len(rows)) - 1
     step = max(1, CELLS_AT_ONCE // max(1, len(rows)))
     for start in range(0, len(asked), step):
-        far = np.round(_distances(asked[start : start + step], rows), DIGITS)
-        last = min(k, len(rows)) - 1
-        limit = np.partition(far, last, axis=1)[:, last]
-        q, t = np.nonzero(far <= limit[:, None])
-        order = np.lexsort((t, far[q, t], q))
-        q, t = q[order], t[order]
-        place = np.arange(len(q)) - np.searchsorted(q, q)
-        q, t = q[place < k], t[place < k]
+        part = asked[start : start + step]
+        # One matrix product finds the candidates, with room for its rounding; only they are measured.
+        own = (part**2).sum(axis=1)
+        squares = own[:, None] + lengths - 2 * part @ rows.T
+        room = 1e-8 * (1 + own + lengths.max())
+        limit = np.partition(squares, last, axis=1)[:, last] + room
+        q, t = np.nonzero(squares <= limit[:, None])
+        far = np.round(np.sqrt(((part[q] - rows[t]) ** 2).sum(axis=1)), DIGITS)
+        order = np.lexsort((t, far, q))
+        q, t, far = q[order], t[order], far[order]
+        kept = np.arange(len(q)) - np.searchsorted(q, q) < k
+        q, t, far = q[kept], t[kept], far[kept]
         yield pd.DataFrame(
-            {"problem": problem, "query": names[start + q], "id": ids[t], "label": labels[t], "distance": far[q, t]}
+            {"problem": problem, "query": names[start + q], "id": ids[t], "label": labels[t], "distance": far}
         )
 
 
-def _search_everywhere(train: DataFrame, queries: DataFrame, n_train: int, k: int) -> DataFrame:
+def _search_everywhere(train: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """Every query against the whole training matrix, held by each task."""
     pdf = train.toPandas().sort_values("id", kind="stable")
     held = {
@@ -76,8 +80,8 @@ def _search_everywhere(train: DataFrame, queries: DataFrame, n_train: int, k: in
                 if problem in shared.value:
                     yield from _nearest(int(problem), asked, *shared.value[int(problem)], k)
 
-    queries = materialize(queries)
-    tasks = max(1, math.ceil(queries.count() * n_train / max(1, len(held)) / PAIRS_PER_TASK))
+    # The work per row is far above its size, so the number of tasks is not left to sizes.
+    tasks = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return queries.repartition(tasks, "problem", "id").mapInPandas(search, FOUND)
 
 
@@ -210,7 +214,7 @@ def neighbours(train: DataFrame, queries: DataFrame, k: int, small_bytes: int =
     total = sum(sizes.values())
     queries = queries.select("problem", "id", "x")
     if total * (width + 8) * 8 <= small_bytes:
-        found = _search_everywhere(train, queries, total, k)
+        found = _search_everywhere(train, queries, k)
     else:
         found = _search_cells(train, queries, sizes, width, k)
     nearest = Window.partitionBy("problem", "query").orderBy("distance", "id")
@@ -235,21 +239,13 @@ def knn_tuning(train: DataFrame, ks: Sequence[int] = KS, folds: int = 10, repeat
     raw = materialize(raw.withColumn("held", fold))
     problems = raw.select("*", F.explode(F.sequence(F.lit(0), F.lit(folds * repeats - 1))).alias("problem"))
     fitted = problems.filter(~F.array_contains("held", F.col("problem")))
-    x, width = F.col("x"), design.width
-    spreads = [F.stddev_samp(x[i]) for i in range(width)]
-    scales = fitted.groupBy("problem").agg(
-        F.array(*[F.avg(x[i]) for i in range(width)]).alias("means"),
-        F.array(*[F.coalesce(s, F.lit(0.0)) for s in spreads]).alias("spreads"),
-    )
+    scales = fitted.groupBy("problem").agg(*moments(design.width))
     # One row per fold and repeat.
     scales = train.sparkSession.createDataFrame(scales.collect(), scales.schema)
+    cells = ", ".join(f"if(spreads[{i}] > 0, (x[{i}] - means[{i}]) / spreads[{i}], 0D)" for i in range(design.width))
 
     def scaled(df: DataFrame) -> DataFrame:
-        parts = [
-            F.when(F.col("spreads")[i] > 0, (x[i] - F.col("means")[i]) / F.col("spreads")[i]).otherwise(0.0)
-            for i in range(width)
-        ]
-        return df.join(scales, "problem").select("problem", "id", "label", F.array(*parts).alias("x"))
+        return df.join(scales, "problem").select("problem", "id", "label", F.expr(f"array({cells})").alias("x"))
 
     held = scaled(raw.select("*", F.explode("held").alias("problem")))
     predicted = _means(neighbours(scaled(fitted), held, max(ks)), ks)

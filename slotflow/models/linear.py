@@ -12,7 +12,7 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from slotflow.functions.columns import hash_number, key_hash
 from slotflow.models.design import KEY, prepare
@@ -112,8 +112,8 @@ def pls_forecast(
         errors = pls_tuning(sums, folds)
         components = min(errors, key=lambda c: (errors[c], c))
     intercept, slopes = pls_coefficients(sum(s for f, s in sums.items() if f < folds), components)
-    terms = [F.col("x")[i] * float(b) for i, b in enumerate(slopes)]
-    return problem.queries.select(F.col("id").alias(KEY), sum(terms, F.lit(float(intercept))).alias("prediction"))
+    terms = " + ".join([f"({float(intercept)!r}D)"] + [f"x[{i}] * ({float(b)!r}D)" for i, b in enumerate(slopes)])
+    return problem.queries.select(F.col("id").alias(KEY), F.expr(terms).alias("prediction"))
 
 
 def _fit_and_score(train: DataFrame, queries: DataFrame, regression: LinearRegression) -> DataFrame:
@@ -160,13 +160,10 @@ def hinge_forecast(
     columns = problem.train.select(*[F.col("x")[i].alias(f"x{i}") for i in range(numbers)])
     at = columns.approxQuantile(columns.columns, [(i + 1) / (knots + 1) for i in range(knots)], 0.01)
 
-    def basis() -> Column:
-        x = F.col("x")
-        bends = []
-        for i, places in enumerate(at):
-            for place in sorted(set(places)):
-                bends += [F.greatest(x[i] - place, F.lit(0.0)), F.greatest(place - x[i], F.lit(0.0))]
-        return F.array(*[x[i] for i in range(width)], *bends)
-
+    cells = [f"x[{i}]" for i in range(width)]
+    for i, places in enumerate(at):
+        for place in sorted(set(places)):
+            cells += [f"greatest(x[{i}] - ({place!r}D), 0D)", f"greatest(({place!r}D) - x[{i}], 0D)"]
+    basis = F.expr(f"array({', '.join(cells)})")
     regression = LinearRegression(elasticNetParam=1.0, regParam=penalty, maxIter=100)
-    return _fit_and_score(problem.train.withColumn("x", basis()), problem.queries.withColumn("x", basis()), regression)
+    return _fit_and_score(problem.train.withColumn("x", basis), problem.queries.withColumn("x", basis), regression)

@@ -18,7 +18,7 @@ from slotflow.operators.moves import instructions, plan_moves
 from slotflow.operators.outcomes import tote_features
 from slotflow.operators.prices import min_sale_price, price_lines, priced_features
 from slotflow.operators.sampling import stratified_split
-from slotflow.session import materialize
+from slotflow.session import materialize, materialize_all
 from slotflow.sources.tables import merge_live_archive, order_messages
 
 
@@ -81,9 +81,11 @@ def model_data(site: Warehouse, as_of: date) -> tuple[DataFrame, DataFrame]:
 
     Orders, stock and prices shrink to a row per product and day once, for both.
     """
-    daily = materialize(orders_by_day(site, as_of, days=demand.LONGEST + 1))
-    snapshots = materialize(demand.daily_stock(site.snapshots(), as_of, days=demand.LONGEST + 1))
-    prices = materialize(sale_prices(site, as_of))
+    daily, snapshots, prices = materialize_all(
+        orders_by_day(site, as_of, days=demand.LONGEST + 1),
+        demand.daily_stock(site.snapshots(), as_of, days=demand.LONGEST + 1),
+        sale_prices(site, as_of),
+    )
     train = demand.training_set(_features(site, daily, snapshots, as_of, 1), daily, as_of)
     today = _features(site, daily, snapshots, as_of, 0)
     return priced_features(train, prices), priced_features(today, prices)

@@ -3,8 +3,13 @@
 from __future__ import annotations
 
 import tempfile
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.util import inheritable_thread_target
+
+import slotflow
 
 # Runtime settings every job relies on. Joins on a hot key are split by AQE, also
 # where the split costs one more shuffle: a task holding a third of the rows costs more.
@@ -13,12 +18,17 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
 }
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to a session made elsewhere."""
+    """Apply the runtime settings to a session made elsewhere.
+
+    Functions that run in tasks travel with them: executors need no copy of this package.
+    """
+    cloudpickle.register_pickle_by_value(slotflow)
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
     return spark
@@ -59,6 +69,21 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once, keep the rows in the shared folder and cut the lineage there."""
+    """Compute ``df`` once, keep the rows in the shared folder and cut the lineage there.
+
+    A frame that came from here is returned as it is.
+    """
+    if getattr(df, "_slotflow_stored", False):
+        return df
     shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    stored = df.checkpoint(eager=True)
+    stored._slotflow_stored = True
+    return stored
+
+
+def materialize_all(*frames: DataFrame) -> list[DataFrame]:
+    """``materialize`` for frames that do not need each other, at the same time."""
+    shared_folder(frames[0].sparkSession)
+    run = inheritable_thread_target(frames[0].sparkSession)(materialize)
+    with ThreadPoolExecutor(len(frames)) as pool:
+        return list(pool.map(run, frames))
