@@ -39,7 +39,8 @@ def fold_sums(train: DataFrame, width: int, folds: int, repeats: int, seed: int)
             for number in np.unique(held):
                 mine = rows[(held == number).any(axis=1)]
                 sums[int(number)] = sums.get(int(number), 0) + mine.T @ mine
-        yield pd.DataFrame({"fold": list(sums), "cells": [s.ravel().tolist() for s in sums.values()]})
+        if sums:
+            yield pd.DataFrame({"fold": list(sums), "cells": [s.ravel().tolist() for s in sums.values()]})
 
     partial = train.select("x", "label", fold.alias("held")).mapInPandas(add_up, "fold int, cells array<double>")
     summed = (

@@ -28,7 +28,7 @@ def _cell(value):
         return "∅"
     if hasattr(value, "isoformat"):
         return str(value)[:10] if str(value).endswith("00:00:00") else str(value)
-    return repr(value)
+    return repr(float(value)) if isinstance(value, (int, float)) and not isinstance(value, bool) else repr(value)
 
 
 def _rows(pdf):

@@ -1,0 +1,155 @@
+"""Regressors and classifier against plain NumPy, bounds and seeds."""
+
+from __future__ import annotations
+
+import random
+from datetime import date
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from slotflow.models import classifier, design, knn, linear
+from slotflow.models.compare import model_comparison, rounded_predictions, side_by_side
+
+NAMES = ["prod_id", *design.FACTORS, *design.NUMBERS, "sold_rep_units"]
+TYPES = ["string", "string", "string", "string", "long", *["double"] * len(design.NUMBERS), "long"]
+SCHEMA = ", ".join(f"{n} {t}" for n, t in zip(NAMES, TYPES))
+
+
+def make_rows(n, seed, prefix):
+    rng = random.Random(seed)
+    rows = []
+    for i in range(n):
+        numbers = [float(rng.randrange(6)) for _ in design.NUMBERS]
+        numbers[1] = 4.0  # constant
+        row = [f"{prefix}{i:04d}", rng.choice(["HOME", "FASHION"]), rng.choice("NY"), rng.choice("SF"), rng.choice([12, 25])]
+        label = round(5 + 3 * numbers[0] + 2 * numbers[7] + (4 if row[1] == "HOME" else 0) + rng.random())
+        rows.append((*row, *numbers, label))
+    return rows
+
+
+@pytest.fixture(scope="module")
+def data(spark):
+    train, asked = make_rows(260, 1, "t"), make_rows(60, 2, "q")
+    # Many equal rows: ties and a hot cell.
+    train += [(f"z{i:04d}", *train[0][1:-1], i) for i in range(100)]
+    asked[0] = (asked[0][0], *train[0][1:])
+    return (train, spark.createDataFrame(train, SCHEMA)), (asked, spark.createDataFrame(asked, SCHEMA).drop("sold_rep_units"))
+
+
+def matrix(rows):
+    flags = [("FASHION", "HOME"), ("N", "Y"), ("F", "S"), (12, 25)]
+    return np.array([[*r[5:-1], *[float(r[1 + i] == high) for i, (_, high) in enumerate(flags)]] for r in rows])
+
+
+def scaled(train, asked):
+    a, b = matrix(train), matrix(asked)
+    spread = a.std(axis=0, ddof=1)
+    keep = spread > 0
+    return (a[:, keep] - a[:, keep].mean(0)) / spread[keep], (b[:, keep] - a[:, keep].mean(0)) / spread[keep]
+
+
+def brute_force(train, asked, k):
+    a, b = scaled(train, asked)
+    ids, labels, found = [r[0] for r in train], [r[-1] for r in train], {}
+    for row, name in zip(b, asked):
+        far = np.round(np.sqrt(((a - row) ** 2).sum(1)), 9)
+        best = sorted(range(len(a)), key=lambda i: (far[i], ids[i]))[:k]
+        found[name[0]] = sum(labels[i] for i in best) / k
+    return found
+
+
+@pytest.mark.parametrize("blocks", [None, (4096, 2048), (40, 16)])
+def test_knn_ways_equal_brute_force(spark, data, monkeypatch, blocks):
+    (train, train_df), (asked, asked_df) = data
+    if blocks:
+        monkeypatch.setattr(knn, "BLOCK_ROWS", blocks[0])
+        monkeypatch.setattr(knn, "CHUNK_ROWS", blocks[1])
+    rows = knn.knn_forecast(train_df, asked_df, k=7, small_bytes=0 if blocks else knn.SMALL_BYTES).collect()
+    found, want = {r.prod_id: r.prediction for r in rows}, brute_force(train, asked, 7)
+    assert found.keys() == want.keys()
+    assert all(abs(found[k] - want[k]) < 1e-9 for k in want)
+
+
+def test_fewer_rows_than_neighbours(spark, data):
+    train, asked_df = data[0][0][:3], data[1][1]
+    rows = knn.knn_forecast(spark.createDataFrame(train, SCHEMA), asked_df, k=9).collect()
+    assert {round(r.prediction, 9) for r in rows} == {round(sum(t[-1] for t in train) / 3, 9)}
+
+
+def test_tuning_covers_every_k(spark, data):
+    tuning = knn.knn_tuning(data[0][1], folds=4, repeats=2)
+    assert sorted(r.k for r in tuning.collect()) == [5, 7, 9]
+    assert knn.best_k(tuning) in (5, 7, 9)
+
+
+def test_missing_number_stops_the_job(data):
+    broken = data[0][1].withColumn("volume", F.when(F.col("prod_id") != "t0001", F.col("volume")))
+    with pytest.raises(Exception, match="missing value in volume"):
+        knn.knn_forecast(broken, data[1][1], k=5).collect()
+
+
+def test_all_components_are_least_squares(spark, data):
+    (train, train_df), (asked, asked_df) = data
+    a, b = scaled(train, asked)
+    y = np.array([float(r[-1]) for r in train])
+    slopes = np.linalg.lstsq(a, y - y.mean(), rcond=None)[0]
+    want = dict(zip([r[0] for r in asked], y.mean() + b @ slopes))
+    rows = linear.pls_forecast(train_df, asked_df, components=21).collect()
+    assert all(abs(r.prediction - want[r.prod_id]) < 1e-5 for r in rows) and len(rows) == len(want)
+
+
+def test_held_out_errors_come_from_sums():
+    rng = np.random.default_rng(3)
+    x, fold = rng.normal(size=(90, 4)), np.arange(90) % 3
+    y = x @ [1, 2, 0, 0] + rng.normal(size=90)
+    rows = np.column_stack([np.ones(90), x, y])
+    sums = {f: rows[fold == f].T @ rows[fold == f] for f in range(3)}
+    want = []
+    for f in range(3):
+        intercept, slopes = linear.pls_coefficients(rows[fold != f].T @ rows[fold != f], 2)
+        want.append(np.sqrt(np.mean((y[fold == f] - intercept - x[fold == f] @ slopes) ** 2)))
+    assert np.isclose(linear.pls_tuning(sums, 3, [2])[2], np.mean(want))
+
+
+def test_every_regressor_beats_the_mean(spark, data):
+    clean = data[0][1].filter("prod_id like 't%'")
+    train, held = clean.filter("prod_id < 't0200'"), clean.filter("prod_id >= 't0200'")
+    asked = held.drop("sold_rep_units")
+    predictions = {
+        "knn": knn.knn_forecast(train, asked, k=5),
+        "pls": linear.pls_forecast(train, asked, folds=5, repeats=2),
+        "svm": linear.rbf_forecast(train, asked, size=100),
+        "earth": linear.hinge_forecast(train, asked),
+    }
+    errors = {r.model: r.rmse for r in model_comparison(predictions, held).collect()}
+    spread = held.agg(F.stddev_pop("sold_rep_units")).first()[0]
+    assert sorted(errors) == ["earth", "knn", "pls", "svm"]
+    assert all(e < spread for e in errors.values()), (errors, spread)
+    assert errors["pls"] < 1.5 and errors["earth"] < 1.5
+    joined = side_by_side(predictions, held)
+    row = rounded_predictions(joined, list(predictions)).first()
+    assert row.pls >= 0 and isinstance(row.pls, int)
+    again = {r.prod_id: r.prediction for r in linear.rbf_forecast(train, asked, size=100).collect()}
+    assert all(abs(again[r.prod_id] - r.prediction) < 1e-6 for r in predictions["svm"].collect())
+
+
+def test_classifier_learns_and_is_stored(spark, tmp_path):
+    rng = random.Random(4)
+    rows = []
+    for i in range(300):
+        zone, group, units = rng.choice(["OSR", "ASRS"]), f"G{rng.randrange(4)}", rng.randrange(100)
+        move = int(zone == "ASRS" and units > 40)
+        rows.append((date(2024, 5, 1), f"I{i}", f"T{i}", "L", zone, 0, 0, "HOME", "N", "S", 0, group, units, units, 1, units / 100, units, move))
+    names = [*classifier.ID_COLUMNS, *classifier.FACTORS, *classifier.NUMBERS, "move"]
+    types = ["date", *["string"] * 4, "long", "long", "string", "string", "string", "long", "string", "long", "long", "long", "double", "long", "long"]
+    df = spark.createDataFrame(rows, ", ".join(f"{n} {t}" for n, t in zip(names, types)))
+    model = classifier.tote_classifier(df, folds=2, repeats=1, trees=10, tries=("2", "1.0"))
+    path = str(tmp_path / "forest")
+    for _ in range(2):
+        classifier.save_model(model, path)
+    unseen = df.withColumn("item_group_name", F.lit("NEW"))
+    scored = classifier.classify(classifier.load_model(path), df)
+    assert scored.filter("predicted = move").count() >= 290
+    assert classifier.classify(model, unseen).count() == 300

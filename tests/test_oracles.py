@@ -1,0 +1,34 @@
+"""Every registered query against its SQL oracle, on the smallest tables."""
+
+from __future__ import annotations
+
+import os
+
+import pytest
+
+from __spark_entry__ import entry, oracle_sql, queries
+from oracle_check import compare, duck
+
+FOLDER = "/root/testdata/sf0.001"
+
+pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
+
+
+@pytest.fixture(scope="module")
+def database():
+    return duck(FOLDER)
+
+
+def test_every_oracle_has_a_query():
+    assert set(oracle_sql()) <= set(queries())
+
+
+def test_entry(spark):
+    found = entry(spark)
+    assert found.columns == ["licenceplate", "target_state_name", "source_zone_name", "timestamp", "status"]
+    assert found.count() == 454
+
+
+@pytest.mark.parametrize("name", sorted(queries()))
+def test_query(spark, database, name):
+    assert compare(spark, database, FOLDER, name) == ""
