@@ -85,6 +85,15 @@ def _search_everywhere(train: DataFrame, queries: DataFrame, k: int) -> DataFram
     return queries.repartition(tasks, "problem", "id").mapInPandas(search, FOUND)
 
 
+def _first_copies(train: DataFrame, k: int) -> DataFrame:
+    """Of rows with equal ``x`` the k with the smallest ids: no other can be among the k nearest.
+
+    The limit also applies before the shuffle, so that copies do not gather in one task.
+    """
+    equal = Window.partitionBy("problem", "x").orderBy("id")
+    return train.withColumn("copy", F.row_number().over(equal)).filter(F.col("copy") <= k).drop("copy")
+
+
 def _pivots(train: DataFrame, sizes: dict[int, int], width: int) -> dict[int, np.ndarray]:
     """About one random training row per block, for each problem."""
     wanted = {p: min(MOST_PIVOTS, math.ceil(n / BLOCK_ROWS)) for p, n in sizes.items()}
@@ -212,11 +221,13 @@ def neighbours(train: DataFrame, queries: DataFrame, k: int, small_bytes: int =
     sized = train.groupBy("problem").agg(F.count(F.lit(1)).alias("n"), F.max(F.size("x")).alias("width")).collect()
     sizes, width = {r.problem: r.n for r in sized}, max((r.width for r in sized), default=0)
     total = sum(sizes.values())
+    if not total:
+        raise ValueError("no training rows")
     queries = queries.select("problem", "id", "x")
     if total * (width + 8) * 8 <= small_bytes:
         found = _search_everywhere(train, queries, k)
     else:
-        found = _search_cells(train, queries, sizes, width, k)
+        found = _search_cells(_first_copies(train, k), queries, sizes, width, k)
     nearest = Window.partitionBy("problem", "query").orderBy("distance", "id")
     return found.withColumn("rank", F.row_number().over(nearest)).filter(F.col("rank") <= k)
 

@@ -2,7 +2,8 @@
 
 Rows are ordered by the md5 of seed and key. The first hex digits of the hash cut a stratum
 into about a million buckets of even size, so that the cut-off is found from bucket counts and
-one bucket of rows; no task sees a whole stratum. The key has to be unique.
+one bucket of rows; no task sees a whole stratum, and the rows themselves are not shuffled
+while the strata are few. The key has to be unique.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from slotflow.functions.columns import hash_number, key_hash
+from slotflow.session import small_side
 
 DIGITS = 5
 
@@ -35,7 +37,7 @@ def hash_cutoffs(df: DataFrame, stratum: str, key: Sequence[str], seed: int | st
         (F.col("_left") > 0) & (F.col("_left") <= F.col("_rows"))
     )
     close = hashed.alias("h").join(
-        last.alias("l"),
+        small_side(last).alias("l"),
         F.col("h._stratum").eqNullSafe(F.col("l._stratum")) & (F.col("h._bucket") == F.col("l._bucket")),
     )
     order = Window.partitionBy(F.col("h._stratum")).orderBy(F.col("h._hash"))
@@ -49,7 +51,7 @@ def hash_cutoffs(df: DataFrame, stratum: str, key: Sequence[str], seed: int | st
 
 
 def _with_cutoff(df: DataFrame, stratum: str, cutoffs: DataFrame) -> DataFrame:
-    marked = cutoffs.select(F.col(stratum).alias("_stratum"), "cutoff")
+    marked = small_side(cutoffs.select(F.col(stratum).alias("_stratum"), "cutoff"))
     return df.join(marked, F.col(stratum).eqNullSafe(F.col("_stratum")), "left")
 
 

@@ -5,9 +5,10 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from slotflow.models import classifier
+from slotflow.models import classifier, compare
 from slotflow.models.design import KEY
 from slotflow.models.knn import knn_forecast, knn_tuning
 from slotflow.models.linear import hinge_forecast, pls_forecast, rbf_forecast
@@ -309,7 +310,14 @@ def pls_one_component(site):
 
 @query
 def model_comparison(site):
-    return jobs.model_study(site, AS_OF)
+    return compare.model_comparison(*jobs.model_study(site, AS_OF))
+
+
+@query
+def model_predictions(site):
+    """The four regressors side by side, rounded for reading."""
+    predictions, held = jobs.model_study(site, AS_OF)
+    return compare.rounded_predictions(compare.side_by_side(predictions, held), list(predictions))
 
 
 @query
@@ -366,13 +374,25 @@ def confusion_matrix(site):
     return scored.select(*cells, *[F.round(c, 9).alias(c) for c in scored.columns if c not in cells])
 
 
-@query
-def tote_classifier(site):
-    """A small forest, scored on the hold-out: the confusion matrix."""
+def _forest(site: Fixture) -> tuple[PipelineModel, DataFrame]:
+    """A small forest, stored and loaded again, and its hold-out."""
     rows = sampling.balanced_sample(_facts(site), "move", 10_000, TOTE_KEY)
     split = materialize(sampling.stratified_split(materialize(rows), "move", 0.8, TOTE_KEY))
     model = classifier.tote_classifier(split.filter("in_train").drop("in_train"), folds=3, repeats=1, trees=20)
     path = _new_path(site, "forest")
     classifier.save_model(model, path)
-    scored = classifier.classify(classifier.load_model(path), split.filter("not in_train").drop("in_train"))
-    return outcomes.confusion_matrix(scored, "predicted", "move", classifier.POSITIVE)
+    return classifier.load_model(path), split.filter("not in_train").drop("in_train")
+
+
+@query
+def tote_classifier(site):
+    """The confusion matrix of the hold-out."""
+    model, held = _forest(site)
+    scored = classifier.classify(model, held)
+    return outcomes.confusion_matrix(scored, "predicted", classifier.LABEL, classifier.POSITIVE)
+
+
+@query
+def tote_back_test(site):
+    """The confusion matrix of all complete rows."""
+    return jobs.back_test(_forest(site)[0], _facts(site))

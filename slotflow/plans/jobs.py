@@ -6,16 +6,17 @@ from collections.abc import Callable
 from datetime import date, datetime
 from typing import Protocol
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, functions as F
 
-from slotflow.models.compare import model_comparison
+from slotflow.models import classifier
 from slotflow.models.design import LABEL
 from slotflow.models.knn import knn_forecast
 from slotflow.models.linear import hinge_forecast, pls_forecast, rbf_forecast
 from slotflow.operators import demand
 from slotflow.operators.expected import expected_demand, forecast_demand
 from slotflow.operators.moves import instructions, plan_moves
-from slotflow.operators.outcomes import tote_features
+from slotflow.operators.outcomes import confusion_matrix, evaluation_set, tote_features
 from slotflow.operators.prices import min_sale_price, price_lines, priced_features
 from slotflow.operators.sampling import stratified_split
 from slotflow.session import materialize, materialize_all
@@ -112,14 +113,22 @@ def study_split(train: DataFrame, p: float = 0.75, seed: int = 102) -> tuple[Dat
     return tuple(split.filter(F.col("in_train") == side).drop("in_train") for side in (True, False))
 
 
-def model_study(site: Warehouse, as_of: date) -> DataFrame:
-    """[model, rmse] of the four regressors on the hold-out."""
+FORECASTERS = {"earth": hinge_forecast, "knn": knn_forecast, "pls": pls_forecast, "svm": rbf_forecast}
+
+
+def model_study(site: Warehouse, as_of: date) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Predictions of the four regressors for the hold-out, and the hold-out itself."""
     train, held = study_split(model_data(site, as_of)[0])
-    asked = held.drop(LABEL)
-    forecasters = {"earth": hinge_forecast, "knn": knn_forecast, "pls": pls_forecast, "svm": rbf_forecast}
-    return model_comparison({name: f(train, asked) for name, f in forecasters.items()}, held)
+    train = materialize(train)
+    return {name: forecast(train, held.drop(LABEL)) for name, forecast in FORECASTERS.items()}, held
 
 
 def tote_facts(site: Warehouse, statistics: DataFrame) -> DataFrame:
     """Tote features over stored stock statistics."""
     return tote_features(statistics, site.transports(), site.average_sales(), site.confirmed())
+
+
+def back_test(model: PipelineModel, facts: DataFrame) -> DataFrame:
+    """Confusion matrix of a stored classifier over all complete tote features of later days."""
+    scored = classifier.classify(model, evaluation_set(facts))
+    return confusion_matrix(scored, "predicted", classifier.LABEL, classifier.POSITIVE)

@@ -6,7 +6,7 @@ import tempfile
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.util import inheritable_thread_target
 
 import slotflow
@@ -87,3 +87,9 @@ def materialize_all(*frames: DataFrame) -> list[DataFrame]:
     run = inheritable_thread_target(frames[0].sparkSession)(materialize)
     with ThreadPoolExecutor(len(frames)) as pool:
         return list(pool.map(run, frames))
+
+
+def small_side(df: DataFrame, rows: int = 10_000) -> DataFrame:
+    """``df`` stored, and marked for broadcast if it really has no more than ``rows`` rows."""
+    stored = materialize(df)
+    return F.broadcast(stored) if stored.count() <= rows else stored
