@@ -20,7 +20,7 @@ def expected_demand(confirmed: DataFrame, forecast: DataFrame, stock: DataFrame)
     Confirmed sales of stocked products count as they are; the others come from positive
     forecasts. A product given twice stops the job.
     """
-    stocked = stock.select(F.col("item_number").alias("prod_id"))
+    stocked = stock.select(F.col("item_number").alias("prod_id")).distinct()
     sure = confirmed.join(stocked, "prod_id", "left_semi").select(
         "prod_id", F.col("demand").alias("exp_demand")
     )

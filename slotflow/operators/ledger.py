@@ -26,7 +26,7 @@ def tote_product_lookup(moves: DataFrame, stock: DataFrame) -> DataFrame:
     The list is one value, so it has a limit: a tote with more products stops the job before
     its list is built.
     """
-    moved = stock.join(moves.select("licenceplate"), "licenceplate", "left_semi")
+    moved = stock.join(moves.select("licenceplate").distinct(), "licenceplate", "left_semi")
     held = moved.select("licenceplate", F.col("item_number").alias("prod_id")).distinct()
     sizes = held.groupBy("licenceplate").agg(F.count(F.lit(1)).alias("products"))
     message = F.concat(F.lit("too many products for one lookup row: "), F.col("licenceplate"))

@@ -1,9 +1,10 @@
 """Which totes move between the zones.
 
-The bulk zone is ASRS, the picking zone OSR. The whole plan is one pass: per item the units
-in OSR, per zone the first tote at which the running total reaches what is needed, and then
-a rule on each stock row. All three steps are aggregates and joins on the item, which combine
-before the shuffle and split on a hot item; no step ranks a whole item in one task.
+The bulk zone is ASRS, the picking zone OSR. Two tables with a row per item carry the plan: the
+units in OSR against the demand, and the first tote of each zone at which the running total
+reaches what is needed. Both are aggregates, combined before the shuffle. Stock rows meet them
+in joins whose other side is a stored table with unique items, which AQE can split on a hot
+item; no step ranks a whole item in one task.
 """
 
 from __future__ import annotations
@@ -27,55 +28,50 @@ def _in_zone(name: str) -> Column:
     return F.col("location") == name
 
 
-def item_positions(stock: DataFrame, expected: DataFrame) -> DataFrame:
-    """[item_number, osr_rows, osr_units, exp_demand], one row per stocked item.
+def _wanted(expected: DataFrame) -> DataFrame:
+    """[item_number, exp_demand]. A demand that is NULL is none; a product listed twice stops the job."""
+    known = unique(expected, "prod_id").filter(F.col("exp_demand").isNotNull())
+    return known.select(F.col("prod_id").alias("item_number"), "exp_demand")
 
-    A demand that is NULL is no demand. A product listed twice stops the job.
-    """
+
+def item_positions(stock: DataFrame, expected: DataFrame) -> DataFrame:
+    """[item_number, osr_rows, osr_units, exp_demand], one row per stocked item."""
     held = stock.groupBy("item_number").agg(
         F.count(F.when(_in_zone("OSR"), F.lit(1))).alias("osr_rows"),
         F.sum(F.when(_in_zone("OSR"), F.col("quantity"))).alias("osr_units"),
     )
-    wanted = unique(expected, "prod_id").filter(F.col("exp_demand").isNotNull())
-    return held.join(wanted.withColumnRenamed("prod_id", "item_number"), "item_number", "left")
+    return held.join(_wanted(expected), "item_number", "left")
 
 
 def plan_moves(stock: DataFrame, expected: DataFrame) -> DataFrame:
     """Every stock row that moves, with the reason.
 
-    ``stock`` is read several times: pass a stored table or a materialized frame.
+    ``stock`` is read three times: pass a stored table or a materialized frame.
     """
-    needed = F.col("exp_demand") - F.when(_in_zone("OSR"), 0).otherwise(F.coalesce("osr_units", F.lit(0)))
+    in_osr, place = _in_zone("OSR"), F.struct("cumunits", "itemrank")
+    needed = F.col("exp_demand") - F.when(in_osr, 0).otherwise(F.coalesce("osr_units", F.lit(0)))
+    reached = needed <= F.col("cumunits")
+
     positions = materialize(item_positions(stock, expected))
-    rows = stock.join(positions, "item_number").select(
-        *ROW,
-        "osr_rows",
-        (F.col("osr_units") >= F.col("exp_demand")).alias("covered"),
-        "exp_demand",
-        (needed <= F.col("cumunits")).alias("reached"),
-        F.struct("cumunits", "itemrank").alias("place"),
-    )
     crossing = (
-        rows.filter("reached")
+        stock.join(positions, "item_number")
+        .filter(reached)
         .groupBy("item_number")
-        .agg(*[F.min(F.when(_in_zone(z), F.col("place"))).alias(f"first_{z}") for z in ("OSR", "ASRS")])
+        .agg(F.min(F.when(in_osr, place)).alias("first_osr"), F.min(F.when(~in_osr, place)).alias("first_asrs"))
     )
-    first = F.when(_in_zone("OSR"), F.col("first_OSR")).otherwise(F.col("first_ASRS"))
-    crosses = F.col("place") == first
-    wanted, in_osr = F.col("exp_demand").isNotNull(), _in_zone("OSR")
-    short = ~F.col("covered") & (F.col("osr_rows") > 0)
-    brought = ~F.col("reached") | crosses
+    facts = materialize(positions.join(crossing, "item_number", "left"))
+
+    crosses = place == F.when(in_osr, F.col("first_osr")).otherwise(F.col("first_asrs"))
+    wanted, covered = F.col("exp_demand").isNotNull(), F.col("osr_units") >= F.col("exp_demand")
+    brought = ~reached | crosses
     reason = (
         F.when(in_osr & ~wanted, "no_demand")
-        .when(in_osr & F.col("covered") & F.col("reached") & ~crosses, "surplus")
-        .when(~in_osr & wanted & short & brought, "shortfall")
+        .when(in_osr & covered & reached & ~crosses, "surplus")
+        .when(~in_osr & (F.col("osr_rows") > 0) & ~covered & brought, "shortfall")
         .when(~in_osr & wanted & (F.col("osr_rows") == 0) & brought, "absent")
     )
-    return (
-        rows.join(crossing, "item_number", "left")
-        .select(*ROW, reason.alias("reason"))
-        .filter(F.col("reason").isNotNull())
-    )
+    judged = stock.join(facts, "item_number").select(*ROW, reason.alias("reason"))
+    return judged.filter(F.col("reason").isNotNull())
 
 
 def _branch(reason: str):
@@ -87,9 +83,8 @@ def _branch(reason: str):
 
 def moves_no_demand(stock: DataFrame, expected: DataFrame) -> DataFrame:
     """OSR rows of items nobody asks for."""
-    in_osr = stock.filter(_in_zone("OSR"))
-    wanted = unique(expected, "prod_id").filter(F.col("exp_demand").isNotNull())
-    return in_osr.join(wanted, in_osr.item_number == wanted.prod_id, "left_anti").select(*ROW)
+    wanted = materialize(_wanted(expected))
+    return stock.filter(_in_zone("OSR")).join(wanted, "item_number", "left_anti").select(*ROW)
 
 
 moves_surplus = _branch("surplus")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from slotflow.operators.running import HOT_ROWS, has_hot_group, running_totals, split_running_totals
+from slotflow.session import materialize
 
 # Location prefix of each zone, container type left out, domain kept.
 ZONES = {"OSM": "OSR", "ASM": "ASRS"}
@@ -52,7 +53,8 @@ def rank_stock(located: DataFrame, split: bool, slices: int | None = None) -> Da
     """Adds loccount, cumunits and itemrank.
 
     Without ``split`` one shuffle on the item serves all three. With it no task sees a
-    whole item: the count is an aggregate joined back, the ranks come slice by slice.
+    whole item: the count is an aggregate, stored so that the join with it can split, and the
+    ranks come slice by slice.
     """
     place = ["item_number", "locno", "location"]
     order = [
@@ -66,7 +68,8 @@ def rank_stock(located: DataFrame, split: bool, slices: int | None = None) -> Da
         group=["item_number", "location"], order=order, value="quantity", total="cumunits", rank="itemrank"
     )
     if split:
-        counts = located.groupBy(*place).agg(F.count(F.lit(1)).alias("loccount"))
+        located = materialize(located)
+        counts = materialize(located.groupBy(*place).agg(F.count(F.lit(1)).alias("loccount")))
         ranked = split_running_totals(located.join(counts, place), slices=slices, **shape)
     else:
         here = Window.partitionBy(*place)
