@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import cloudpickle
@@ -43,7 +44,6 @@ def local_session(cpus: int | str = 8, name: str = "slotflow", memory: str = "12
         .config("spark.driver.memory", memory)
         .config("spark.driver.host", "127.0.0.1")
         .config("spark.sql.shuffle.partitions", str(cpus))
-        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     spark = configure(builder.getOrCreate())
@@ -52,7 +52,7 @@ def local_session(cpus: int | str = 8, name: str = "slotflow", memory: str = "12
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that survives the loss of an executor.
+    """The folder for intermediate tables, which survives the loss of an executor.
 
     The cluster names it in ``spark.checkpoint.dir``. A local master, which has no other
     machine to lose, gets a temporary folder; a cluster without the setting is an error.
@@ -62,21 +62,23 @@ def shared_folder(spark: SparkSession) -> str:
     if not folder:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="slotflow-")
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="slotflow-"))
+        folder = context.getCheckpointDir()
     return folder
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once, keep the rows in the shared folder and cut the lineage there.
+    """Compute ``df`` once and go on from a table of its rows in the shared folder.
 
-    A frame that came from here is returned as it is.
+    Lineage ends there, later reads take only the columns they need, and the planner knows the
+    true size. A frame that came from here is returned as it is.
     """
     if getattr(df, "_slotflow_stored", False):
         return df
-    shared_folder(df.sparkSession)
-    stored = df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
     stored._slotflow_stored = True
     return stored
 
