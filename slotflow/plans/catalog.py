@@ -220,7 +220,7 @@ def refresh_features(site):
 @query
 def refresh_training(site):
     path = _new_path(site, "training")
-    sinks.refresh_training(jobs.training_data(site, AS_OF), "shop_demand_training_data", path)
+    sinks.refresh_training(jobs.training_data(site, AS_OF), "demand_training", path)
     return site.spark.read.parquet(path)
 
 
