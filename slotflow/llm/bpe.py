@@ -11,20 +11,27 @@ joined sequence every adjacent pair lies in the left encoding, the right one, or
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import re
 from collections.abc import Iterator
 
+import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from slotflow.llm.common import store
 
-#: Space, tab and line ends: white space to every tokenizer here. Other white space stays inside runs, where the library sees it.
-SPLIT = re.compile("[ \t\n\r]+")
+#: Letters that stay letters when composed and lower-cased, then marks: one pre-token, or two.
+PLAIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+([.,;:!?]*)")
 RESULT = "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 
 
+def split(text: str) -> list[str]:
+    """The runs between spaces, tabs and line ends: white space to every tokenizer here. Other white space stays inside runs."""
+    return list(filter(None, text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")))
+
+
 class Codec:
     """A tokenizer read from its JSON file, by run of text."""
 
@@ -40,18 +47,45 @@ class Codec:
         self.model = spec["model"]
         self.suffix = self.model.get("end_of_word_suffix") or ""
         self.added = [(t["content"], t["id"]) for t in spec["added_tokens"]]
-        if spec["decoder"] is not None or spec["post_processor"] is not None or any(t["normalized"] or t["lstrip"] or t["rstrip"] or t["single_word"] for t in spec["added_tokens"]):
+        if spec.get("decoder") is not None or spec["post_processor"] is not None or any(t["normalized"] or t["lstrip"] or t["rstrip"] or t["single_word"] for t in spec["added_tokens"]):
             raise ValueError(f"{path}: only tokenizers that split at white space and decode by joining tokens")
+        self.names = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size())]
+        self.numbers = [str(i) for i in range(len(self.names))]
+        self.ends_word = np.array([bool(self.suffix) and n.endswith(self.suffix) for n in self.names])
         self.runs: dict[str, tuple[int, str, str]] = {}
         self.open_model = None
 
-    def learn(self, runs: set[str]) -> None:
-        """Encode runs not seen before, in one call; their ids and tokens are kept as joined text."""
+    def learn(self, runs: set[str], at_once: int = 512) -> None:
+        """Encode runs not seen before; their ids and tokens are kept as joined text.
+
+        Most runs are letters with a mark or two behind. Those go to the library many at a time, with blanks between: how many
+        pre-tokens each has is plain, and the tokens that end one carry the mark for word ends. Others go one by one.
+        """
         if len(self.runs) > self.most_known:
             self.runs.clear()
         new = [r for r in runs if r not in self.runs]
-        for run, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self.runs[run] = (len(found.ids), " ".join(map(str, found.ids)), self.tokenizer.decode(found.ids, skip_special_tokens=False))
+        if self.suffix:
+            found = [PLAIN.fullmatch(r) for r in new]
+            plain = [(r, 2 if m.group(1) else 1) for r, m in zip(new, found) if m]
+            new = [r for r, m in zip(new, found) if not m]
+            lists = [plain[i : i + at_once] for i in range(0, len(plain), at_once)]
+            texts = [" ".join([r for r, _ in some]) for some in lists]
+            for some, got in zip(lists, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+                ids = got.ids
+                ends = np.flatnonzero(self.ends_word[ids])[np.cumsum([n for _, n in some]) - 1] + 1
+                start = 0
+                for (run, _), end in zip(some, ends.tolist()):
+                    self.keep(run, ids[start:end])
+                    start = end
+        for run, got in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
+            self.keep(run, got.ids)
+
+    def keep(self, run: str, ids: list[int]) -> None:
+        self.runs[run] = (len(ids), " ".join([self.numbers[i] for i in ids]), self.decode(ids))
+
+    def decode(self, ids: list[int]) -> str:
+        """The tokens joined by a blank, as the library decodes where the file names no decoder."""
+        return " ".join([self.names[i] for i in ids])
 
     def digest(self, found: list[tuple[int, str, str]]) -> tuple[int, str, str]:
         """Tokens, digest of the ids and digest of the decoded text of consecutive encodings."""
@@ -145,11 +179,13 @@ def bpe_digests(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", text:
     def encode(batches) -> Iterator:
         import pandas as pd
 
+        # the many small tuples kept here hold no cycles: look for cycles less often
+        gc.set_threshold(200_000, 20, 100)
         codec = Codec(tokenizer_path)
         for batch in batches:
-            split = [[r for r in SPLIT.split(t) if r] for t in batch["text"]]
-            codec.learn(set().union(*split))
-            found = [codec.digest([codec.runs[r] for r in runs]) for runs in split]
+            cut = [split(t) for t in batch["text"]]
+            codec.learn(set().union(*cut))
+            found = [codec.digest([codec.runs[r] for r in runs]) for runs in cut]
             yield pd.DataFrame(found, columns=["n_tokens", "ids_sha256", "decoded_sha256"]).assign(key=batch["key"].values)
 
     short = rows.where(~is_long).mapInPandas(encode, f"{RESULT}, key string")
@@ -172,9 +208,9 @@ def encode_long(rows: DataFrame, tokenizer_path: str, run: int) -> DataFrame:
             for number, key, text in zip(batch["row"], batch["key"], batch["text"]):
                 parts: list[tuple[int, str]] = []
                 short: list[str] = []
-                for r in SPLIT.split(text):
+                for r in split(text):
                     if len(r) <= run:
-                        short += [r] if r else []
+                        short.append(r)
                         continue
                     if short:
                         parts.append((0, " ".join(short)))
@@ -203,8 +239,7 @@ def encode_long(rows: DataFrame, tokenizer_path: str, run: int) -> DataFrame:
             if kind != 1:
                 found += codec.concatenate(going)
                 going = []
-        shown = codec.tokenizer.decode(found, skip_special_tokens=False)
-        n, ids, decoded = codec.digest([(len(found), " ".join(map(str, found)), shown)])
+        n, ids, decoded = codec.digest([(len(found), " ".join(map(str, found)), codec.decode(found))])
         return pd.DataFrame({"n_tokens": [n], "ids_sha256": [ids], "decoded_sha256": [decoded], "key": [group["key"].iloc[0]]})
 
     parts = store(numbered.mapInPandas(cut, "row bigint, key string, part int, kind int, text string"))
