@@ -21,20 +21,19 @@ def ngrams(text: str | None, bits: int, at_once: int = 1 << 20) -> tuple[np.ndar
     Text is lower-cased; what is not a letter counts as one blank. Nothing if there is no letter.
     """
     letters = NOT_LETTERS.sub(" ", (text or "").lower()).strip()
-    total = np.zeros(1 << bits, np.int64)
     if not letters:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     points = np.frombuffer(f" {letters} ".encode("utf-32-le"), np.uint32)
-    shift = np.uint32(32 - bits)
+    shift, total = np.uint32(32 - bits), 0
     for start in range(0, len(points), at_once):
         part = points[start : start + at_once + 2]
         own = min(at_once, len(points) - start)
         one = (part + np.uint32(1)) * MIX[0]
         two = (one[:-1] ^ (part[1:] * MIX[1])) * MIX[2]
         three = (two[:-1] ^ (part[2:] * MIX[0])) * MIX[1]
-        for grams in (one, two, three):
-            total += np.bincount(grams[:own] >> shift, minlength=1 << bits)
-    used = np.flatnonzero(total)
+        grams = np.concatenate([one[:own], two[:own], three[:own]]) >> shift
+        total = total + np.bincount(grams.view(np.int32), minlength=1 << bits)
+    used = np.flatnonzero(total != 0)
     return used, total[used]
 
 
@@ -46,40 +45,47 @@ class Model:
     chances: np.ndarray
     bits: int
 
-    def mixture(self, buckets: np.ndarray, times: np.ndarray, chosen: list[int], rounds: int = 30) -> tuple[np.ndarray, float]:
-        """Proportions of the chosen languages that make the n-grams likeliest, and the log likelihood."""
-        likely = self.chances[np.ix_(chosen, buckets)]
-        share = np.full(len(chosen), 1 / len(chosen))
-        if len(chosen) == 1:
-            return share, float(times @ np.log(likely[0]))
-        total = times.sum()
-        for _ in range(rounds):
-            mixed = share @ likely
-            new = share * (likely @ (times / mixed)) / total
-            done = np.abs(new - share).max() < 1e-3
-            share = new
-            if done:
-                break
-        return share, float(times @ np.log(share @ likely))
+    def __post_init__(self):
+        self.by_bucket = np.ascontiguousarray(self.chances.T)
+
+    def mixture(self, likely: np.ndarray, times: np.ndarray, rounds: int = 30, close: float = 1e-3) -> tuple[np.ndarray, float]:
+        """Proportions of languages that make the n-grams likeliest, and the log likelihood.
+
+        ``likely`` has a row per n-gram of the document and a column per language.
+        """
+        n = likely.shape[1]
+        share = np.full(n, 1 / n)
+        if n > 1:
+            total = times.sum()
+            for _ in range(rounds):
+                new = share * ((times / (likely @ share)) @ likely) / total
+                done = np.abs(new - share).max() < close
+                share = new
+                if done:
+                    break
+        return share, float(times @ np.log(likely @ share))
 
     def predict(self, text: str | None) -> tuple[str, float, list[tuple[str, float]]]:
         """The main language, its proportion, and the proportions of the languages selected.
 
-        The set grows by the language with the largest share in the mixture of all, as long as the log likelihood
-        gains more than the penalty: half the log of the number of n-grams for each proportion more.
+        The set grows by the language with the largest share in a rough mixture of all, as long as the log likelihood
+        gains more than the penalty: half the log of the number of n-grams for each proportion more. A share below one in
+        two hundred is not tried.
         """
         buckets, times = ngrams(text, self.bits)
         if not len(buckets) or not self.languages:
             return UNDETERMINED, 0.0, []
-        everything, _ = self.mixture(buckets, times, list(range(len(self.languages))))
+        times = times.astype(np.float64)
+        likely = self.by_bucket[buckets]
+        everything, _ = self.mixture(likely, times, rounds=12, close=5e-3)
         order = np.argsort(-everything, kind="stable").tolist()
         penalty = 0.5 * np.log(times.sum())
         chosen = order[:1]
-        share, best = self.mixture(buckets, times, chosen)
+        share, best = self.mixture(likely[:, chosen], times)
         for nxt in order[1:]:
-            if everything[nxt] < 1e-4:
+            if everything[nxt] < 0.005:
                 break
-            more, fit = self.mixture(buckets, times, [*chosen, nxt])
+            more, fit = self.mixture(likely[:, [*chosen, nxt]], times)
             if fit - penalty <= best:
                 break
             chosen, share, best = [*chosen, nxt], more, fit - penalty
