@@ -21,7 +21,8 @@ for _b in range(256):
         else 5 if _b >= 128 else 6 if _c in ".,;:'\"" else 7 if _c in "!?" else 8
     )
     KINDS[_b, _kind] = 1
-STATISTICS = KINDS.shape[1] + 14
+STATISTICS = KINDS.shape[1] + 13
+BLANK = np.isin(np.arange(256), [32, *range(9, 14)])
 
 
 def statistics(text: str | None) -> np.ndarray:
@@ -29,33 +30,31 @@ def statistics(text: str | None) -> np.ndarray:
     raw = (text or "").encode()
     if not raw:
         return np.zeros(STATISTICS)
-    bytes_of = np.bincount(np.frombuffer(raw, np.uint8), minlength=256)
-    share = bytes_of / len(raw)
+    letters = np.frombuffer(raw, np.uint8)
+    share = np.bincount(letters, minlength=256) / len(raw)
     used = share[share > 0]
-    words = raw.split()
-    lines = [x for x in raw.split(b"\n") if x.strip()]
-    n = max(1, len(words))
-    lengths = np.fromiter(map(len, words), np.int64, len(words)) if words else np.zeros(1)
-    counts = Counter(words)
-    often = counts.most_common(1)[0][1] if counts else 0
-    pairs = set(zip(words, words[1:]))
-    line_counts = Counter(lines)
-    many = max(1, len(lines))
+    edges = np.flatnonzero(np.diff(BLANK[letters], prepend=True, append=True))
+    starts, ends = edges[::2], edges[1::2]
+    n = max(1, len(starts))
+    lengths = ends - starts if len(starts) else np.zeros(1)
+    first, last = letters[starts], letters[ends - 1]
+    counts = Counter(raw.split())
+    line_counts = Counter([x for x in raw.split(b"\n") if x.strip()])
+    many = max(1, line_counts.total())
     shapes = [
         np.log1p(len(raw)),
-        np.log1p(len(words)),
+        np.log1p(len(starts)),
         -(used * np.log(used)).sum(),
         lengths.mean(),
         lengths.std(),
         np.log1p(lengths.max()),
         len(counts) / n,
-        often / n,
-        len(pairs) / n,
-        np.log1p(len(lines)),
+        max(counts.values(), default=0) / n,
+        np.log1p(line_counts.total()),
         len(line_counts) / many,
-        (max(line_counts.values()) if line_counts else 0) / many,
-        sum(x[:1].isupper() for x in words) / n,
-        sum(x[-1:] in b".!?" for x in words) / n,
+        max(line_counts.values(), default=0) / many,
+        ((first >= 65) & (first <= 90)).sum() / n,
+        ((last == 46) | (last == 33) | (last == 63)).sum() / n,
     ]
     return np.concatenate([np.sqrt(share @ KINDS), shapes])
 
