@@ -55,11 +55,13 @@ _gap = rf"(?:[\x20\t-]{{1,3}}|[\x20\t](?:{DOT_WORDS})[\x20\t])"
 SPELLED_RUN = re.compile(rf"\b(?:plus{_gap})?(?:{_words})\b(?:{_gap}(?:{_words})\b){{{LEAST_WORDS - 1},}}", re.I)
 SPELLED_WORD = re.compile(rf"\bplus\b|\b(?:{_words})\b", re.I)
 BRACKETED = re.compile(rf"[\[({{<]\s?(at|arroba|@|{DOT_WORDS}|\.)\s?[\])}}>]", re.I)
-WRITTEN_OUT = re.compile(
-    rf"(?<=[A-Za-z0-9._%+-][\x20\t])(at|arroba)[\x20\t]((?:[A-Za-z0-9-]{{1,63}}(?:[\x20\t](?:{DOT_WORDS})[\x20\t]|\.))+(?:{'|'.join(DOMAIN_ENDS)}))\b", re.I
+AT = re.compile(r"[A-Za-z0-9._%+-][\x20\t](?=at|arroba)", re.I)
+HOST = re.compile(
+    rf"(?:at|arroba)[\x20\t]((?:[A-Za-z0-9-]{{1,63}}(?:[\x20\t](?:{DOT_WORDS})[\x20\t]|\.))+(?:{'|'.join(DOMAIN_ENDS)}))\b", re.I
 )
 WRITTEN_DOT = re.compile(rf"[\x20\t](?:{DOT_WORDS})[\x20\t]", re.I)
 NUMBER_DOT = re.compile(rf"(?<=[0-9])[\x20\t](?:{DOT_WORDS})[\x20\t](?=[0-9])", re.I)
+DOTS, NAMES_AT = frozenset(DOT_WORDS.split("|")), frozenset(["at", "arroba"])
 #: A text without any of these is what the transducers leave as it is. Fullwidth forms and foreign digits come by range.
 _classes = "".join(re.escape(c) for c in [*LOOK_ALIKES, *INVISIBLE]) + "！-～" + "٠-٩۰-۹०-९০-৯๐-๙"
 ODD = re.compile(f"[{_classes}]")
@@ -158,12 +160,34 @@ def brackets(m: Mapped) -> list[tuple[int, int, str]]:
     return out
 
 
+def hosts(text: str) -> Iterator[re.Match]:
+    """What follows a name: "at" and a host written out. No host begins within another."""
+    for name in AT.finditer(text):
+        found = HOST.match(text, name.end())
+        if found:
+            yield found
+
+
+def disguised(text: str) -> bool:
+    """Whether some transducer may change the text. Most texts are told by their words, without a look for whole forms."""
+    if not text.isascii() and ODD.search(text):
+        return True
+    words = text.lower().replace("-", " ").split()
+    dots = not DOTS.isdisjoint(words)
+    return (
+        bool(BRACKETED.search(text))
+        or (not NAMES_AT.isdisjoint(words) and any(True for _ in hosts(text)))
+        or (dots and bool(NUMBER_DOT.search(text)))
+        or (not DIGIT_OF.keys().isdisjoint(words) and bool(SPELLED_RUN.search(text)))
+    )
+
+
 def written_out(m: Mapped) -> list[tuple[int, int, str]]:
     """name at host dot com, and numbers joined by dot."""
     out = []
-    for found in WRITTEN_OUT.finditer(m.text):
-        out.append((found.start() - 1, found.start(2), "@"))
-        out += [(*dot.span(), ".") for dot in WRITTEN_DOT.finditer(m.text, *found.span(2))]
+    for found in hosts(m.text):
+        out.append((found.start() - 1, found.start(1), "@"))
+        out += [(*dot.span(), ".") for dot in WRITTEN_DOT.finditer(m.text, *found.span(1))]
     out += [(*dot.span(), ".") for dot in NUMBER_DOT.finditer(m.text)]
     return sorted(set(out))
 
@@ -187,7 +211,7 @@ def find(text: str | None) -> list[tuple[str, int, int, bool]]:
     text = text or ""
     base = plain(text)
     out = [(*span, True) for span in base]
-    if ODD.search(text) or BRACKETED.search(text) or WRITTEN_OUT.search(text) or SPELLED_RUN.search(text) or NUMBER_DOT.search(text):
+    if disguised(text):
         where = np.arange(len(text), dtype=np.int64)
         m = Mapped(text, where, where + 1)
         for step in (look_alikes, spelled_digits, brackets, written_out):
