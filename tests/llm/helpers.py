@@ -1,0 +1,151 @@
+"""Plain versions of the text operators, one text or one list at a time."""
+
+from __future__ import annotations
+
+import hashlib
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import regex
+import xxhash
+
+BLANKS = re.compile(r"[\x20\x09-\x0D]")
+
+#: Rows that every operator must take: nulls, blanks, ties, repeated rows, odd characters, a very long text.
+ODD_ROWS = [
+    (1, "The quick brown fox jumps over the lazy dog. It ran."),
+    (2, "The  quick brown\tfox jumps over the lazy dog. It ran."),
+    (3, None),
+    (4, ""),
+    (5, " \t\n "),
+    (6, "one"),
+    (7, "İstanbul ÇOK güzel — 中文字 é é <|endoftext|> a▁b  c"),
+    (7, "the same key, another text"),
+    (8, "repeated row of some words here"),
+    (8, "repeated row of some words here"),
+    (9, "repeated row of some words here"),
+    (None, "a row without a key"),
+    (None, None),
+    (10, "long " * 30000 + "x" * 20000),
+    (11, "!!! ### 123"),
+]
+
+
+def odd_docs(spark, extra: bool = True):
+    """The odd rows as documents, with other columns whose names operators use inside."""
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    rows = [(k, t, None if i % 3 == 0 else "en", None if i % 4 == 0 else "s", None if t is None else len(t)) for i, (k, t) in enumerate(ODD_ROWS)]
+    docs = spark.createDataFrame(rows, schema).repartition(3)
+    if extra:
+        from pyspark.sql import functions as F
+
+        for name in ("key", "_key", "fp", "block", "hash", "_hash", "item", "words", "x", "score", "shard", "row", "keep_id", "id", "body", "root", "label"):
+            docs = docs.withColumn(name, F.lit(f"clash {name}"))
+    return docs
+
+
+def empty_docs(spark):
+    return odd_docs(spark).where("false")
+
+
+def normalised(text):
+    return BLANKS.sub("", text or "")
+
+
+def sha(text: str) -> str:
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def exact_groups(rows):
+    """For each row: (key, keep, size, kept, sha), by the contract's rule."""
+    groups = defaultdict(list)
+    for k, t in rows:
+        groups[normalised(t)].append((-len(t or ""), k is None, k if k is not None else 0, k))
+    out = []
+    for k, t in rows:
+        members = groups[normalised(t)]
+        keep = min(members)[3]
+        out.append((k, keep, len(members), k == keep, sha(normalised(t))))
+    return out
+
+
+def simhash(text):
+    lowered = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in (text or ""))
+    words = re.findall(r"[^\x20\x09-\x0D]+", lowered)
+    if not words:
+        return 0
+    grams = [" ".join(words[i : i + 3]) for i in range(len(words) - 2)] if len(words) >= 3 else [" ".join(words)]
+    hashes = Counter(xxhash.xxh64_intdigest(g.encode(), seed=42) for g in grams)
+    total = len(grams)
+    return sum(1 << b for b in range(64) if sum(n for h, n in hashes.items() if h >> b & 1) * 2 > total)
+
+
+def components(keys, fingerprints, distance=2):
+    """The smallest key that links reach, per row; null keys name nothing."""
+    values = np.array(fingerprints, dtype=np.uint64)
+    parent = list(range(len(keys)))
+
+    def find(i):
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    for i in range(len(keys)):
+        for j in np.nonzero(np.bitwise_count(values[i] ^ values[i + 1 :]) <= distance)[0]:
+            parent[find(i + 1 + int(j))] = find(i)
+    members = defaultdict(list)
+    for i in range(len(keys)):
+        members[find(i)].append(keys[i])
+    return [min((k for k in members[find(i)] if k is not None), default=None) for i in range(len(keys))]
+
+
+def words(text):
+    return [w for w in regex.split(r"[^\p{L}\p{M}\p{N}]+", (text or "").lower()) if w]
+
+
+def grams(found, n):
+    return {" ".join(found[i : i + n]) for i in range(len(found) - n + 1)}
+
+
+def contained(docs, items, threshold=0.8):
+    """{(key, item): (shingles, found, share)}."""
+    out = {}
+    cut = [(i, min(5, len(words(t))), grams(words(t), min(5, len(words(t))))) for i, t in items if words(t)]
+    for key, text in docs:
+        found = words(text)
+        own = {n: grams(found, n) for n in range(1, 6)}
+        for item, n, wanted in cut:
+            hits = len(wanted & own[n])
+            if hits >= len(wanted) * threshold - 1e-9:
+                row = (len(wanted), hits, hits / len(wanted))
+                old = out.get((key, item))
+                if old is None or (row[2], row[1], row[0]) > (old[2], old[1], old[0]):
+                    out[key, item] = row
+    return out
+
+
+def luhn(digits):
+    total = 0
+    for i, c in enumerate(reversed(digits)):
+        d = int(c)
+        total += (2 * d - 9 if 2 * d > 9 else 2 * d) if i % 2 else d
+    return total % 10 == 0
+
+
+def plain_spans(text):
+    """The contract's patterns, as they are written there."""
+    out = [("email", *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+    for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text):
+        if all(int(p) <= 255 for p in m.group().split(".")):
+            out.append(("ip", *m.span()))
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        digits = re.sub("[^0-9]", "", m.group())
+        if 12 <= len(digits) <= 19 and luhn(digits):
+            out.append(("card", *m.span()))
+    for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text):
+        if 9 <= len(re.sub("[^0-9]", "", m.group())) <= 15:
+            out.append(("phone", *m.span()))
+    kinds = ["email", "ip", "card", "phone"]
+    return sorted(out, key=lambda x: (x[1], kinds.index(x[0]), x[2]))

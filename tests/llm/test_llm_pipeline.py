@@ -1,0 +1,70 @@
+from __future__ import annotations
+
+import os
+from collections import Counter
+
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from helpers import components, contained, empty_docs, normalised, odd_docs, sha, simhash
+from slotflow.llm import queries
+
+FOLDER = "/root/testdata/sf0.001"
+
+pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
+
+
+def rows(frame):
+    return [(r["doc_id"], r["text"]) for r in frame.select("doc_id", "text").collect()]
+
+
+def test_every_stage_against_a_plain_version(text_spark):
+    docs = text_spark.read.parquet(f"{FOLDER}/documents.parquet")
+    scored = {r["doc_id"]: r["predicted"] for r in queries.op5_quality(text_spark, FOLDER).collect()}
+    good = corpus_pipeline.good_quality(text_spark, docs, FOLDER)
+    assert good.columns == docs.columns
+    kept = rows(good)
+    assert Counter(k for k, _ in kept) == Counter(k for k, p in scored.items() if p)
+
+    best: dict[str, tuple] = {}
+    for k, t in kept:
+        best[normalised(t)] = min(best.get(normalised(t), (1, 0)), (-len(t or ""), k))
+    once = rows(corpus_pipeline.exact_once(text_spark, good, FOLDER))
+    assert Counter(k for k, _ in once) == Counter(k for _, k in best.values())
+
+    frame = text_spark.createDataFrame(once, "doc_id bigint, text string")
+    roots = components([k for k, _ in once], [simhash(t) for _, t in once])
+    near = rows(corpus_pipeline.near_once(text_spark, frame, FOLDER))
+    assert Counter(k for k, _ in near) == Counter(set(roots))
+
+    items = [tuple(r) for r in text_spark.read.parquet(f"{FOLDER}/benchmark.parquet").select("item_id", "text").collect()]
+    leaked = {k for k, _ in contained(near, items)}
+    clean = rows(corpus_pipeline.decontaminated(text_spark, text_spark.createDataFrame(near, "doc_id bigint, text string"), FOLDER))
+    assert Counter(k for k, _ in clean) == Counter(k for k, _ in near if k not in leaked)
+
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    wanted = set()
+    for k, t in clean:
+        ids = library.encode(t, add_special_tokens=False).ids
+        wanted.add((k, len(ids), sha(" ".join(map(str, ids))), sha(library.decode(ids, skip_special_tokens=False))))
+    assert set(map(tuple, corpus_pipeline.run(text_spark, FOLDER).collect())) == wanted
+
+
+@pytest.mark.parametrize("stage", [s for _, s in corpus_pipeline.STAGES], ids=[n for n, _ in corpus_pipeline.STAGES])
+def test_odd_and_empty_tables(text_spark, stage):
+    columns = stage(text_spark, empty_docs(text_spark), FOLDER)
+    assert columns.collect() == []
+    docs = odd_docs(text_spark)
+    found = stage(text_spark, docs, FOLDER)
+    assert found.count() <= docs.count()
+    if stage is not corpus_pipeline.encoded:
+        assert found.columns == docs.columns
+        assert found.where(F.col("doc_id").isNull()).count() in (0, 1, 2)
+
+
+def test_queries_are_registered():
+    numbers = [int(name[2:].split("_")[0]) for name in queries.QUERIES if name.startswith("op")]
+    assert numbers == list(range(1, 11)) and "pipeline" in queries.QUERIES and set(queries.ORACLES) <= set(queries.QUERIES)
