@@ -70,7 +70,8 @@ def plan_moves(stock: DataFrame, expected: DataFrame) -> DataFrame:
         .when(~in_osr & (F.col("osr_rows") > 0) & ~covered & brought, "shortfall")
         .when(~in_osr & wanted & (F.col("osr_rows") == 0) & brought, "absent")
     )
-    judged = stock.join(facts, "item_number").select(*ROW, reason.alias("reason"))
+    # Rows without an item meet no facts: nobody asks for them.
+    judged = stock.join(facts, "item_number", "left").select(*ROW, reason.alias("reason"))
     return judged.filter(F.col("reason").isNotNull())
 
 

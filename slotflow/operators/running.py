@@ -6,16 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from slotflow.functions.joins import join_null_safe
 from slotflow.session import materialize
 
-HOT_ROWS = 5_000_000  # rows of one group that one task may sort
-
-
-def has_hot_group(df: DataFrame, group: Sequence[str], hot_rows: int = HOT_ROWS) -> bool:
-    """Whether one group has more than ``hot_rows`` rows. Counts are combined before the shuffle."""
-    sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
-    return not sizes.filter(F.col("n") > hot_rows).isEmpty()
-
 
 def running_totals(
     df: DataFrame,
@@ -24,43 +17,20 @@ def running_totals(
     value: str,
     total: str,
     rank: str,
-) -> DataFrame:
-    """Adds the running sum of ``value`` and the row number within ``group``.
-
-    Rows with equal order keys share a sum. Each group is sorted by one task, so use it for
-    groups known to be small; ``split_running_totals`` takes the others.
-    """
-    ordered = Window.partitionBy(*group).orderBy(*order)
-    return df.select(
-        "*",
-        F.sum(value).over(ordered).alias(total),
-        F.row_number().over(ordered).cast("long").alias(rank),
-    )
-
-
-def split_running_totals(
-    df: DataFrame,
-    group: Sequence[str],
-    order: Sequence[Column],
-    value: str,
-    total: str,
-    rank: str,
     slices: int | None = None,
 ) -> DataFrame:
-    """The rows of ``running_totals``, with each group spread over many tasks.
+    """Adds the running sum of ``value`` and the row number within ``group``, each group spread over many tasks.
 
-    Copies of a row are counted first. The rest is range-partitioned on group and order, so
-    a slice is a contiguous run of a group and equal keys never part. A slice's rows add up
-    locally; what lies in the slices before it comes from one small row per group and slice.
+    Rows with equal order keys share a sum; a NULL in the group is a group of its own. Copies of a row are
+    counted first. The rest is range-partitioned on group and order into ``slices``, as many as shuffle
+    partitions unless given, so a slice is a contiguous run of a group and equal keys never part. A slice's
+    rows add up locally; what lies in the slices before it comes from one small row per group and slice.
     The placement is written to the shared folder: a lost task must not change slice numbers.
     """
     columns, keys = df.columns, [F.col(g) for g in group]
+    slices = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     packed = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
-    ranged = (
-        packed.repartitionByRange(slices, *keys, *order)
-        if slices
-        else packed.repartitionByRange(*keys, *order)
-    )
+    ranged = packed.repartitionByRange(slices, *keys, *order)
     placed = materialize(ranged.withColumn("_slice", F.spark_partition_id()))
 
     units = F.col(value) * F.col("_n")
@@ -83,7 +53,7 @@ def split_running_totals(
         (F.sum("_n").over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n")).alias("_rows_here"),
     )
     here, before = F.col("_units_here"), F.col("_units_before")
-    joined = local.join(offsets, [*group, "_slice"]).select(
+    joined = join_null_safe(local, offsets, [*group, "_slice"]).select(
         *columns,
         F.coalesce(here + before, here, before).alias(total),
         (F.col("_rows_before") + F.col("_rows_here")).alias("_rows_ahead"),

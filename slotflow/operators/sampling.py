@@ -3,7 +3,7 @@
 Rows are ordered by the md5 of seed and key. The first hex digits of the hash cut a stratum
 into about a million buckets of even size, so that the cut-off is found from bucket counts and
 one bucket of rows; no task sees a whole stratum, and the rows themselves are not shuffled
-while the strata are few. The key has to be unique.
+while the strata are few. Where rows share a key at the cut itself, no quota can hold: that stops the job.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from slotflow.functions.columns import hash_number, key_hash
-from slotflow.session import small_side
+from slotflow.session import materialize
 
 DIGITS = 5
 
@@ -37,7 +37,7 @@ def hash_cutoffs(df: DataFrame, stratum: str, key: Sequence[str], seed: int | st
         (F.col("_left") > 0) & (F.col("_left") <= F.col("_rows"))
     )
     close = hashed.alias("h").join(
-        small_side(last).alias("l"),
+        materialize(last).alias("l"),
         F.col("h._stratum").eqNullSafe(F.col("l._stratum")) & (F.col("h._bucket") == F.col("l._bucket")),
     )
     order = Window.partitionBy(F.col("h._stratum")).orderBy(F.col("h._hash"))
@@ -46,12 +46,15 @@ def hash_cutoffs(df: DataFrame, stratum: str, key: Sequence[str], seed: int | st
         F.col("h._hash").alias("cutoff"),
         F.col("l._left").alias("_left"),
         F.row_number().over(order).alias("_row"),
+        F.lead("h._hash").over(order).alias("_next"),
     )
-    return ranked.filter(F.col("_row") == F.col("_left")).select(stratum, "cutoff")
+    tied = F.raise_error(F.lit(f"rows share the key {', '.join(key)} at the cut-off of a sample")).cast("string")
+    cutoff = F.when(F.col("cutoff") == F.col("_next"), tied).otherwise(F.col("cutoff")).alias("cutoff")
+    return ranked.filter(F.col("_row") == F.col("_left")).select(stratum, cutoff)
 
 
 def _with_cutoff(df: DataFrame, stratum: str, cutoffs: DataFrame) -> DataFrame:
-    marked = small_side(cutoffs.select(F.col(stratum).alias("_stratum"), "cutoff"))
+    marked = materialize(cutoffs.select(F.col(stratum).alias("_stratum"), "cutoff"))
     return df.join(marked, F.col(stratum).eqNullSafe(F.col("_stratum")), "left")
 
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from slotflow.operators.running import HOT_ROWS, has_hot_group, running_totals, split_running_totals
+from slotflow.functions.joins import join_null_safe
+from slotflow.operators.running import running_totals
 from slotflow.session import materialize
 
 # Location prefix of each zone, container type left out, domain kept.
@@ -49,12 +50,11 @@ def located_stock(
     )
 
 
-def rank_stock(located: DataFrame, split: bool, slices: int | None = None) -> DataFrame:
-    """Adds loccount, cumunits and itemrank.
+def rank_stock(located: DataFrame, slices: int | None = None) -> DataFrame:
+    """Adds loccount, cumunits and itemrank; the largest totes of an item come first.
 
-    Without ``split`` one shuffle on the item serves all three. With it no task sees a
-    whole item: the count is an aggregate, stored so that the join with it can split, and the
-    ranks come slice by slice.
+    No task sees a whole item: the count is an aggregate, stored so that the join with it can
+    split, and the ranks come slice by slice. Rows without an item are ranked together.
     """
     place = ["item_number", "locno", "location"]
     order = [
@@ -64,17 +64,17 @@ def rank_stock(located: DataFrame, split: bool, slices: int | None = None) -> Da
         F.col("z_pos").asc_nulls_last(),
         F.col("licenceplate").asc_nulls_last(),
     ]
-    shape = dict(
-        group=["item_number", "location"], order=order, value="quantity", total="cumunits", rank="itemrank"
+    located = materialize(located)
+    counts = materialize(located.groupBy(*place).agg(F.count(F.lit(1)).alias("loccount")))
+    ranked = running_totals(
+        join_null_safe(located, counts, place),
+        group=["item_number", "location"],
+        order=order,
+        value="quantity",
+        total="cumunits",
+        rank="itemrank",
+        slices=slices,
     )
-    if split:
-        located = materialize(located)
-        counts = materialize(located.groupBy(*place).agg(F.count(F.lit(1)).alias("loccount")))
-        ranked = split_running_totals(located.join(counts, place), slices=slices, **shape)
-    else:
-        here = Window.partitionBy(*place)
-        counted = located.repartition("item_number").withColumn("loccount", F.count(F.lit(1)).over(here))
-        ranked = running_totals(counted, **shape)
     return ranked.select(
         "location", "locno", "z_pos", "loccount", "licenceplate", "item_number", "quantity", "cumunits", "itemrank"
     )
@@ -87,12 +87,7 @@ def tote_stock(
     locations: DataFrame,
     location_states: DataFrame,
     states: DataFrame,
-    hot_rows: int = HOT_ROWS,
+    slices: int | None = None,
 ) -> DataFrame:
-    """Stock in both zones with ranks; the largest totes of an item come first.
-
-    The way is chosen from the size of the largest item in ``stock``: only where one has more
-    than ``hot_rows`` records are items split over tasks.
-    """
-    located = located_stock(stock, totes, items, locations, location_states, states)
-    return rank_stock(located, split=has_hot_group(stock, ["item_id"], hot_rows))
+    """Stock in both zones with ranks."""
+    return rank_stock(located_stock(stock, totes, items, locations, location_states, states), slices)

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from contextvars import ContextVar, copy_context
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.util import inheritable_thread_target
 
 import slotflow
@@ -24,6 +27,10 @@ SETTINGS = {
 }
 
 
+#: Sub-folder of the tables stored now; see temporary_tables.
+_scope: ContextVar[str] = ContextVar("scope", default="kept")
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session made elsewhere.
 
@@ -67,6 +74,29 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def new_table_path(spark: SparkSession) -> str:
+    """A path in the shared folder that nothing uses yet."""
+    return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{_scope.get()}/{uuid.uuid4().hex}"
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[None]:
+    """Removes at its end the intermediate tables stored within it: write what is wanted before.
+
+    Tables stored outside such a block stay until the application's folder is deleted.
+    """
+    name = uuid.uuid4().hex
+    token = _scope.set(name)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
+            f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{name}"
+        )
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Compute ``df`` once and go on from a table of its rows in the shared folder.
 
@@ -76,7 +106,7 @@ def materialize(df: DataFrame) -> DataFrame:
     if getattr(df, "_slotflow_stored", False):
         return df
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    path = new_table_path(spark)
     df.write.parquet(path)
     stored = spark.read.schema(df.schema).parquet(path)
     stored._slotflow_stored = True
@@ -86,12 +116,7 @@ def materialize(df: DataFrame) -> DataFrame:
 def materialize_all(*frames: DataFrame) -> list[DataFrame]:
     """``materialize`` for frames that do not need each other, at the same time."""
     shared_folder(frames[0].sparkSession)
-    run = inheritable_thread_target(frames[0].sparkSession)(materialize)
+    context = copy_context()
+    run = inheritable_thread_target(frames[0].sparkSession)(lambda df: context.copy().run(materialize, df))
     with ThreadPoolExecutor(len(frames)) as pool:
         return list(pool.map(run, frames))
-
-
-def small_side(df: DataFrame, rows: int = 10_000) -> DataFrame:
-    """``df`` stored, and marked for broadcast if it really has no more than ``rows`` rows."""
-    stored = materialize(df)
-    return F.broadcast(stored) if stored.count() <= rows else stored

@@ -62,3 +62,11 @@ def test_nan_is_incomplete(spark):
     df = spark.createDataFrame([("a", 1.0), ("b", float("nan")), ("c", None), (None, 2.0)], "k string, v double")
     assert [r.k for r in drop_incomplete(df).collect()] == ["a"]
     assert drop_incomplete(df, ["k"]).count() == 3
+
+
+def test_a_repeated_key_at_the_cut_stops_the_job(spark):
+    rows = [(f"k{i // 10}", "a", float(i)) for i in range(1000)]
+    df = spark.createDataFrame(rows, "key string, kind string, value double")
+    with pytest.raises(Exception, match="share the key key"):
+        balanced_sample(df, "kind", 105, ["key"]).collect()
+    assert balanced_sample(df, "kind", 105, ["key", "value"]).count() == 105

@@ -1,4 +1,4 @@
-"""Ranked stock: the two ways agree with each other and with a plain loop."""
+"""Ranked stock against a plain loop."""
 
 from __future__ import annotations
 
@@ -7,7 +7,6 @@ from collections import Counter, defaultdict
 
 import pytest
 
-from slotflow.operators.running import has_hot_group
 from slotflow.operators.stock import located_stock, rank_stock, tote_stock
 
 LOCATED = "location string, locno string, z_pos long, licenceplate string, item_number string, quantity long"
@@ -54,31 +53,43 @@ def make_rows(n, items, seed):
 
 
 @pytest.mark.parametrize("seed", [1, 2])
-@pytest.mark.parametrize("split", [False, True])
-def test_ranks_match_sorting(spark, split, seed):
+@pytest.mark.parametrize("slices", [None, 1, 7])
+def test_ranks_match_sorting(spark, slices, seed):
     rows = make_rows(400, 3, seed)
-    ranked = rank_stock(spark.createDataFrame(rows, LOCATED).repartition(4), split=split, slices=7 if split else None)
-    assert found_ranks(ranked) == expected_ranks(rows)
+    assert found_ranks(rank_stock(spark.createDataFrame(rows, LOCATED).repartition(4), slices)) == expected_ranks(rows)
 
 
-@pytest.mark.parametrize("split", [False, True])
-def test_copies_share_a_total_and_have_their_own_rank(spark, split):
+@pytest.mark.parametrize("slices", [1, 3])
+def test_copies_share_a_total_and_have_their_own_rank(spark, slices):
     rows = [("OSR", "L1", 0, "T1", "I1", 5)] * 6 + [("OSR", "L1", 0, "T2", "I1", 5)]
-    ranked = rank_stock(spark.createDataFrame(rows, LOCATED), split=split, slices=3 if split else None)
+    ranked = rank_stock(spark.createDataFrame(rows, LOCATED), slices)
     found = sorted((r.itemrank, r.licenceplate, r.cumunits) for r in ranked.collect())
     assert found == [(i, "T1", 30) for i in range(1, 7)] + [(7, "T2", 35)]
 
 
 def test_a_hot_item_is_spread_over_slices(spark):
     rows = make_rows(3000, 1, 5)
-    ranked = rank_stock(spark.createDataFrame(rows, LOCATED).repartition(4), split=True, slices=8)
+    ranked = rank_stock(spark.createDataFrame(rows, LOCATED).repartition(4), slices=8)
     assert found_ranks(ranked) == expected_ranks(rows)
 
 
+@pytest.mark.parametrize("slices", [1, 5])
+def test_rows_without_an_item_or_a_place_stay(spark, slices):
+    rows = make_rows(60, 2, 3)
+    rows += [(zone, f"L{i % 2}" if i % 5 else None, i % 2, f"N{i}", None, i % 4 + 1) for i, zone in enumerate(["OSR", "ASRS"] * 15)]
+    ranked = rank_stock(spark.createDataFrame(rows, LOCATED).repartition(3), slices)
+    assert ranked.count() == len(rows)
+    missing = [r for r in ranked.collect() if r.item_number is None]
+    for zone in ("OSR", "ASRS"):
+        mine = sorted((r for r in missing if r.location == zone), key=lambda r: r.itemrank)
+        assert [r.itemrank for r in mine] == list(range(1, 16))
+        assert mine[-1].cumunits == sum(r.quantity for r in mine)
+
+
 def test_missing_quantity_comes_first(spark):
     rows = [("OSR", "L1", 0, "T1", "I1", None), ("OSR", "L1", 0, "T2", "I1", 4)]
-    for split in (False, True):
-        ranked = rank_stock(spark.createDataFrame(rows, LOCATED), split=split)
+    for slices in (1, 2):
+        ranked = rank_stock(spark.createDataFrame(rows, LOCATED), slices)
         assert sorted((r.itemrank, r.licenceplate, r.cumunits) for r in ranked.collect()) == [(1, "T1", None), (2, "T2", 4)]
 
 
@@ -105,9 +116,6 @@ def test_other_prefixes_containers_and_domains_are_left_out(spark):
     assert sorted((r.licenceplate, r.location) for r in found) == [("T1", "OSR"), ("T2", "ASRS")]
 
 
-def test_size_decides_the_way(spark):
-    tables = source_tables(spark)
-    assert has_hot_group(tables["stock"], ["item_id"], 4)
-    assert not has_hot_group(tables["stock"], ["item_id"], 5)
-    ways = [found_ranks(tote_stock(**tables, hot_rows=n)) for n in (1, 100)]
-    assert ways[0] == ways[1]
+def test_stock_from_source_tables(spark):
+    ranked = tote_stock(**source_tables(spark)).collect()
+    assert sorted((r.licenceplate, r.location, r.cumunits, r.itemrank) for r in ranked) == [("T1", "OSR", 5, 1), ("T2", "ASRS", 7, 1)]

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import os
 from datetime import date, datetime
 
 import pytest
 
 from slotflow.functions.checks import unique
 from slotflow.operators import ledger as L
-from slotflow.session import materialize, materialize_all, shared_folder
+from slotflow.session import materialize, materialize_all, shared_folder, temporary_tables
 from slotflow.sources import sinks
 from slotflow.streaming.messages import ingest_price_lines, stream_files
 from test_prices import record
@@ -29,14 +30,27 @@ def test_ledger(spark):
     assert L.ledger_delete(added).count() == 0
 
 
-def test_lookup_has_a_row_per_instruction(spark, monkeypatch):
+def test_stored_ledger(spark, tmp_path):
+    path = str(tmp_path / "ledger")
+    L.create_ledger(spark, path)
+    assert L.read_ledger(spark, path).count() == 0
+    first = spark.createDataFrame([("T1", "Z-MOVE_OSR"), ("T2", "Z-MOVE_ASRS"), ("T3", None)], MOVES)
+    for _ in range(2):  # a batch that is run again replaces itself
+        L.commit_insert(first, path, 1)
+    assert L.read_ledger(spark, path).count() == 3
+    L.commit_delete(spark, path, 2, "Z-MOVE_OSR")
+    L.commit_insert(spark.createDataFrame([("T4", "Z-MOVE_OSR")], MOVES), path, 3)
+    assert pairs(L.read_ledger(spark, path).fillna("-")) == [("T2", "Z-MOVE_ASRS"), ("T3", "-"), ("T4", "Z-MOVE_OSR")]
+    L.commit_delete(spark, path, 4)
+    L.commit_insert(first.limit(1), path, 5)
+    assert pairs(L.read_ledger(spark, path)) == [("T1", "Z-MOVE_OSR")]
+
+
+def test_lookup_has_a_row_per_instruction(spark):
     moves = spark.createDataFrame([("T1", "a"), ("T1", "a"), ("T2", "b")], MOVES)
     stock = spark.createDataFrame([("T1", "B"), ("T1", "A"), ("T1", "B"), ("T2", "C"), ("T9", "D")], "licenceplate string, item_number string")
     found = sorted((r.licenceplate, r.prod_ids) for r in L.tote_product_lookup(moves, stock).collect())
     assert found == [("T1", ["A", "B"]), ("T1", ["A", "B"]), ("T2", ["C"])]
-    monkeypatch.setattr(L, "MOST_PRODUCTS", 1)
-    with pytest.raises(Exception, match="too many products"):
-        L.tote_product_lookup(moves, stock).collect()
 
 
 def test_feature_days_are_replaced_one_by_one(spark, tmp_path):
@@ -83,6 +97,16 @@ def test_materialized_frames_have_no_lineage(spark):
     assert shared_folder(spark)
 
 
+def test_temporary_tables_are_removed(spark):
+    with temporary_tables(spark):
+        stored = [materialize(spark.range(3)), *materialize_all(spark.range(4), spark.range(5))]
+        paths = [df.inputFiles()[0].removeprefix("file:").removeprefix("//") for df in stored]
+        assert all(os.path.exists(p) for p in paths)
+    assert not any(os.path.exists(p) for p in paths)
+    outside = materialize(spark.range(6))
+    assert outside.count() == 6
+
+
 def test_stream_reads_each_file_once(spark, tmp_path):
     source, lines, progress = (str(tmp_path / name) for name in ("in", "out", "progress"))
 
