@@ -30,9 +30,12 @@ LABEL = "move"
 POSITIVE = 1
 
 
+MOST_DEPTH = 30  # trees grow out; Spark allows no deeper ones
+
+
 def _stages(trees: int, seed: int) -> tuple[list, RandomForestClassifier]:
     indexed, dummies = [f"{c}_index" for c in FACTORS], [f"{c}_dummies" for c in FACTORS]
-    forest = RandomForestClassifier(featuresCol="features", labelCol="label", numTrees=trees, seed=seed)
+    forest = RandomForestClassifier(featuresCol="features", labelCol="label", numTrees=trees, maxDepth=MOST_DEPTH, seed=seed)
     return [
         StringIndexer(
             inputCols=[f"{c}_text" for c in FACTORS],

@@ -30,7 +30,6 @@ NUMBERS = (
     "selling_price",
     "reduction",
 )
-MOST_LEVELS = 1_000  # factor levels of all factors together
 
 
 @dataclass(frozen=True)
@@ -80,12 +79,19 @@ def _level_order(level: str):
         return (1, 0.0, level)
 
 
-def fit_design(train: DataFrame, numbers: Sequence[str] = NUMBERS, factors: Sequence[str] = FACTORS) -> Design:
-    """Levels as found in ``train``; a level not seen there later counts as the first one."""
+def fit_design(
+    train: DataFrame, numbers: Sequence[str] = NUMBERS, factors: Sequence[str] = FACTORS, most_levels: int | None = None
+) -> Design:
+    """Levels as found in ``train``; a level not seen there later counts as the first one.
+
+    The models here hold a square matrix of all columns. A caller whose factors may have many levels can
+    set the most that are allowed.
+    """
     pairs = F.explode(F.array(*[F.struct(F.lit(f).alias("factor"), F.col(f).cast("string").alias("level")) for f in factors]))
-    found = train.select(pairs.alias("p")).select("p.*").dropna().distinct().limit(MOST_LEVELS + 1).collect()
-    if len(found) > MOST_LEVELS:
-        raise ValueError(f"more than {MOST_LEVELS} factor levels")
+    found = train.select(pairs.alias("p")).select("p.*").dropna().distinct()
+    found = (found if most_levels is None else found.limit(most_levels + 1)).collect()
+    if most_levels is not None and len(found) > most_levels:
+        raise ValueError(f"more than {most_levels} factor levels")
     dummies = []
     for factor in factors:
         levels = sorted((r.level for r in found if r.factor == factor), key=_level_order)

@@ -1,21 +1,22 @@
 """Exact k-nearest-neighbour regression.
 
-Small training sets, by a checked size, go to every task as one matrix. Beyond that rows are
-grouped in cells around pivot rows. A query visits only the cells that the triangle inequality
-cannot rule out: those whose nearest possible row is no farther than the k-th row it is sure to
-find. Cells are cut into blocks and queries into chunks, so that no task holds a whole cell, and
-each pair of block and chunk yields k rows per query, never all pairs.
+Training rows are cut into blocks and queries into chunks of bounded size. Each pair of a block and a
+chunk is one group, searched by one matrix product, and yields k rows per query, never all pairs; the k
+nearest of all blocks are then taken. In the 21 columns of the demand model distances are too alike for
+bounds to rule out blocks, so the work is that of all distances, spread evenly over tasks.
+
+Raw rows travel, once per opposite block or chunk. The folds of a cross-validation differ only in
+scale and in the rows left out, so all of them are searched where the rows meet.
 """
 
 from __future__ import annotations
 
 import math
-import zlib
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from slotflow.functions.columns import hash_number, key_hash
 from slotflow.models.design import KEY, LABEL, fit_design, moments, prepare
@@ -23,29 +24,21 @@ from slotflow.session import materialize
 
 KS = (5, 7, 9)  # fixed values: the candidates for k
 DIGITS = 9  # distances are compared rounded, so that equal rows tie
-SMALL_BYTES = 64 * 2**20  # training matrix that may go to every task
 BLOCK_ROWS = 4096
 CHUNK_ROWS = 2048
-MOST_PIVOTS = 1024
 CELLS_AT_ONCE = 2**22  # distances one task holds at a time
 
 FOUND = "problem int, query string, id string, label double, distance double"
 
+Scales = dict[int, tuple[np.ndarray, np.ndarray]]
+
 
 def _matrix(pdf: pd.DataFrame) -> np.ndarray:
     return np.stack(pdf["x"].to_numpy()).astype(float)
 
 
-def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    squares = np.zeros((len(a), len(b)))
-    for j in range(a.shape[1]):
-        squares += np.subtract.outer(a[:, j], b[:, j]) ** 2
-    return np.sqrt(squares)
-
-
-def _nearest(problem: int, queries: pd.DataFrame, ids: np.ndarray, labels: np.ndarray, rows: np.ndarray, k: int):
-    """The k nearest of ``rows`` per query; ``ids`` are sorted and decide ties."""
-    asked, names = _matrix(queries), queries["id"].to_numpy()
+def _nearest(asked: np.ndarray, rows: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Query, row and distance of the k nearest ``rows`` of each query; earlier rows win ties."""
     lengths, last = (rows**2).sum(axis=1), min(k, len(rows)) - 1
     step = max(1, CELLS_AT_ONCE // max(1, len(rows)))
     for start in range(0, len(asked), step):
@@ -60,174 +53,52 @@ def _nearest(problem: int, queries: pd.DataFrame, ids: np.ndarray, labels: np.nd
         order = np.lexsort((t, far, q))
         q, t, far = q[order], t[order], far[order]
         kept = np.arange(len(q)) - np.searchsorted(q, q) < k
-        q, t, far = q[kept], t[kept], far[kept]
-        yield pd.DataFrame(
-            {"problem": problem, "query": names[start + q], "id": ids[t], "label": labels[t], "distance": far}
-        )
+        yield start + q[kept], t[kept], far[kept]
 
 
-def _search_everywhere(train: DataFrame, queries: DataFrame, k: int) -> DataFrame:
-    """Every query against the whole training matrix, held by each task."""
-    pdf = train.toPandas().sort_values("id", kind="stable")
-    held = {
-        int(p): (g["id"].to_numpy(), g["label"].to_numpy(), _matrix(g)) for p, g in pdf.groupby("problem", sort=False)
-    }
-    shared = train.sparkSession.sparkContext.broadcast(held)
+def _scaled(x: np.ndarray, means: np.ndarray, spreads: np.ndarray) -> np.ndarray:
+    """Constant columns count for nothing."""
+    return np.divide(x - means, spreads, out=np.zeros_like(x), where=spreads > 0)
 
-    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for problem, asked in batch.groupby("problem"):
-                if problem in shared.value:
-                    yield from _nearest(int(problem), asked, *shared.value[int(problem)], k)
 
-    # The work per row is far above its size, so the number of tasks is not left to sizes.
-    tasks = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return queries.repartition(tasks, "problem", "id").mapInPandas(search, FOUND)
-
-
-def _first_copies(train: DataFrame, k: int) -> DataFrame:
-    """Of rows with equal ``x`` the k with the smallest ids: no other can be among the k nearest.
-
-    The limit also applies before the shuffle, so that copies do not gather in one task.
-    """
-    equal = Window.partitionBy("problem", "x").orderBy("id")
-    return train.withColumn("copy", F.row_number().over(equal)).filter(F.col("copy") <= k).drop("copy")
-
-
-def _pivots(train: DataFrame, sizes: dict[int, int], width: int) -> dict[int, np.ndarray]:
-    """About one random training row per block, for each problem."""
-    wanted = {p: min(MOST_PIVOTS, math.ceil(n / BLOCK_ROWS)) for p, n in sizes.items()}
-    share = F.lit(0.0)
-    for p, m in wanted.items():
-        share = F.when(F.col("problem") == p, 2.0 * m / sizes[p]).otherwise(share)
-    drawn = train.filter(hash_number(key_hash("pivot", ["id"]), 8) < share * 16**8).select("problem", "x")
-    rows = drawn.limit(4 * sum(wanted.values()) + 100).toPandas()
-    picked = {}
-    for p, m in wanted.items():
-        mine = rows[rows["problem"] == p].head(m)
-        picked[p] = _matrix(mine) if len(mine) else np.zeros((1, width))
-    return picked
-
-
-def _search_cells(train: DataFrame, queries: DataFrame, sizes: dict[int, int], width: int, k: int) -> DataFrame:
-    spark = train.sparkSession
-    pivots = spark.sparkContext.broadcast(_pivots(train, sizes, width))
-
-    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for problem, rows in batch.groupby("problem"):
-                far = _distances(_matrix(rows), pivots.value[int(problem)])
-                yield rows.assign(cell=far.argmin(axis=1).astype("int32"), near=far.min(axis=1))
-
-    placed = materialize(
-        train.mapInPandas(place, "problem int, id string, label double, x array<double>, cell int, near double")
-    )
-    # Per cell: rows, radius and the k rows closest to the pivot. At most MOST_PIVOTS cells a problem.
-    closest = Window.partitionBy("problem", "cell").orderBy("near")
-    known = (
-        placed.select("problem", "cell", "near", F.row_number().over(closest).alias("r"))
-        .filter(F.col("r") <= k)
-        .groupBy("problem", "cell")
-        .agg(F.collect_list("near").alias("nearest"))
-        .join(
-            placed.groupBy("problem", "cell").agg(F.count(F.lit(1)).alias("rows"), F.max("near").alias("radius")),
-            ["problem", "cell"],
-        )
-        .toPandas()
-    )
-    asked = (
-        queries.mapInPandas(place_queries(pivots), "problem int, cell int")
-        .groupBy("problem", "cell")
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .toPandas()
-    )
-    chunks = {(int(r.problem), int(r.cell)): math.ceil(r.rows / CHUNK_ROWS) for r in asked.itertuples()}
-    known["blocks"] = np.ceil(known["rows"] / BLOCK_ROWS).astype("int32")
-    cells = spark.sparkContext.broadcast({int(p): g.reset_index(drop=True) for p, g in known.groupby("problem")})
-
-    def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for problem, rows in batch.groupby("problem"):
-                info = cells.value[int(problem)]
-                to_pivots = _distances(_matrix(rows), pivots.value[int(problem)])
-                homes = to_pivots.argmin(axis=1)
-                far = to_pivots[:, info["cell"].to_numpy()]
-                # Any k rows bound the k-th distance: take those closest to their pivots.
-                owner = np.repeat(np.arange(len(info)), [len(n) for n in info["nearest"]])
-                bounds = np.sort(far[:, owner] + np.concatenate(info["nearest"].to_list()), axis=1)
-                reach = bounds[:, min(k, bounds.shape[1]) - 1] * (1 + 1e-9) + 10.0 ** (1 - DIGITS)
-                q, c = np.nonzero(far - info["radius"].to_numpy() <= reach[:, None])
-                blocks = info["blocks"].to_numpy()[c]
-                q, c = np.repeat(q, blocks), np.repeat(c, blocks)
-                block = np.arange(len(q)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
-                chunk = [
-                    f"{homes[i]}-{zlib.crc32(name.encode()) % chunks[int(problem), int(homes[i])]}"
-                    for i, name in enumerate(rows["id"])
-                ]
-                yield pd.DataFrame(
-                    {
-                        "problem": problem,
-                        "cell": info["cell"].to_numpy()[c],
-                        "block": block.astype("int32"),
-                        "chunk": np.array(chunk, dtype=object)[q],
-                        "id": rows["id"].to_numpy()[q],
-                        "x": rows["x"].to_numpy()[q],
-                    }
-                )
-
-    routed = queries.mapInPandas(route, "problem int, cell int, block int, chunk string, id string, x array<double>")
-    counts = spark.createDataFrame(
-        [(int(r.problem), int(r.cell), int(r.blocks)) for r in known.itertuples()], "problem int, cell int, blocks int"
-    )
-    blocks = placed.join(counts, ["problem", "cell"]).select(
-        "problem", "cell", (F.crc32(F.col("id").cast("binary")) % F.col("blocks")).cast("int").alias("block"), "id", "label", "x"
-    )
-    where = ["problem", "cell", "block"]
-    visits = routed.select(*where, F.col("chunk").alias("visitor")).distinct()
-
-    def search(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if left.empty or right.empty:
-            return pd.DataFrame(columns=["problem", "query", "id", "label", "distance"])
-        right = right.sort_values("id", kind="stable")
-        parts = _nearest(int(key[0]), left, right["id"].to_numpy(), right["label"].to_numpy(), _matrix(right), k)
-        return pd.concat(parts)
-
-    return (
-        routed.groupBy(*where, "chunk")
-        .cogroup(blocks.join(visits, where).groupBy(*where, "visitor"))
-        .applyInPandas(search, FOUND)
-    )
-
-
-def place_queries(pivots):
-    """[problem, cell] of each query."""
-
-    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for problem, rows in batch.groupby("problem"):
-                home = _distances(_matrix(rows), pivots.value[int(problem)]).argmin(axis=1)
-                yield pd.DataFrame({"problem": problem, "cell": home.astype("int32")})
-
-    return place
-
-
-def neighbours(train: DataFrame, queries: DataFrame, k: int, small_bytes: int = SMALL_BYTES) -> DataFrame:
+def neighbours(train: DataFrame, queries: DataFrame, k: int, scales: Scales) -> DataFrame:
     """[problem, query, id, label, distance, rank]: the k nearest training rows of each query.
 
-    ``train`` is [problem, id, label, x] and ``queries`` [problem, id, x]; rows only meet
-    within a problem, and there are few of those. Ties go to the smaller id.
+    ``train`` is [id, label, x, held] and ``queries`` [id, x, problems]. A query is asked once for each of its
+    problems, which have a scale each; a training row takes part in a problem unless it is in ``held``.
+    Ties go to the smaller id.
     """
-    train = materialize(train.select("problem", "id", "label", "x"))
-    sized = train.groupBy("problem").agg(F.count(F.lit(1)).alias("n"), F.max(F.size("x")).alias("width")).collect()
-    sizes, width = {r.problem: r.n for r in sized}, max((r.width for r in sized), default=0)
-    total = sum(sizes.values())
-    if not total:
+    blocks, chunks = math.ceil(train.count() / BLOCK_ROWS), math.ceil(queries.count() / CHUNK_ROWS)
+    if not blocks:
         raise ValueError("no training rows")
-    queries = queries.select("problem", "id", "x")
-    if total * (width + 8) * 8 <= small_bytes:
-        found = _search_everywhere(train, queries, k)
-    else:
-        found = _search_cells(_first_copies(train, k), queries, sizes, width, k)
+
+    def share(parts: int) -> Column:
+        return (F.crc32(F.col("id").cast("binary")) % max(1, parts)).cast("int")
+
+    def each(parts: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(max(1, parts) - 1)))
+
+    def search(asked: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
+        found = [pd.DataFrame(columns=["problem", "query", "id", "label", "distance"])]
+        if len(asked) and len(rows):
+            rows = rows.sort_values("id", kind="stable")
+            x, q, held = _matrix(rows), _matrix(asked), rows["held"].map(set)
+            names, ids, labels = asked["id"].to_numpy(), rows["id"].to_numpy(), rows["label"].to_numpy()
+            for problem in sorted(set().union(*asked["problems"])):
+                mine = np.flatnonzero(asked["problems"].map(lambda p: problem in p))
+                fit = np.flatnonzero(~held.map(lambda h: problem in h).to_numpy(bool))
+                if len(fit):
+                    for a, t, far in _nearest(_scaled(q[mine], *scales[problem]), _scaled(x[fit], *scales[problem]), k):
+                        t = fit[t]
+                        found.append(
+                            pd.DataFrame({"problem": problem, "query": names[mine[a]], "id": ids[t], "label": labels[t], "distance": far})
+                        )
+        return pd.concat(found[1:]) if len(found) > 1 else found[0]
+
+    where = ["block", "chunk"]
+    left = queries.select("id", "x", "problems", share(chunks).alias("chunk"), each(blocks).alias("block"))
+    right = train.select("id", "label", "x", "held", share(blocks).alias("block"), each(chunks).alias("chunk"))
+    found = left.groupBy(*where).cogroup(right.groupBy(*where)).applyInPandas(search, FOUND)
     nearest = Window.partitionBy("problem", "query").orderBy("distance", "id")
     return found.withColumn("rank", F.row_number().over(nearest)).filter(F.col("rank") <= k)
 
@@ -238,29 +109,35 @@ def _means(found: DataFrame, ks: Sequence[int]) -> DataFrame:
     return found.groupBy("problem", "query").agg(*means)
 
 
-def knn_tuning(train: DataFrame, ks: Sequence[int] = KS, folds: int = 10, repeats: int = 3, seed: int = 101) -> DataFrame:
-    """[k, rmse] by repeated cross-validation, scaled anew within each fold.
+def fold_numbers(folds: int, repeats: int, seed: int) -> Column:
+    """The fold of a row in each repeat; folds of all repeats are numbered through."""
+    fold = [(hash_number(key_hash(f"{seed}-{r}", ["id"]), 8) % folds + r * folds).cast("int") for r in range(repeats)]
+    return F.array(*fold)
 
-    All folds of all repeats are searched together, as separate problems.
-    """
+
+def fold_scales(raw: DataFrame, width: int, folds: int) -> Scales:
+    """Means and sample deviations of the rows outside each fold, from those within the other folds."""
+    within = F.expr(f"array({', '.join(f'var_pop(x[{i}])' for i in range(width))})").alias("variances")
+    sums = raw.select(F.explode("held").alias("fold"), "x").groupBy("fold").agg(F.count(F.lit(1)).alias("n"), moments(width)[0], within)
+    found = {r.fold: (r.n, np.array(r.means), np.array(r.variances)) for r in sums.collect()}
+    scales = {}
+    for fold in found:
+        others = [v for f, v in found.items() if f != fold and f // folds == fold // folds]
+        n = sum(m for m, _, _ in others)
+        mean = sum((m * a for m, a, _ in others), np.zeros(width)) / max(n, 1)
+        squares = sum((m * (v + (a - mean) ** 2) for m, a, v in others), np.zeros(width))
+        scales[fold] = (mean, np.sqrt(squares / max(n - 1, 1)))
+    return scales
+
+
+def knn_tuning(train: DataFrame, ks: Sequence[int] = KS, folds: int = 10, repeats: int = 3, seed: int = 101) -> DataFrame:
+    """[k, rmse] by repeated cross-validation, scaled anew within each fold."""
     train = materialize(train)
     design = fit_design(train)
     raw = train.select(F.col(KEY).alias("id"), F.col(LABEL).cast("double").alias("label"), design.row().alias("x"))
-    fold = F.array(*[(hash_number(key_hash(f"{seed}-{r}", ["id"]), 8) % folds + r * folds).cast("int") for r in range(repeats)])
-    raw = materialize(raw.withColumn("held", fold))
-    problems = raw.select("*", F.explode(F.sequence(F.lit(0), F.lit(folds * repeats - 1))).alias("problem"))
-    fitted = problems.filter(~F.array_contains("held", F.col("problem")))
-    scales = fitted.groupBy("problem").agg(*moments(design.width))
-    # One row per fold and repeat.
-    scales = train.sparkSession.createDataFrame(scales.collect(), scales.schema)
-    cells = ", ".join(f"if(spreads[{i}] > 0, (x[{i}] - means[{i}]) / spreads[{i}], 0D)" for i in range(design.width))
-
-    def scaled(df: DataFrame) -> DataFrame:
-        return df.join(scales, "problem").select("problem", "id", "label", F.expr(f"array({cells})").alias("x"))
-
-    held = scaled(raw.select("*", F.explode("held").alias("problem")))
-    predicted = _means(neighbours(scaled(fitted), held, max(ks)), ks)
-    scored = predicted.join(held.select("problem", F.col("id").alias("query"), "label"), ["problem", "query"])
+    raw = materialize(raw.withColumn("held", fold_numbers(folds, repeats, seed)))
+    found = neighbours(raw, raw.withColumnRenamed("held", "problems"), max(ks), fold_scales(raw, design.width, folds))
+    scored = _means(found, ks).join(raw.select(F.col("id").alias("query"), "label"), "query")
     errors = [F.sqrt(F.avg((F.col(f"k{k}") - F.col("label")) ** 2)).alias(f"k{k}") for k in ks]
     mean = scored.groupBy("problem").agg(*errors).agg(*[F.avg(f"k{k}").alias(f"k{k}") for k in ks])
     pairs = F.explode(F.array(*[F.struct(F.lit(k).cast("long").alias("k"), F.col(f"k{k}").alias("rmse")) for k in ks]))
@@ -272,14 +149,13 @@ def best_k(tuning: DataFrame) -> int:
     return tuning.orderBy("rmse", "k").first().k
 
 
-def knn_forecast(
-    train: DataFrame, features: DataFrame, k: int | None = None, seed: int = 101, small_bytes: int = SMALL_BYTES
-) -> DataFrame:
-    """[prod_id, prediction]: the mean label of the k nearest. Without ``k`` it is tuned first."""
+def knn_forecast(train: DataFrame, features: DataFrame, k: int | None = None, seed: int = 101, repeats: int = 3) -> DataFrame:
+    """[prod_id, prediction]: the mean label of the k nearest. Without ``k`` it is tuned first, by ``repeats`` cross-validations."""
+    train = materialize(train)
     if k is None:
-        train = materialize(train)
-        k = best_k(knn_tuning(train, seed=seed))
+        k = best_k(knn_tuning(train, seed=seed, repeats=repeats))
     problem = prepare(train, features)
-    one = F.lit(0).alias("problem")
-    found = neighbours(problem.train.select(one, "*"), problem.queries.select(one, "*"), k, small_bytes)
+    none, one = F.array().cast("array<int>").alias("held"), F.array(F.lit(0)).alias("problems")
+    same = {0: (np.zeros(problem.design.width), np.ones(problem.design.width))}
+    found = neighbours(problem.train.select("id", "label", "x", none), problem.queries.select("id", "x", one), k, same)
     return _means(found, [k]).select(F.col("query").alias(KEY), F.col(f"k{k}").alias("prediction"))

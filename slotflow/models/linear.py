@@ -1,68 +1,89 @@
-"""Partial least squares, radial features with a robust loss, and hinge features.
+"""Partial least squares, radial features with a ridge penalty, and hinges with term selection.
 
-The last two stand for a radial support-vector regression and for adaptive splines: fixed
-bases with a distributed linear fit on top.
+All three are fitted and tuned from one pass over the training rows: sums of products per fold. The last two
+stand for a radial support-vector regression and for adaptive splines.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, functions as F
 
-from slotflow.functions.columns import hash_number, key_hash
 from slotflow.models.design import KEY, prepare
+from slotflow.models.knn import fold_numbers
 
 COMPONENTS = (1, 2, 3)  # fixed values: the candidates for the number of components
+COSTS = (0.25, 0.5, 1.0)  # fixed values: the candidates for the cost of an error
+TERMS = (2, 7, 13, 21)  # candidates for the number of hinges kept
 
+Line = tuple[float, np.ndarray]
 
-def fold_sums(train: DataFrame, width: int, folds: int, repeats: int, seed: int) -> dict[int, np.ndarray]:
-    """Per fold the sums of products of (1, x, label) over its rows.
 
-    Each task adds up its own rows; sums of tasks meet element by element. The driver gets
-    one matrix per fold.
+def fold_sums(
+    train: DataFrame, folds: int, repeats: int, seed: int, basis: Callable[[np.ndarray], np.ndarray] = lambda x: x
+) -> dict[int, np.ndarray]:
+    """Per fold the sums of products of (1, basis of x, label) over its rows.
+
+    Each task adds up its own rows and sends a matrix per fold; a second step adds those of a fold, one after
+    the other. The driver gets one matrix per fold.
     """
-    size = width + 2
-    fold = F.array(*[(hash_number(key_hash(f"{seed}-{r}", ["id"]), 8) % folds + r * folds).cast("int") for r in range(repeats)])
 
     def add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             if batch.empty:
                 continue
-            rows = np.column_stack([np.ones(len(batch)), np.stack(batch["x"].to_numpy()), batch["label"].to_numpy()])
+            x = basis(np.stack(batch["x"].to_numpy()))
+            rows = np.column_stack([np.ones(len(batch)), x, batch["label"].to_numpy()])
             held = np.stack(batch["held"].to_numpy())
             for number in np.unique(held):
                 mine = rows[(held == number).any(axis=1)]
                 sums[int(number)] = sums.get(int(number), 0) + mine.T @ mine
-        if sums:
-            yield pd.DataFrame({"fold": list(sums), "cells": [s.ravel().tolist() for s in sums.values()]})
+        for number, matrix in sums.items():
+            yield pd.DataFrame({"fold": [number], "cells": [matrix.ravel()]})
+
+    def meet(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for number, cells in zip(batch["fold"], batch["cells"]):
+                sums[int(number)] = sums.get(int(number), 0) + np.asarray(cells)
+        for number, cells in sums.items():
+            yield pd.DataFrame({"fold": [number], "cells": [cells]})
 
-    partial = train.select("x", "label", fold.alias("held")).mapInPandas(add_up, "fold int, cells array<double>")
-    summed = (
-        partial.select("fold", F.posexplode("cells").alias("pos", "cell"))
-        .groupBy("fold", "pos")
-        .agg(F.sum("cell").alias("cell"))
-        .toPandas()
-    )
-    return {
-        int(number): cells.sort_values("pos")["cell"].to_numpy().reshape(size, size)
-        for number, cells in summed.groupby("fold")
-    }
+    schema = "fold int, cells array<double>"
+    partial = train.select("x", "label", fold_numbers(folds, repeats, seed).alias("held")).mapInPandas(add_up, schema)
+    rows = partial.repartition("fold").mapInPandas(meet, schema).collect()
+    side = {r.fold: round(len(r.cells) ** 0.5) for r in rows}
+    return {r.fold: np.array(r.cells).reshape(side[r.fold], side[r.fold]) for r in rows}
 
 
-def pls_coefficients(sums: np.ndarray, components: int) -> tuple[float, np.ndarray]:
-    """Intercept and slopes from sums of products.
+def _scaled(sums: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Means, deviations (1 for a constant column), and sums of products of the centred, scaled columns."""
+    n, means = sums[0, 0], sums[0, 1:] / sums[0, 0]
+    centred = sums[1:, 1:] - n * np.outer(means, means)
+    squares = np.maximum(np.diag(centred), 0)
+    varies = squares > 1e-10 * np.maximum(np.diag(sums)[1:], 1e-300)
+    spreads = np.where(varies, np.sqrt(squares / max(n - 1, 1)), 1.0)
+    spreads[-1] = 1.0
+    centred = np.where(np.outer(varies, varies), centred, 0.0)
+    return means, spreads, centred / np.outer(spreads, spreads)
+
+
+def _line(means: np.ndarray, spreads: np.ndarray, slopes: np.ndarray) -> Line:
+    slopes = slopes / spreads[:-1]
+    return means[-1] - means[:-1] @ slopes, slopes
+
+
+def pls_coefficients(sums: np.ndarray, components: int) -> Line:
+    """Intercept and slopes from sums of products; columns are scaled by these rows.
 
     Partial least squares of one response is least squares within the space spanned by
     s, Gs, GGs, ... of the centred products G of the columns and s with the response.
     """
-    n, means = sums[0, 0], sums[0, 1:] / sums[0, 0]
-    centred = sums[1:, 1:] - n * np.outer(means, means)
+    means, spreads, centred = _scaled(sums)
     gram, s = centred[:-1, :-1], centred[:-1, -1]
     basis: list[np.ndarray] = []
     direction = s
@@ -77,58 +98,99 @@ def pls_coefficients(sums: np.ndarray, components: int) -> tuple[float, np.ndarr
     if not basis:
         return means[-1], np.zeros(len(s))
     v = np.column_stack(basis)
-    slopes = v @ np.linalg.lstsq(v.T @ gram @ v, v.T @ s, rcond=None)[0]
+    return _line(means, spreads, v @ np.linalg.lstsq(v.T @ gram @ v, v.T @ s, rcond=None)[0])
+
+
+def ridge_coefficients(sums: np.ndarray, cost: float) -> Line:
+    """Intercept and slopes that minimise cost times the squared errors plus half the squared slopes."""
+    n, means = sums[0, 0], sums[0, 1:] / sums[0, 0]
+    centred = sums[1:, 1:] - n * np.outer(means, means)
+    slopes = np.linalg.solve(centred[:-1, :-1] + np.eye(len(means) - 1) / (2 * cost), centred[:-1, -1])
     return means[-1] - means[:-1] @ slopes, slopes
 
 
+def term_path(sums: np.ndarray, most: int, least_gain: float = 1e-3) -> dict[int, list[int]]:
+    """For each number of terms the ones kept: added one by one where they help most, then dropped where they help least."""
+    _, _, centred = _scaled(sums)
+    left, total, chosen = centred.copy(), centred[-1, -1], []
+    while len(chosen) < min(most, len(centred) - 1):
+        room = np.diag(left)[:-1]
+        free = room > 1e-8 * np.maximum(np.diag(centred)[:-1], 1e-300)
+        free[chosen] = False
+        gains = np.where(free, left[:-1, -1] ** 2 / np.where(free, room, 1), -1)
+        best = int(np.argmax(gains))
+        if gains[best] <= least_gain * max(total, 1e-300):
+            break
+        chosen.append(best)
+        left = left - np.outer(left[:, best], left[best]) / left[best, best]
+    path = {len(chosen): list(chosen)}
+    while chosen:
+        inverse = np.linalg.pinv(centred[np.ix_(chosen, chosen)])
+        slopes = inverse @ centred[chosen, -1]
+        chosen.pop(int(np.argmin(slopes**2 / np.maximum(np.diag(inverse), 1e-300))))
+        path[len(chosen)] = list(chosen)
+    return path
+
+
+def term_coefficients(sums: np.ndarray, terms: int, most: int = max(TERMS)) -> Line:
+    """Least squares on the ``terms`` selected columns; the others get a slope of 0."""
+    means, spreads, centred = _scaled(sums)
+    path = term_path(sums, most)
+    kept = path[min(terms, max(path))]
+    slopes = np.zeros(len(means) - 1)
+    if kept:
+        slopes[kept] = np.linalg.lstsq(centred[np.ix_(kept, kept)], centred[kept, -1], rcond=None)[0]
+    return _line(means, spreads, slopes)
+
+
 def _held_out_error(sums: np.ndarray, intercept: float, slopes: np.ndarray) -> float:
     weights = np.concatenate([[-intercept], -slopes, [1.0]])
     return float(np.sqrt(max(0.0, weights @ sums @ weights) / sums[0, 0]))
 
 
-def pls_tuning(sums: dict[int, np.ndarray], folds: int, candidates=COMPONENTS) -> dict[int, float]:
-    """Mean held-out error per number of components; training sums are the total less the fold."""
+def tuning(sums: dict[int, np.ndarray], folds: int, fit: Callable[[np.ndarray, float], Line], candidates: Sequence) -> dict:
+    """Mean held-out error per candidate; training sums are the total less the fold."""
+    totals: dict[int, np.ndarray] = {}
+    for number, held in sums.items():
+        totals[number // folds] = totals.get(number // folds, 0) + held
     errors = {}
-    for components in candidates:
-        scores = []
-        for number, held in sums.items():
-            repeat = number // folds
-            total = sum(s for other, s in sums.items() if other // folds == repeat)
-            if held[0, 0] and (total - held)[0, 0]:
-                scores.append(_held_out_error(held, *pls_coefficients(total - held, components)))
-        errors[components] = float(np.mean(scores)) if scores else float("inf")
+    for candidate in candidates:
+        scores = [
+            _held_out_error(held, *fit(totals[number // folds] - held, candidate))
+            for number, held in sums.items()
+            if held[0, 0] and (totals[number // folds] - held)[0, 0] > 0.5
+        ]
+        errors[candidate] = float(np.mean(scores)) if scores else float("inf")
     return errors
 
 
+def _tuned(sums: dict[int, np.ndarray], folds: int, fit: Callable[[np.ndarray, float], Line], candidates: Sequence) -> Line:
+    """The line of all rows, by the first of the candidates with the smallest error."""
+    candidate = candidates[0]
+    if len(candidates) > 1:
+        errors = tuning(sums, folds, fit, candidates)
+        candidate = min(candidates, key=lambda c: (errors[c], candidates.index(c)))
+    return fit(sum(s for f, s in sums.items() if f < folds), candidate)
+
+
 def pls_forecast(
     train: DataFrame, features: DataFrame, components: int | None = None, folds: int = 10, repeats: int = 3, seed: int = 101
 ) -> DataFrame:
-    """[prod_id, prediction] by partial least squares; without ``components`` they are tuned.
-
-    One pass over the training rows serves every fold. Columns are scaled once, by all rows.
-    """
+    """[prod_id, prediction] by partial least squares; without ``components`` they are tuned, scaled anew within each fold."""
     problem = prepare(train, features)
-    sums = fold_sums(problem.train, problem.design.width, folds, repeats, seed)
-    if components is None:
-        errors = pls_tuning(sums, folds)
-        components = min(errors, key=lambda c: (errors[c], c))
-    intercept, slopes = pls_coefficients(sum(s for f, s in sums.items() if f < folds), components)
+    sums = fold_sums(problem.train, folds, repeats, seed)
+    intercept, slopes = _tuned(sums, folds, pls_coefficients, COMPONENTS if components is None else (components,))
     terms = " + ".join([f"({float(intercept)!r}D)"] + [f"x[{i}] * ({float(b)!r}D)" for i, b in enumerate(slopes)])
     return problem.queries.select(F.col("id").alias(KEY), F.expr(terms).alias("prediction"))
 
 
-def _fit_and_score(train: DataFrame, queries: DataFrame, regression: LinearRegression) -> DataFrame:
-    model = regression.setFeaturesCol("v").setLabelCol("label").fit(train.withColumn("v", array_to_vector("x")))
-    scored = model.transform(queries.withColumn("v", array_to_vector("x")))
-    return scored.select(F.col("id").alias(KEY), "prediction")
-
-
 def rbf_forecast(
-    train: DataFrame, features: DataFrame, size: int = 200, gamma: float | None = None, penalty: float = 1.0, seed: int = 101
-) -> DataFrame:
-    """[prod_id, prediction] by random Fourier features of a radial kernel and a Huber loss.
+    train: DataFrame, features: DataFrame, size: int = 200, gamma: float | None = None, costs: Sequence[float] = COSTS,
+    folds: int = 10, repeats: int = 3, seed: int = 101,
+) -> DataFrame:
+    """[prod_id, prediction] by random Fourier features of a radial kernel and squared errors.
 
-    ``gamma`` is 1 / columns unless given.
+    The cost of an error is tuned by cross-validation; ``gamma`` is 1 / columns unless given.
     """
     problem = prepare(train, features)
     width = problem.design.width
@@ -136,35 +198,40 @@ def rbf_forecast(
     spread = np.sqrt(2 * (gamma if gamma is not None else 1 / width))
     weights, shifts = generator.normal(0, spread, (width, size)), generator.uniform(0, 2 * np.pi, size)
 
-    @F.pandas_udf("array<double>")
-    def waves(x: pd.Series) -> pd.Series:
-        if x.empty:
-            return x
-        values = np.sqrt(2 / size) * np.cos(np.stack(x.to_numpy()) @ weights + shifts)
-        return pd.Series(list(values))
+    def waves(x: np.ndarray) -> np.ndarray:
+        return np.sqrt(2 / size) * np.cos(x @ weights + shifts)
 
-    regression = LinearRegression(loss="huber", regParam=penalty / 1000, maxIter=100)
-    return _fit_and_score(
-        problem.train.withColumn("x", waves("x")), problem.queries.withColumn("x", waves("x")), regression
-    )
+    intercept, slopes = _tuned(fold_sums(problem.train, folds, repeats, seed, waves), folds, ridge_coefficients, costs)
+
+    @F.pandas_udf("double")
+    def predict(x: pd.Series) -> pd.Series:
+        return pd.Series(intercept + waves(np.stack(x.to_numpy())) @ slopes) if len(x) else pd.Series([], dtype=float)
+
+    return problem.queries.select(F.col("id").alias(KEY), predict("x").alias("prediction"))
 
 
 def hinge_forecast(
-    train: DataFrame, features: DataFrame, knots: int = 3, penalty: float = 0.01, seed: int = 101
+    train: DataFrame, features: DataFrame, knots: int = 5, terms: Sequence[int] = TERMS, folds: int = 10, repeats: int = 3, seed: int = 101
 ) -> DataFrame:
-    """[prod_id, prediction] by hinges at quantiles of each number and an L1 penalty.
+    """[prod_id, prediction] by hinges at quantiles of each number.
 
-    ``seed`` has no effect: nothing here is random.
+    Terms are selected forward and backward; how many stay is tuned by cross-validation, with the selection
+    made anew within each fold.
     """
     problem = prepare(train, features)
     width, numbers = problem.design.width, len(problem.design.numbers)
     columns = problem.train.select(*[F.col("x")[i].alias(f"x{i}") for i in range(numbers)])
     at = columns.approxQuantile(columns.columns, [(i + 1) / (knots + 1) for i in range(knots)], 0.01)
+    places = [(i, float(place)) for i, found in enumerate(at) for place in sorted(set(found))]
+    column, place = np.array([i for i, _ in places], int), np.array([p for _, p in places])
+
+    def hinges(x: np.ndarray) -> np.ndarray:
+        above = x[:, column] - place
+        return np.hstack([x, np.maximum(above, 0), np.maximum(-above, 0)])
 
+    sums = fold_sums(problem.train, folds, repeats, seed, hinges)
+    intercept, slopes = _tuned(sums, folds, term_coefficients, terms)
     cells = [f"x[{i}]" for i in range(width)]
-    for i, places in enumerate(at):
-        for place in sorted(set(places)):
-            cells += [f"greatest(x[{i}] - ({place!r}D), 0D)", f"greatest(({place!r}D) - x[{i}], 0D)"]
-    basis = F.expr(f"array({', '.join(cells)})")
-    regression = LinearRegression(elasticNetParam=1.0, regParam=penalty, maxIter=100)
-    return _fit_and_score(problem.train.withColumn("x", basis), problem.queries.withColumn("x", basis), regression)
+    cells += [f"greatest(x[{i}] - ({p!r}D), 0D)" for i, p in places] + [f"greatest(({p!r}D) - x[{i}], 0D)" for i, p in places]
+    used = [f"{cell} * ({float(b)!r}D)" for cell, b in zip(cells, slopes) if b]
+    return problem.queries.select(F.col("id").alias(KEY), F.expr(" + ".join([f"({float(intercept)!r}D)", *used])).alias("prediction"))

@@ -60,13 +60,12 @@ def brute_force(train, asked, k):
     return found
 
 
-@pytest.mark.parametrize("blocks", [None, (4096, 2048), (40, 16)])
-def test_knn_ways_equal_brute_force(spark, data, monkeypatch, blocks):
+@pytest.mark.parametrize("blocks", [(4096, 2048), (40, 16)])
+def test_knn_equals_brute_force(spark, data, monkeypatch, blocks):
     (train, train_df), (asked, asked_df) = data
-    if blocks:
-        monkeypatch.setattr(knn, "BLOCK_ROWS", blocks[0])
-        monkeypatch.setattr(knn, "CHUNK_ROWS", blocks[1])
-    rows = knn.knn_forecast(train_df, asked_df, k=7, small_bytes=0 if blocks else knn.SMALL_BYTES).collect()
+    monkeypatch.setattr(knn, "BLOCK_ROWS", blocks[0])
+    monkeypatch.setattr(knn, "CHUNK_ROWS", blocks[1])
+    rows = knn.knn_forecast(train_df, asked_df, k=7).collect()
     found, want = {r.prod_id: r.prediction for r in rows}, brute_force(train, asked, 7)
     assert found.keys() == want.keys()
     assert all(abs(found[k] - want[k]) < 1e-9 for k in want)
@@ -110,7 +109,49 @@ def test_held_out_errors_come_from_sums():
     for f in range(3):
         intercept, slopes = linear.pls_coefficients(rows[fold != f].T @ rows[fold != f], 2)
         want.append(np.sqrt(np.mean((y[fold == f] - intercept - x[fold == f] @ slopes) ** 2)))
-    assert np.isclose(linear.pls_tuning(sums, 3, [2])[2], np.mean(want))
+    assert np.isclose(linear.tuning(sums, 3, linear.pls_coefficients, [2])[2], np.mean(want))
+
+
+def test_columns_are_scaled_within_the_fold():
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(60, 3)) * [1, 100, 0.01] + [5, 0, 1]
+    y = x @ [1, 0.02, 30] + rng.normal(size=60)
+    rows = np.column_stack([np.ones(60), x, y])
+    z = (x - x.mean(0)) / x.std(0, ddof=1)
+    weights = z.T @ (y - y.mean())
+    step = (weights @ weights) / ((z @ weights) ** 2).sum()
+    intercept, slopes = linear.pls_coefficients(rows.T @ rows, 1)
+    assert np.allclose(intercept + x @ slopes, y.mean() + step * (z @ weights))
+
+
+def test_terms_are_found_and_dropped():
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(400, 12))
+    y = 3 * x[:, 4] - 2 * x[:, 9] + 0.5 * x[:, 1] + rng.normal(size=400) * 0.1
+    rows = np.column_stack([np.ones(400), x, y])
+    path = linear.term_path(rows.T @ rows, 8)
+    assert [set(path[n]) for n in (1, 2, 3)] == [{4}, {4, 9}, {1, 4, 9}]
+    intercept, slopes = linear.term_coefficients(rows.T @ rows, 3)
+    want = np.linalg.lstsq(np.column_stack([np.ones(400), x[:, [1, 4, 9]]]), y, rcond=None)[0]
+    assert np.allclose([intercept, *slopes[[1, 4, 9]]], want) and (slopes[[0, 2, 3]] == 0).all()
+
+
+def test_tuning_equals_brute_force(spark, data, monkeypatch):
+    """Scaled within each fold, over blocks, against a loop."""
+    monkeypatch.setattr(knn, "BLOCK_ROWS", 50)
+    monkeypatch.setattr(knn, "CHUNK_ROWS", 30)
+    train = data[0][0][:150]
+    frame = spark.createDataFrame(train, SCHEMA)
+    found = {r.k: r.rmse for r in knn.knn_tuning(frame, folds=4, repeats=2).collect()}
+    held = {r.id: r.held for r in frame.select(F.col("prod_id").alias("id")).withColumn("held", knn.fold_numbers(4, 2, 101)).collect()}
+    errors = {k: [] for k in (5, 7, 9)}
+    for number in range(8):
+        asked = [r for r in train if number in held[r[0]]]
+        rest = [r for r in train if number not in held[r[0]]]
+        for k in errors:
+            guess = brute_force(rest, asked, k)
+            errors[k].append(np.sqrt(np.mean([(guess[r[0]] - r[-1]) ** 2 for r in asked])))
+    assert all(abs(found[k] - np.mean(errors[k])) < 1e-9 for k in errors)
 
 
 def test_every_regressor_beats_the_mean(spark, data):
