@@ -60,17 +60,6 @@ def tote_stock(site):
     return site.tote_stock()
 
 
-@query
-def tote_stock_split(site):
-    """The way for items too large for one task, on all items."""
-    from slotflow.operators.stock import located_stock, rank_stock
-
-    located = located_stock(
-        site.stock(), site.totes(), site.items(), site.locations(), site.location_states(), site.states()
-    )
-    return rank_stock(located, split=True)
-
-
 @query
 def expected_demand(site):
     return _wanted(site, site.tote_stock())
@@ -124,23 +113,49 @@ def write_moves(site):
 
 @query
 def move_outcomes(site):
-    return outcomes.move_outcomes(_instructions(site), site.transports(), AS_OF)
+    """The day's moves among those of two days."""
+    today = _instructions(site)
+    earlier = today.withColumn("timestamp", F.col("timestamp") - F.expr("interval 1 day"))
+    return outcomes.move_outcomes(today.unionByName(earlier), site.transports(), AS_OF)
+
+
+def _ledger(site: Fixture) -> str:
+    """A stored ledger: the moves into OSR, then those into ASRS; the second batch is run twice."""
+    planned, path = materialize(_instructions(site)), _new_path(site, "ledger")
+    ledger.create_ledger(site.spark, path)
+    for batch, state in ((1, "Z-MOVE_OSR"), (2, "Z-MOVE_ASRS"), (2, "Z-MOVE_ASRS")):
+        ledger.commit_insert(planned.filter(F.col("target_state_name") == state), path, batch)
+    return path
 
 
 @query
 def ledger_insert(site):
-    """Moves into OSR, then those into ASRS."""
-    stock = _stock(site)
-    wanted = _wanted(site, stock)
-    first = ledger.ledger_insert(
-        moves.moves(stock, wanted, CREATED_AT).filter(F.lit(False)), moves.moves_to_osr(stock, wanted, CREATED_AT)
-    )
-    return ledger.ledger_insert(first, moves.moves_to_asrs(stock, wanted, CREATED_AT))
+    return ledger.read_ledger(site.spark, _ledger(site))
 
 
 @query
 def ledger_delete(site):
-    return ledger.ledger_delete(_instructions(site), "Z-MOVE_OSR").select(*ledger.LEDGER)
+    path = _ledger(site)
+    ledger.commit_delete(site.spark, path, 3, "Z-MOVE_OSR")
+    return ledger.read_ledger(site.spark, path)
+
+
+@query
+def ledger_delete_all(site):
+    """Everything is deleted; then the moves into OSR come back."""
+    path = _ledger(site)
+    again = site.spark.read.parquet(f"{path}/inserts/batch=1")
+    ledger.commit_delete(site.spark, path, 3)
+    ledger.commit_insert(again, path, 4)
+    return ledger.read_ledger(site.spark, path)
+
+
+@query
+def ledger_frames(site):
+    """The same without storage: insertion and deletion of frames."""
+    planned = materialize(_instructions(site))
+    both = ledger.ledger_insert(planned.filter("target_state_name = 'Z-MOVE_OSR'"), planned.filter("target_state_name = 'Z-MOVE_ASRS'"))
+    return ledger.ledger_delete(both, "Z-MOVE_OSR")
 
 
 @query
@@ -265,12 +280,6 @@ def knn_forecast_nine(site):
     return knn_forecast(*jobs.model_data(site, AS_OF), k=9)
 
 
-@query
-def knn_forecast_cells(site):
-    """The way for training sets too large for one task."""
-    return knn_forecast(*jobs.model_data(site, AS_OF), k=9, small_bytes=0)
-
-
 def _tuned(site: Fixture) -> DataFrame:
     return knn_forecast(*jobs.model_data(site, AS_OF))
 
@@ -345,6 +354,12 @@ def balanced_sample(site):
     return sampling.balanced_sample(_facts(site), "move", 10_000, TOTE_KEY)
 
 
+@query
+def balanced_sample_small(site):
+    """So few of each class that the quota bites in both."""
+    return sampling.balanced_sample(_facts(site), "move", 1_000, TOTE_KEY)
+
+
 @query
 def stratified_split(site):
     return sampling.stratified_split(_facts(site), "move", 0.8, TOTE_KEY).select(*TOTE_KEY, "move", "in_train")

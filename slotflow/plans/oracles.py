@@ -18,7 +18,8 @@ PARTS: dict[str, tuple[str, str]] = {
     "lines_all": (
         "",
         """select l_orderkey as originator_header_id, cast(l_linenumber as bigint) as line_no, l_partkey as item_id,
-            l_suppkey as supp_id, cast(l_quantity as bigint) as requested_quantity, l_extendedprice as ext,
+            l_suppkey as supp_id, l_extendedprice as ext, cast(l_quantity as bigint) % 4 + 1
+            + case when l_partkey % 4 = 0 then 40 else 0 end + case when l_partkey % 3 = 0 then 15 else 0 end as requested_quantity,
             l_orderkey % 40 as age
         from lineitem""",
     ),
@@ -62,14 +63,14 @@ PARTS: dict[str, tuple[str, str]] = {
         "",
         """select 'T' || l_orderkey || '-' || l_suppkey as licenceplate, l_suppkey as loc_id,
             cast(min(l_linenumber) % 4 as bigint) as cont_type_id, cast(max(l_linenumber) % 3 as bigint) as z_pos
-        from lineitem where l_returnflag = 'N' group by l_orderkey, l_suppkey""",
+        from lineitem group by l_orderkey, l_suppkey""",
     ),
     "held": (
         "",
         """select 'T' || l_orderkey || '-' || l_suppkey as licenceplate,
             lpad(cast(l_partkey as varchar), 8, '0') as item_number, l_partkey as item_id,
             cast(sum(l_quantity) as bigint) as quantity
-        from lineitem where l_returnflag = 'N' group by l_orderkey, l_suppkey, l_partkey""",
+        from lineitem group by l_orderkey, l_suppkey, l_partkey""",
     ),
     "places": (
         "",
@@ -97,7 +98,8 @@ PARTS: dict[str, tuple[str, str]] = {
     "transports": (
         "",
         """select 'T' || l_orderkey || '-' || l_suppkey as licenceplate, min(l_orderkey % 3 + 1) as transport_orders
-        from lineitem where l_returnflag = 'N' and l_orderkey % 4 = 0 group by l_orderkey, l_suppkey""",
+        from lineitem group by l_orderkey, l_suppkey
+        having (sum(l_quantity) >= 25 and l_suppkey % 2 = 0) <> (l_orderkey % 11 = 0)""",
     ),
     "messages": (
         "",
@@ -428,7 +430,6 @@ _INSTRUCTION = "licenceplate, target_state_name, source_zone_name, \"timestamp\"
 
 ORACLES: dict[str, str] = {
     "tote_stock": whole("ranked"),
-    "tote_stock_split": whole("ranked"),
     "expected_demand": whole("demand"),
     "osr_shortfall": whole("short"),
     "moves_no_demand": whole("rule_no_demand"),
@@ -447,6 +448,8 @@ ORACLES: dict[str, str] = {
     ),
     "ledger_insert": whole("ledger"),
     "ledger_delete": statement("select * from ledger where target_state_name <> 'Z-MOVE_OSR'", "ledger"),
+    "ledger_delete_all": statement("select * from ledger where target_state_name = 'Z-MOVE_OSR'", "ledger"),
+    "ledger_frames": statement("select * from ledger where target_state_name <> 'Z-MOVE_OSR'", "ledger"),
     "tote_product_lookup": statement(
         """select licenceplate, (select string_agg(item_number, ',' order by item_number) from (
             select distinct item_number from ranked r where r.licenceplate = i.licenceplate)) as prod_ids
@@ -507,6 +510,13 @@ ORACLES: dict[str, str] = {
         where directorate is not null""",
         "tote_facts",
     ),
+    "balanced_sample_small": statement(
+        f"""select * from (
+            select * from tote_facts
+            qualify row_number() over (partition by move order by {_HASH.format(seed=101)}) <= 1000)
+        where directorate is not null""",
+        "tote_facts",
+    ),
     "stratified_split": statement(
         f"""select insert_date, licenceplate, item_number, move,
             row_number() over (partition by move order by {_HASH.format(seed=102)})
@@ -538,7 +548,6 @@ ORACLES: dict[str, str] = {
         "guessed",
     ),
 }
-ORACLES["knn_forecast_cells"] = ORACLES["knn_forecast_nine"]
 
 
 def _with_foreseen() -> str:

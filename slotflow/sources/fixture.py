@@ -33,6 +33,13 @@ def pid(key: str) -> Column:
     return F.lpad(F.col(key).cast("string"), 8, "0")
 
 
+def requested() -> Column:
+    """Units of an order line: some products are asked for in larger numbers, by kind."""
+    part = F.col("l_partkey")
+    base = F.col("l_quantity").cast("long") % 4 + 1
+    return base + F.when(part % 4 == 0, 40).otherwise(0) + F.when(part % 3 == 0, 15).otherwise(0)
+
+
 def days_before(day: date, key: str, cycle: int) -> Column:
     return F.date_sub(F.lit(day), (F.col(key) % cycle).cast("int"))
 
@@ -78,7 +85,7 @@ class Fixture:
             F.col("l_linenumber").cast("long").alias("line_no"),
             F.col("l_partkey").alias("item_id"),
             F.col("l_suppkey").alias("supp_id"),
-            F.col("l_quantity").cast("long").alias("requested_quantity"),
+            requested().alias("requested_quantity"),
             F.col("l_extendedprice").alias("ext"),
         )
 
@@ -134,11 +141,8 @@ class Fixture:
             F.lit("T"), F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_suppkey").cast("string")
         )
 
-    def _stored(self) -> DataFrame:
-        return self.table("lineitem").filter(F.col("l_returnflag") == "N")
-
     def totes(self) -> DataFrame:
-        grouped = self._stored().groupBy("l_orderkey", "l_suppkey").agg(
+        grouped = self.table("lineitem").groupBy("l_orderkey", "l_suppkey").agg(
             (F.min("l_linenumber") % 4).cast("long").alias("cont_type_id"),
             (F.max("l_linenumber") % 3).cast("long").alias("z_pos"),
         )
@@ -151,7 +155,7 @@ class Fixture:
         )
 
     def stock(self) -> DataFrame:
-        grouped = self._stored().groupBy("l_orderkey", "l_suppkey", "l_partkey")
+        grouped = self.table("lineitem").groupBy("l_orderkey", "l_suppkey", "l_partkey")
         return grouped.agg(F.sum("l_quantity").cast("long").alias("act_quantity")).select(
             self._plate().alias("cont_id"), F.col("l_partkey").alias("item_id"), "act_quantity"
         )
@@ -208,9 +212,18 @@ class Fixture:
         return shop.unionByName(web)
 
     def transports(self) -> DataFrame:
-        driven = self._stored().filter(F.col("l_orderkey") % 4 == 0).groupBy("l_orderkey", "l_suppkey")
-        return driven.agg(F.min(F.col("l_orderkey") % 3 + 1).alias("transport_orders")).select(
-            F.lit(AS_OF).alias("insert_date"), self._plate().alias("licenceplate"), "transport_orders"
+        """Full totes in OSR were driven, and every eleventh order does the opposite of the others.
+
+        Each second tote that was driven has a transport of the day before as well.
+        """
+        totes = self.table("lineitem").groupBy("l_orderkey", "l_suppkey").agg(F.sum("l_quantity").alias("held"))
+        likely = (F.col("held") >= 25) & (F.col("l_suppkey") % 2 == 0)
+        driven = totes.filter(likely != (F.col("l_orderkey") % 11 == 0))
+        days = F.when(F.col("l_orderkey") % 2 == 0, F.array(F.lit(AS_OF), F.lit(AS_OF - timedelta(days=1))))
+        return driven.select(
+            F.explode(days.otherwise(F.array(F.lit(AS_OF)))).alias("insert_date"),
+            self._plate().alias("licenceplate"),
+            (F.col("l_orderkey") % 3 + 1).alias("transport_orders"),
         )
 
     def statistics(self, stock: DataFrame) -> DataFrame:
