@@ -70,7 +70,7 @@ PARTS: dict[str, tuple[str, str]] = {
         """select 'T' || l_orderkey || '-' || l_suppkey as licenceplate,
             lpad(cast(l_partkey as varchar), 8, '0') as item_number, l_partkey as item_id,
             cast(sum(l_quantity) as bigint) as quantity
-        from lineitem group by l_orderkey, l_suppkey, l_partkey""",
+        from lineitem where not (l_partkey % 16 = 5 and l_suppkey % 2 = 0) group by l_orderkey, l_suppkey, l_partkey""",
     ),
     "places": (
         "",

@@ -26,7 +26,7 @@ def test_every_oracle_has_a_query():
 def test_entry(spark):
     found = entry(spark)
     assert found.columns == ["licenceplate", "target_state_name", "source_zone_name", "timestamp", "status"]
-    assert found.count() == 454
+    assert found.count() == 1092
 
 
 @pytest.mark.parametrize("name", sorted(queries()))
