@@ -399,15 +399,21 @@ def _forest(site: Fixture) -> tuple[PipelineModel, DataFrame]:
     return classifier.load_model(path), split.filter("not in_train").drop("in_train")
 
 
+def _judged(scored: DataFrame) -> DataFrame:
+    """[rows, positives, learned]: what was scored, and whether agreement is well above chance."""
+    rows, positives = F.expr("tp + fp + fn + tn"), F.expr("tp + fn")
+    return scored.select(rows.cast("long").alias("rows"), positives.cast("long").alias("positives"), (F.col("kappa") > 0.3).alias("learned"))
+
+
 @query
 def tote_classifier(site):
-    """The confusion matrix of the hold-out."""
+    """The confusion matrix of the hold-out, in short: its cells are a random forest's."""
     model, held = _forest(site)
     scored = classifier.classify(model, held)
-    return outcomes.confusion_matrix(scored, "predicted", classifier.LABEL, classifier.POSITIVE)
+    return _judged(outcomes.confusion_matrix(scored, "predicted", classifier.LABEL, classifier.POSITIVE))
 
 
 @query
 def tote_back_test(site):
-    """The confusion matrix of all complete rows."""
-    return jobs.back_test(_forest(site)[0], _facts(site))
+    """The same of all complete rows."""
+    return _judged(jobs.back_test(_forest(site)[0], _facts(site)))

@@ -517,6 +517,20 @@ ORACLES: dict[str, str] = {
         where directorate is not null""",
         "tote_facts",
     ),
+    "tote_classifier": statement(
+        f"""select count(*) as rows, cast(sum(move) as bigint) as positives, true as learned from (
+            select *, row_number() over (partition by move order by {_HASH.format(seed=102)})
+                <= ceil(0.8 * count(*) over (partition by move)) as in_train
+            from (
+                select * from tote_facts
+                qualify row_number() over (partition by move order by {_HASH.format(seed=101)}) <= 10000)
+            where directorate is not null)
+        where not in_train""",
+        "tote_facts",
+    ),
+    "tote_back_test": statement(
+        "select count(*) as rows, cast(sum(was) as bigint) as positives, true as learned from guessed", "guessed"
+    ),
     "stratified_split": statement(
         f"""select insert_date, licenceplate, item_number, move,
             row_number() over (partition by move order by {_HASH.format(seed=102)})
