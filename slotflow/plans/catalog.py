@@ -8,10 +8,10 @@ from collections.abc import Callable
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from slotflow.models import classifier, compare
+from slotflow.models import classifier, compare, linear
 from slotflow.models.design import KEY
 from slotflow.models.knn import knn_forecast, knn_tuning
-from slotflow.models.linear import hinge_forecast, pls_forecast, rbf_forecast
+from slotflow.models.linear import hinge_forecast, rbf_forecast
 from slotflow.operators import demand, expected, ledger, moves, outcomes, prices, sampling
 from slotflow.plans import jobs
 from slotflow.session import materialize, shared_folder
@@ -299,7 +299,7 @@ def forecast_demand(site):
 
 
 def _register_models() -> None:
-    for forecaster in (pls_forecast, rbf_forecast, hinge_forecast):
+    for forecaster in (rbf_forecast, hinge_forecast):
 
         def forecast(site, forecaster=forecaster):
             return forecaster(*jobs.model_data(site, AS_OF))
@@ -311,9 +311,16 @@ def _register_models() -> None:
 _register_models()
 
 
+@query
+def pls_forecast(site):
+    """The number of components is tuned."""
+    predicted = linear.pls_forecast(*jobs.model_data(site, AS_OF))
+    return predicted.select(KEY, F.round("prediction", 4).alias("prediction"))
+
+
 @query
 def pls_one_component(site):
-    predicted = pls_forecast(*jobs.model_data(site, AS_OF), components=1)
+    predicted = linear.pls_forecast(*jobs.model_data(site, AS_OF), components=1)
     return predicted.select(KEY, F.round("prediction", 6).alias("prediction"))
 
 

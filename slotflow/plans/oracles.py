@@ -424,6 +424,70 @@ PARTS.update(
     }
 )
 
+
+def _pls_parts() -> dict[str, tuple[str, str]]:
+    """Partial least squares with one to three components, for every fold, and as group 30 for all rows.
+
+    Its fit is least squares on u1, u2, u3: scores of the weights s, Gs and GGs, each scaled to length 1.
+    """
+    columns = _per_column("x{i}")
+    own = "select f, prod_id, label, y, " + _per_column("coalesce((x{i} - m{i}) / nullif(s{i}, 0), 0) as z{i}")
+    parts = {
+        "pls_rows": (
+            "fold_x train_x",
+            f"""select h.fold as f, t.prod_id, t.label, {_per_column('t.x{i}')} from (select distinct fold from fold_x) h
+            join fold_x t on t.fold <> h.fold and t.fold // 10 = h.fold // 10
+            union all select 30, prod_id, label, {columns} from train_x""",
+        ),
+        "pls_asked": (
+            "fold_x query_x",
+            f"""select fold as f, prod_id, label, {columns} from fold_x
+            union all select 30, prod_id, null, {columns} from query_x""",
+        ),
+        "pls_scale": (
+            "pls_rows",
+            f"select f, avg(label) as y, {_per_column('avg(x{i}) as m{i}, stddev_samp(x{i}) as s{i}')} from pls_rows group by f",
+        ),
+        "pls_scores0": ("pls_rows pls_scale", f"{own}, label - y as u0 from pls_rows join pls_scale using (f)"),
+        "pls_guess0": ("pls_asked pls_scale", f"{own} from pls_asked join pls_scale using (f)"),
+    }
+    for c in (1, 2, 3):
+        raw, length = _per_column(f"sum(z{{i}} * u{c - 1}) as v{{i}}"), _per_column("v{i} * v{i}", " + ")
+        score = _per_column(f"z{{i}} * w{c}_{{i}}", " + ")
+        parts[f"pls_weights{c}"] = (
+            f"pls_scores{c - 1}",
+            f"""select f, {_per_column(f'v{{i}} / sqrt({length}) as w{c}_{{i}}')}
+            from (select f, {raw} from pls_scores{c - 1} group by f)""",
+        )
+        for kind in ("scores", "guess"):
+            parts[f"pls_{kind}{c}"] = (
+                f"pls_{kind}{c - 1} pls_weights{c}",
+                f"select p.*, {score} as u{c} from pls_{kind}{c - 1} p join pls_weights{c} using (f)",
+            )
+    sums = ", ".join(f"sum(u{a} * u{b}) as g{a}{b}" for a in range(4) for b in range(max(a, 1), 4))
+    det = "(g11 * (g22 * g33 - g23 * g23) - g12 * (g12 * g33 - g23 * g13) + g13 * (g12 * g23 - g22 * g13))"
+    parts["pls_sums"] = ("pls_scores3", f"select f, {sums} from pls_scores3 group by f")
+    parts["pls_lines"] = (
+        "pls_guess3 pls_sums",
+        f"""select f, prod_id, label, y + u1 * g01 / g11 as p1,
+            y + (u1 * (g01 * g22 - g02 * g12) + u2 * (g11 * g02 - g12 * g01)) / (g11 * g22 - g12 * g12) as p2,
+            y + (u1 * (g01 * (g22 * g33 - g23 * g23) - g12 * (g02 * g33 - g23 * g03) + g13 * (g02 * g23 - g22 * g03))
+                + u2 * (g11 * (g02 * g33 - g23 * g03) - g01 * (g12 * g33 - g23 * g13) + g13 * (g12 * g03 - g02 * g13))
+                + u3 * (g11 * (g22 * g03 - g02 * g23) - g12 * (g12 * g03 - g02 * g13) + g01 * (g12 * g23 - g22 * g13))) / {det} as p3
+        from pls_guess3 join pls_sums using (f)""",
+    )
+    parts["pls_errors"] = (
+        "pls_lines",
+        """select avg(e1) as e1, avg(e2) as e2, avg(e3) as e3 from (
+            select sqrt(avg(power(p1 - label, 2))) as e1, sqrt(avg(power(p2 - label, 2))) as e2,
+                sqrt(avg(power(p3 - label, 2))) as e3
+            from pls_lines where f < 30 group by f)""",
+    )
+    return parts
+
+
+PARTS.update(_pls_parts())
+
 _ROW = "select item_number, location, locno, licenceplate, quantity from"
 _HASH = "md5('{seed}|' || insert_date || '|' || licenceplate || '|' || item_number)"
 _INSTRUCTION = "licenceplate, target_state_name, source_zone_name, \"timestamp\", status"
@@ -500,6 +564,12 @@ ORACLES: dict[str, str] = {
         "weights",
         "step",
     ),
+    "pls_forecast": statement(
+        """select prod_id, round(case when e1 <= e2 and e1 <= e3 then p1 when e2 <= e3 then p2 else p3 end, 4) as prediction
+        from pls_lines, pls_errors where f = 30""",
+        "pls_lines",
+        "pls_errors",
+    ),
     "rmse": statement("select round(sqrt(avg(power(avg_rep_units_lst7 - sold_rep_units, 2))), 6) as rmse from training", "training"),
     "tote_features": whole("tote_facts"),
     "drop_incomplete": whole("complete_facts"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import random
 from datetime import date
 
@@ -11,6 +12,8 @@ from pyspark.sql import functions as F
 
 from slotflow.models import classifier, design, knn, linear
 from slotflow.models.compare import model_comparison, rounded_predictions, side_by_side
+from slotflow.plans import jobs
+from slotflow.sources.fixture import AS_OF, Fixture
 
 NAMES = ["prod_id", *design.FACTORS, *design.NUMBERS, "sold_rep_units"]
 TYPES = ["string", "string", "string", "string", "long", *["double"] * len(design.NUMBERS), "long"]
@@ -194,3 +197,11 @@ def test_classifier_learns_and_is_stored(spark, tmp_path):
     scored = classifier.classify(classifier.load_model(path), df)
     assert scored.filter("predicted = move").count() >= 290
     assert classifier.classify(model, unseen).count() == 300
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no test tables")
+def test_every_regressor_beats_the_mean_on_the_fixture(spark):
+    predictions, held = jobs.model_study(Fixture(spark, "/root/testdata/sf0.01"), AS_OF)
+    spread = held.agg(F.stddev_pop("sold_rep_units")).first()[0]
+    errors = {r.model: r.rmse for r in model_comparison(predictions, held).collect()}
+    assert len(errors) == 4 and all(e < spread for e in errors.values()), (errors, spread)
