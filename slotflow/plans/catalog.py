@@ -252,6 +252,11 @@ def price_lines(site):
     return prices.price_lines(order_messages(site.events(), AS_OF))
 
 
+@query
+def price_lines_trimmed(site):
+    return prices.price_lines(order_messages(site.events(), AS_OF), trim=True)
+
+
 @query
 def min_sale_price(site):
     return jobs.sale_prices(site, AS_OF)

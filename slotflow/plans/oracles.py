@@ -107,9 +107,11 @@ PARTS: dict[str, tuple[str, str]] = {
             '199806301715000001HO' || rpad(cast(l_orderkey as varchar), 20, ' ')
             || lpad(cast(l_linenumber as varchar), 5, '0') || lpad(cast(l_partkey as varchar), 8, '0')
             || lpad(cast(cast(l_quantity as bigint) as varchar), 6, '0') || '000001N' || rpad('@note', 50, ' ')
-            || 'REF001REF2' || case when l_linenumber = 7 then 'xxxxxxxxxx'
-                else lpad(cast(l_partkey % 2000 * 5 as varchar), 10, '0') end as tail,
-            head || 'ORH   ' || tail || '|' || head || 'ORL   ' || tail || '|' as raw_message
+            || 'REF001REF2' as tail,
+            case when l_linenumber = 7 then 'xxxxxxxxxx' else lpad(cast(l_partkey % 2000 * 5 as varchar), 10, '0') end as price,
+            head || 'ORH   ' || tail || price || '|' || head || 'ORL   ' || tail || price || '|'
+            || case when l_linenumber % 3 = 0 then head || 'ORL   ' || tail
+                || lpad(cast(l_partkey % 2000 * 5 + 5 as varchar), 10, '0') || '|' else '' end as raw_message
         from lineitem where l_orderkey % 5 = 1""",
     ),
     # Ranked stock.
@@ -549,6 +551,12 @@ ORACLES: dict[str, str] = {
     "order_day_messages": statement("select raw_message from messages", "messages"),
     "price_lines": whole("parsed"),
     "price_lines_stream": whole("parsed"),
+    "price_lines_trimmed": statement(
+        """select * replace (trim(seqno, ' ') as seqno, trim(recordid, ' ') as recordid, trim(orderid, ' ') as orderid,
+            trim(glmessage, ' ') as glmessage)
+        from parsed""",
+        "parsed",
+    ),
     "min_sale_price": whole("prices"),
     "priced_features": whole("priced"),
     "knn_forecast_nine": statement(

@@ -266,9 +266,10 @@ class Fixture:
 
 
 def message_events(lineitem: DataFrame) -> DataFrame:
-    """[telegram_type, creation_time, raw_message]: a header and a line record per order line.
+    """[telegram_type, creation_time, raw_message]: a header and one or two line records per order line.
 
-    One message per line, not per order: an order of any size then needs no gathering.
+    One message per line, not per order: an order of any size then needs no gathering. Every third line has a
+    second record, 5 pence dearer.
     """
 
     def digits(column: Column, width: int) -> Column:
@@ -278,9 +279,9 @@ def message_events(lineitem: DataFrame) -> DataFrame:
         return F.rpad(column.cast("string"), width, " ")
 
     number, order, part = F.col("l_linenumber"), F.col("l_orderkey"), F.col("l_partkey")
-    price = F.when(number == 7, "x" * 10).otherwise(digits(part % 2000 * 5, 10))
 
-    def record(kind: str) -> Column:
+    def record(kind: str, dearer: int = 0) -> Column:
+        price = F.when(number == 7, "x" * 10).otherwise(digits(part % 2000 * 5 + dearer, 10))
         return F.concat(
             padded(digits(number, 10), 38),
             padded(F.lit(kind), 6),
@@ -298,5 +299,7 @@ def message_events(lineitem: DataFrame) -> DataFrame:
     return lineitem.select(
         F.lit("ORH").alias("telegram_type"),
         days_before(AS_OF, "l_orderkey", 5).alias("creation_time"),
-        F.concat(record("ORH"), F.lit("|"), record("ORL"), F.lit("|")).alias("raw_message"),
+        F.concat(
+            record("ORH"), F.lit("|"), record("ORL"), F.lit("|"), F.when(number % 3 == 0, F.concat(record("ORL", 5), F.lit("|"))).otherwise("")
+        ).alias("raw_message"),
     )
