@@ -1,13 +1,12 @@
-"""What the text operators share: tables in the shared folder, row ids, fixed-size filters."""
+"""What the text operators share: tables in the shared folder, filters of fixed size, sums of arrays."""
 
 from __future__ import annotations
 
 import json
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from slotflow.session import configure, shared_folder
+from slotflow.session import configure, new_table_path
 
 #: Rows handed to a Python worker at once: texts are long, so fewer than Spark's default.
 ROWS_A_BATCH = 500
@@ -23,7 +22,7 @@ def prepare(spark: SparkSession) -> SparkSession:
 def store(df: DataFrame) -> DataFrame:
     """``df`` written once to the shared folder and read from there: lineage ends, lost executors lose nothing."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    path = new_table_path(spark)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

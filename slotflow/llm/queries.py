@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
-
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from slotflow.llm import bpe, decontaminate, dedup, language, pii, quality, sharding, simhash, tokens, warc
 from slotflow.llm.common import prepare
-from slotflow.session import shared_folder
+from slotflow.session import new_table_path
 
 PIECES, WORDS = "piece_bpe_32k.model", "word_bpe_49k.json"
 TOKEN_LIMIT = 4096
@@ -78,7 +76,7 @@ def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages")
-    path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/archive-{uuid.uuid4().hex}"
+    path = new_table_path(spark)
     warc.write_archive(pages, path)
     kind = pages.schema["page_id"].dataType
     return warc.read_archive(spark, path).select(
