@@ -11,6 +11,9 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from slotflow.llm.common import store
@@ -46,36 +49,65 @@ def piece_counts(loaded, words: list[str]) -> list[int]:
     return [len(ids) if word else mark for word, ids in zip(words, loaded.encode(words, num_threads=1))]
 
 
+def pack(numbers) -> bytes:
+    """Whole numbers below 2**32, compressed byte by byte: most are small."""
+    planes = np.ascontiguousarray(numbers, "<u4").view(np.uint8).reshape(-1, 4).T
+    return zstandard.compress(planes.tobytes(), 3)
+
+
+def unpack(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel()
+
+
+def pack_words(words: list[str]) -> bytes | None:
+    """Sorted words, compressed, with the space mark between them: no pre-token holds one. None for no words."""
+    return zstandard.compress(SPACE.join(words).encode(), 3) if words else None
+
+
+def unpack_words(data: bytes) -> list[str]:
+    return zstandard.decompress(data).decode().split(SPACE)
+
+
+BLOCK = "block string, keys array<string>, sizes array<bigint>, ends array<int>, steps binary, times binary, words array<binary>"
+
+
 def blocks(docs: DataFrame, key: str, text: str, buckets: int, block_chars: int) -> DataFrame:
     """A row per block of documents: its distinct pre-tokens by hash bucket, and the frequencies per document.
 
-    ``words[b]`` are the distinct pre-tokens of bucket b; counted through all buckets in order they have the
-    numbers that ``word`` refers to. Document i owns ``word[ends[i-1]:ends[i]]`` and ``times`` alike.
+    ``words[b]`` are the distinct pre-tokens of bucket b, sorted; through all buckets they are numbered on. Document i owns
+    the numbers from ``ends[i-1]`` to ``ends[i]``, in rising order; ``steps`` are the differences from one to the next,
+    and ``times`` how often each occurs.
     """
 
     def split(batches) -> Iterator:
-        import numpy as np
-        import pandas as pd
         from pyspark import TaskContext
 
         task, number = TaskContext.get().partitionId(), 0
         keys, sizes, ends, word, times, seen, chars = [], [], [], [], [], {}, 0
 
         def block():
-            place = np.fromiter((zlib.crc32(w.encode()) % buckets for w in seen), np.int64, len(seen))
-            order = np.argsort(place, kind="stable")
-            rank = np.empty(len(seen), np.int32)
-            rank[order] = np.arange(len(seen), dtype=np.int32)
-            listed = np.array(list(seen), dtype=object)[order]
-            cuts = np.searchsorted(place[order], np.arange(1, buckets))
+            places = [zlib.crc32(w.encode()) % buckets for w in seen]
+            listed: list[list[str]] = [[] for _ in range(buckets)]
+            for w, place in zip(seen, places):
+                listed[place].append(w)
+            rank = np.empty(len(seen), np.int64)
+            start = 0
+            for some in listed:
+                some.sort()
+                rank[[seen[w] for w in some]] = np.arange(start, start + len(some))
+                start += len(some)
+            numbers, owner = rank[np.array(word, np.int64)], np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
+            order = np.lexsort((numbers, owner))
             row = {
                 "block": f"{task}-{number}",
                 "keys": list(keys),
                 "sizes": np.array(sizes, np.int64),
                 "ends": np.array(ends, np.int32),
-                "word": rank[np.array(word, np.int64)],
-                "times": np.array(times, np.int32),
-                "words": [part.tolist() for part in np.split(listed, cuts)],
+                # a step back, where a document begins, wraps around
+                "steps": pack(np.diff(numbers[order], prepend=0) % 2**32),
+                "times": pack(np.array(times, np.int64)[order]),
+                "words": [pack_words(some) for some in listed],
             }
             return pd.DataFrame({name: [value] for name, value in row.items()})
 
@@ -96,10 +128,9 @@ def blocks(docs: DataFrame, key: str, text: str, buckets: int, block_chars: int)
         if keys:
             yield block()
 
-    schema = "block string, keys array<string>, sizes array<bigint>, ends array<int>, word array<int>, times array<int>, words array<array<string>>"
     # the key travels as text, so that nulls and 64-bit numbers pass pandas unchanged
     texts = docs.select(F.col(key).cast("string").alias("key"), F.col(text).alias("text"))
-    return texts.mapInPandas(split, schema)
+    return texts.mapInPandas(split, BLOCK)
 
 
 def token_counts(
@@ -107,7 +138,7 @@ def token_counts(
     model_path: str,
     key: str = "doc_id",
     text: str = "text",
-    buckets: int = 64,
+    buckets: int | None = None,
     block_chars: int = 8 << 20,
 ) -> DataFrame:
     """The tokens of every text as the model gives them: ``key``, ``n_bytes``, ``n_tokens``, a row per row of ``docs``.
@@ -116,36 +147,39 @@ def token_counts(
     other columns are not looked at. ``model_path`` must be readable by the executors. A pre-token travels once per
     block, as text; the task of its hash bucket counts its pieces once and sends the number back to the blocks, which
     add up number times frequency. A frequent pre-token is thus one short string a block: no key is hot.
+    ``buckets`` are as many as shuffle partitions, 64 at least; a task knows the pre-tokens of one bucket at a time.
     """
+    buckets = buckets or max(64, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     kept = store(blocks(docs, key, text, buckets, block_chars))
-    strings = kept.select("block", F.posexplode("words").alias("bucket", "words")).where(F.size("words") > 0)
+    strings = kept.select("block", F.posexplode("words").alias("bucket", "words")).where("words is not null")
 
     def count(batches) -> Iterator:
         loaded = model(model_path)
         known: dict[str, int] = {}
+        at = None
         for batch in batches:
-            for words in batch["words"]:
+            pieces = []
+            for bucket, words in zip(batch["bucket"], map(unpack_words, batch["words"])):
+                if bucket != at:
+                    at, known = bucket, {}
                 new = [w for w in words if w not in known]
                 known.update(zip(new, piece_counts(loaded, new)))
-            batch["pieces"] = [[known[w] for w in words] for words in batch["words"]]
-            yield batch[["block", "bucket", "pieces"]]
+                pieces.append(pack([known[w] for w in words]))
+            yield batch[["block", "bucket"]].assign(pieces=pieces)
 
-    counts = strings.repartition(F.col("bucket")).mapInPandas(count, "block string, bucket int, pieces array<int>")
+    by_bucket = strings.repartition(F.col("bucket")).sortWithinPartitions("bucket")
+    counts = by_bucket.mapInPandas(count, "block string, bucket int, pieces binary")
 
     def add(left, right):
-        import numpy as np
-        import pandas as pd
-
-        pieces = [np.asarray(x, np.int64) for x in right.sort_values("bucket")["pieces"]]
+        pieces = [unpack(x).astype(np.int64) for x in right.sort_values("bucket")["pieces"]]
         pieces = np.concatenate(pieces) if pieces else np.zeros(0, np.int64)
-        parts = []
+        parts = [pd.DataFrame({"key": [], "n_bytes": [], "n_tokens": []})]
         for row in left.itertuples():
-            sums = np.concatenate([[0], np.cumsum(pieces[row.word] * row.times)])
-            ends = np.asarray(row.ends)
-            parts.append(pd.DataFrame({"key": row.keys, "n_bytes": row.sizes, "n_tokens": np.diff(sums[ends], prepend=0)}))
-        return pd.concat(parts)
-
-    sums = (
-        kept.drop("words").groupBy("block").cogroup(counts.groupBy("block")).applyInPandas(add, "key string, n_bytes bigint, n_tokens bigint")
-    )
+            numbers = np.cumsum(unpack(row.steps), dtype=np.uint32)
+            sums = np.concatenate([[0], np.cumsum(pieces[numbers] * unpack(row.times).astype(np.int64))])
+            parts.append(pd.DataFrame({"key": row.keys, "n_bytes": row.sizes, "n_tokens": np.diff(sums[np.asarray(row.ends)], prepend=0)}))
+        return pd.concat(parts[1:] or parts)
+
+    blocks_only = kept.drop("words").groupBy("block")
+    sums = blocks_only.cogroup(counts.groupBy("block")).applyInPandas(add, "key string, n_bytes bigint, n_tokens bigint")
     return sums.select(F.col("key").cast(docs.schema[key].dataType).alias(key), "n_bytes", "n_tokens")
