@@ -14,6 +14,7 @@ from __future__ import annotations
 import gc
 import hashlib
 import json
+import os
 import re
 from collections.abc import Iterator
 
@@ -33,9 +34,11 @@ def split(text: str) -> list[str]:
 
 
 class Codec:
-    """A tokenizer read from its JSON file, by run of text."""
+    """A tokenizer read from its JSON file, by run of text. It remembers ``known`` runs, and those of a batch."""
 
-    def __init__(self, path: str, known: int = 1 << 19):
+    def __init__(self, path: str, known: int = 1 << 17):
+        # a task has one core: threads of the library's own would only cost memory
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.path, self.most_known = path, known
@@ -44,8 +47,7 @@ class Codec:
         self.tokenizer.no_padding()
         with open(path) as file:
             spec = json.load(file)
-        self.model = spec["model"]
-        self.suffix = self.model.get("end_of_word_suffix") or ""
+        self.suffix = spec["model"].get("end_of_word_suffix") or ""
         self.added = [(t["content"], t["id"]) for t in spec["added_tokens"]]
         if spec.get("decoder") is not None or spec["post_processor"] is not None or any(t["normalized"] or t["lstrip"] or t["rstrip"] or t["single_word"] for t in spec["added_tokens"]):
             raise ValueError(f"{path}: only tokenizers that split at white space and decode by joining tokens")
@@ -69,9 +71,8 @@ class Codec:
             plain = [(r, 2 if m.group(1) else 1) for r, m in zip(new, found) if m]
             new = [r for r, m in zip(new, found) if not m]
             lists = [plain[i : i + at_once] for i in range(0, len(plain), at_once)]
-            texts = [" ".join([r for r, _ in some]) for some in lists]
-            for some, got in zip(lists, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-                ids = got.ids
+            for some in lists:
+                ids = self.tokenizer.encode_batch_fast([" ".join([r for r, _ in some])], add_special_tokens=False)[0].ids
                 ends = np.flatnonzero(self.ends_word[ids])[np.cumsum([n for _, n in some]) - 1] + 1
                 start = 0
                 for (run, _), end in zip(some, ends.tolist()):
@@ -124,8 +125,10 @@ class Codec:
         if self.open_model is None:
             from tokenizers.models import BPE
 
-            merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in self.model["merges"]]
-            self.open_model = BPE(vocab=self.model["vocab"], merges=merges)
+            with open(self.path) as file:
+                spec = json.load(file)["model"]
+            merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in spec["merges"]]
+            self.open_model = BPE(vocab=spec["vocab"], merges=merges)
         return [t.id for t in self.open_model.tokenize(text)]
 
     def join(self, left: list[int], right: list[int], last: bool) -> list[int]:
