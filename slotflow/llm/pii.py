@@ -46,9 +46,12 @@ SPELLED = [
 DIGIT_OF = {word: str(d) for words in SPELLED for d, word in enumerate(words)}
 #: So many digit words in a row are a number; fewer are prose.
 LEAST_WORDS = 3
-# Domain ends after which a written-out "at" is an address.
+# Domain ends after which a written-out "at" is an address, though no dot of the host is written out.
 DOMAIN_ENDS = "com org net edu gov info io co biz de fr es uk eu us ch at it nl example test".split()
 
+#: After the word "at" these begin prose, not a host: "look at this dot matrix".
+DETERMINERS = frozenset("a an the this that these those my your his her its our their each every any some no which what".split())
+
 DOT_WORDS = "dot|punkt|point|punto"
 _words = "|".join(sorted(DIGIT_OF, key=len, reverse=True))
 _gap = rf"(?:[\x20\t-]{{1,3}}|[\x20\t](?:{DOT_WORDS})[\x20\t])"
@@ -59,6 +62,10 @@ AT = re.compile(r"[A-Za-z0-9._%+-][\x20\t](?=at|arroba)", re.I)
 HOST = re.compile(
     rf"(?:at|arroba)[\x20\t]((?:[A-Za-z0-9-]{{1,63}}(?:[\x20\t](?:{DOT_WORDS})[\x20\t]|\.))+(?:{'|'.join(DOMAIN_ENDS)}))\b", re.I
 )
+_host = rf"[A-Za-z0-9-]{{1,63}}(?:(?:[\x20\t](?:{DOT_WORDS})[\x20\t]|\.)[A-Za-z0-9-]{{1,63}})*"
+_end = rf"(?:[\x20\t](?:{DOT_WORDS})[\x20\t]|\.)(?:[A-Za-z]{{2,63}}|xn--[A-Za-z0-9-]{{1,59}})(?![A-Za-z0-9-])"
+ANY_HOST = re.compile(rf"(at|arroba)[\x20\t]({_host}{_end})", re.I)
+AFTER_SIGN = re.compile(rf"(?<=[A-Za-z0-9._%+-])@[A-Za-z0-9-]+(?:(?:[\x20\t](?:{DOT_WORDS})[\x20\t]|\.)[A-Za-z0-9-]+)+", re.I)
 WRITTEN_DOT = re.compile(rf"[\x20\t](?:{DOT_WORDS})[\x20\t]", re.I)
 NUMBER_DOT = re.compile(rf"(?<=[0-9])[\x20\t](?:{DOT_WORDS})[\x20\t](?=[0-9])", re.I)
 DOTS, NAMES_AT = frozenset(DOT_WORDS.split("|")), frozenset(["at", "arroba"])
@@ -160,12 +167,28 @@ def brackets(m: Mapped) -> list[tuple[int, int, str]]:
     return out
 
 
-def hosts(text: str) -> Iterator[re.Match]:
-    """What follows a name: "at" and a host written out. No host begins within another."""
+def told(host: re.Match, m: Mapped | None) -> bool:
+    """Whether a host says by itself that it is one, whatever its end: after "arroba", or by a dot in brackets or in words.
+
+    "point" does not count, nor does any word after a determiner: "at some point in", "at this dot matrix".
+    """
+    a, b = host.span(2)
+    if host.group(1).lower() == "arroba":
+        return True
+    if m is not None and any(m.text[i] == "." and m.end[i] - m.start[i] > 1 for i in range(a, b)):
+        return True
+    dots = {dot.group().strip().lower() for dot in WRITTEN_DOT.finditer(host.string, a, b)}
+    return bool(dots - {"point"}) and re.split(r"[^a-z]", host.group(2).lower(), maxsplit=1)[0] not in DETERMINERS
+
+
+def hosts(text: str, m: Mapped | None = None) -> Iterator[tuple[int, int, int]]:
+    """What follows a name: "at" and a host written out, as the start of "at" and the span of the host. No host begins within another."""
     for name in AT.finditer(text):
-        found = HOST.match(text, name.end())
-        if found:
-            yield found
+        found = ANY_HOST.match(text, name.end())
+        if found and told(found, m):
+            yield found.start(), *found.span(2)
+        elif found := HOST.match(text, name.end()):
+            yield found.start(), *found.span(1)
 
 
 def disguised(text: str) -> bool:
@@ -177,17 +200,19 @@ def disguised(text: str) -> bool:
     return (
         bool(BRACKETED.search(text))
         or (not NAMES_AT.isdisjoint(words) and any(True for _ in hosts(text)))
-        or (dots and bool(NUMBER_DOT.search(text)))
+        or (dots and (bool(NUMBER_DOT.search(text)) or any(WRITTEN_DOT.search(found.group()) for found in AFTER_SIGN.finditer(text))))
         or (not DIGIT_OF.keys().isdisjoint(words) and bool(SPELLED_RUN.search(text)))
     )
 
 
 def written_out(m: Mapped) -> list[tuple[int, int, str]]:
-    """name at host dot com, and numbers joined by dot."""
+    """name at host dot com, name@host dot com, and numbers joined by dot."""
     out = []
-    for found in hosts(m.text):
-        out.append((found.start() - 1, found.start(1), "@"))
-        out += [(*dot.span(), ".") for dot in WRITTEN_DOT.finditer(m.text, *found.span(1))]
+    for at, a, b in hosts(m.text, m):
+        out.append((at - 1, a, "@"))
+        out += [(*dot.span(), ".") for dot in WRITTEN_DOT.finditer(m.text, a, b)]
+    for found in AFTER_SIGN.finditer(m.text):
+        out += [(*dot.span(), ".") for dot in WRITTEN_DOT.finditer(m.text, *found.span())]
     out += [(*dot.span(), ".") for dot in NUMBER_DOT.finditer(m.text)]
     return sorted(set(out))
 

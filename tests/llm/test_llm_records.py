@@ -88,6 +88,40 @@ def test_disguises(text, kind, source):
     assert f"<{kind}>" in pii.mask(text, pii.find(text)) and source not in pii.mask(text, pii.find(text))
 
 
+@pytest.mark.parametrize(
+    "text, source",
+    [
+        ("to john [at] example dot com please", "john [at] example dot com"),
+        ("to john(at)example dot co dot uk please", "john(at)example dot co dot uk"),
+        ("bob@example dot com", "bob@example dot com"),
+        ("bob＠mail.example punkt com", "bob＠mail.example punkt com"),
+        ("ana at correo dot mx", "ana at correo dot mx"),
+        ("x at shop dot app, y", "x at shop dot app"),
+        ("ana at correo (dot) mx", "ana at correo (dot) mx"),
+        ("jo at the[dot]app", "jo at the[dot]app"),
+        ("ana arroba correo.mx", "ana arroba correo.mx"),
+        ("ana at correo dot com dot mx", "ana at correo dot com dot mx"),
+    ],
+)
+def test_mixed_disguises(text, source):
+    assert pii.disguised(text)
+    assert [text[a:b] for k, a, b, plain in pii.find(text) if k == "email" and not plain] == [source]
+
+
+@pytest.mark.parametrize("text", ["he came at some point in time", "look at knife point in town", "meet at 5 dot 30", "look at example.py", "a@b dot"])
+def test_prose_without_an_address(text):
+    assert pii.find(text) == []
+
+
+def test_mixed_disguises_take_linear_time():
+    import time
+
+    start = time.process_time()
+    for unit in ("a@b dot ", "a at b dot ", "a [at] b dot ", " dot at", "at dot dot dot ", "a@b.", "@ dot "):
+        pii.find(unit * (100_000 // len(unit)))
+    assert time.process_time() - start < 20
+
+
 @pytest.mark.parametrize("text", ["look at this dot matrix", "meet at noon", "one two three", "see [at] the end", "", "Ñandú à la carte", "we met at example dot"])
 def test_prose_is_left_alone(text):
     assert pii.find(text) == [] and pii.mask(text, []) == text
