@@ -1,7 +1,7 @@
 """The training corpus in five stages: quality, exact and near duplicates, benchmark items, tokens.
 
-Each stage takes what the one before kept, as a stored table. Decisions are by ``doc_id``; rows without one pass the stages that
-compare documents. The last stage gives the tokens' digests of every document that stayed.
+Each stage takes what the one before kept, as a stored table. Decisions are by row, named by ``doc_id`` and text; rows without a
+``doc_id`` are compared like others and rank last. The last stage gives the tokens' digests of every document that stayed.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ def good_quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame
 def exact_once(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """One document of each group of texts that are equal without blanks."""
     prepare(spark)
-    return dedup.without_duplicates(docs)
+    return dedup.without_duplicates(docs, keyless=True)
 
 
 def near_once(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

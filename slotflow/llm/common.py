@@ -67,16 +67,37 @@ def summed(rows: DataFrame, group: str, value: str, groups: int = 16) -> DataFra
     return rows.repartition(groups, F.col(group)).mapInPandas(add, f"{value} array<double>")
 
 
-def without(docs: DataFrame, dropped: DataFrame, key: str) -> DataFrame:
-    """``docs`` without the rows whose key stands in ``dropped`` (one column, ``_gone``); null keys always stay.
+def row_hash(key: str, text: str) -> Column:
+    """Of key and text, for filters; null text counts as empty."""
+    return F.xxhash64(F.col(key), F.coalesce(F.col(text), F.lit("")))
 
-    Rows that a filter of fixed size lets through are joined, the others stay where they are: what is not suspect
-    is not shuffled.
+
+def text_digest(text: Column) -> Column:
+    """SHA-256 of the text as it is; null counts as empty. With the key it names a row, and all rows that repeat it."""
+    return F.unhex(F.sha2(F.encode(F.coalesce(text, F.lit("")), "UTF-8"), 256))
+
+
+def without(docs: DataFrame, gone: DataFrame, key: str, text: str, again: DataFrame | None = None, keyless: bool = True) -> DataFrame:
+    """``docs`` without the rows named in ``gone``, and with one row of each named in ``again``.
+
+    Both tables name rows by ``key``, ``own`` (``text_digest``) and ``hash`` (``row_hash``); null keys are equal. With ``keyless``
+    false, rows with a null key all stay. Rows that a filter of fixed size lets through are joined, the others stay where
+    they are: what is not suspect is not shuffled. The columns of ``docs`` travel as one struct, so no name clashes.
     """
-    gone = store(dropped.where("_gone IS NOT NULL").distinct())
-    suspect = key_filter(gone.select(F.xxhash64("_gone").alias("hash")), "hash")
-    if suspect is None:
-        return docs
-    marked = docs.withColumn("_hash", F.xxhash64(F.col(key))).withColumn("_suspect", F.coalesce(suspect, F.lit(False)))
-    checked = marked.where("_suspect").join(gone, F.col(key) == F.col("_gone"), "left_anti")
-    return marked.where("not _suspect").unionByName(checked).select(*docs.columns)
+    left = docs.select(F.struct("*").alias("_row"), row_hash(key, text).alias("_hash"))
+    row_key, own = F.col("_row").getField(key), text_digest(F.col("_row").getField(text))
+    known = F.lit(True) if keyless else row_key.isNotNull()
+    gone = store(gone.select(F.col("key").alias("_key"), F.col("own").alias("_own"), "hash").distinct())
+    suspect = key_filter(gone, "hash")
+    if suspect is not None:
+        marked = left.withColumn("_suspect", F.coalesce(suspect, F.lit(False)) & known)
+        held = marked.where("_suspect").withColumn("_digest", own)
+        checked = held.join(gone, row_key.eqNullSafe(F.col("_key")) & (F.col("_digest") == F.col("_own")), "left_anti")
+        left = marked.where("not _suspect").select("_row", "_hash").unionByName(checked.select("_row", "_hash"))
+    repeated = None if again is None else key_filter(again, "hash")
+    if repeated is not None:
+        # what the filter lets through by mistake is not repeated
+        marked = left.withColumn("_again", F.coalesce(repeated, F.lit(False)) & known)
+        once = marked.where("_again").withColumn("_key", row_key).withColumn("_digest", own).dropDuplicates(["_key", "_digest"])
+        left = marked.where("not _again").select("_row").unionByName(once.select("_row"))
+    return left.select("_row.*")

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from slotflow.llm.common import key_filter, store, without
+from slotflow.llm.common import key_filter, row_hash, store, text_digest, without
 
 #: Text is lower-cased and cut into words at everything that is no letter, mark or digit.
 NOT_WORDS = r"[^\p{L}\p{M}\p{N}]+"
@@ -67,6 +67,25 @@ def contained(
     hash that many documents share is rows of a join that Spark can split, and the pairs of a document and an item are
     made distinct before anything is verified. Texts are never shuffled but for the candidates.
     """
+    exact = verified(docs, benchmark, key, text, item, item_text, words, threshold)
+    if exact is None:
+        empty = docs.select(F.col(key), F.lit(None).cast(benchmark.schema[item].dataType).alias("item_id")).where("false")
+        return empty.select(key, "item_id", F.lit(0).alias("n_shingles"), F.lit(0).alias("n_found"), F.lit(0.0).alias("containment"))
+    best = exact.groupBy("key", "item").agg(F.max(F.struct((F.col("found") / F.col("n")).alias("share"), "found", "n")).alias("best"))
+    return best.select(
+        F.col("key").alias(key), F.col("item").alias("item_id"), F.col("best.n").cast("int").alias("n_shingles"),
+        F.col("best.found").cast("int").alias("n_found"), F.col("best.share").alias("containment"),
+    )
+
+
+def verified(
+    docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text",
+    words: int = 5, threshold: float = 0.8, whole: bool = False,
+) -> DataFrame | None:
+    """``key``, ``doc`` and the item's ``item``, ``n`` and ``found``, for each document and item text within it; None if there is none.
+
+    ``doc`` is a hash of key and text; with ``whole`` it is what names the row, ``own`` and ``hash``.
+    """
     items = store(item_shingles(benchmark, item, item_text, words))
     lengths = sorted(r["w"] for r in items.select("w").distinct().collect())  # at most ``words`` rows
     parts = []
@@ -75,10 +94,8 @@ def contained(
             "item", "text_no", "w", F.size("grams").alias("n"), F.array_sort(F.transform("grams", lambda g: gram_hash(g, w))).alias("hashes")
         )
         parts.append(hashed)
-    empty = docs.select(F.col(key), F.lit(None).cast(benchmark.schema[item].dataType).alias("item_id")).where("false")
-    none = empty.select(key, "item_id", F.lit(0).alias("n_shingles"), F.lit(0).alias("n_found"), F.lit(0.0).alias("containment"))
     if not parts:
-        return none
+        return None
     all_items = parts[0]
     for more in parts[1:]:
         all_items = all_items.unionByName(more)
@@ -104,13 +121,14 @@ def contained(
     wanted = store(candidates.distinct())
     is_wanted = key_filter(wanted, "doc")
     if is_wanted is None:
-        return none
+        return None
 
     # verify: the candidates' texts once more, cut into shingles as text, against the items' shingles as text
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), same_text.alias("_hash")).where(is_wanted)
     same = (F.col("_hash") == F.col("_doc")) & F.col("key").eqNullSafe(F.col("_key"))
     held = rows.join(wanted.select(F.col("key").alias("_key"), F.col("doc").alias("_doc")), same, "left_semi")
-    held = held.select("key", F.col("_hash").alias("doc"), words_of(F.col("text")).alias("words"))
+    name = F.struct(text_digest(F.col("text")).alias("own"), row_hash("key", "text").alias("hash")) if whole else F.col("_hash")
+    held = held.select("key", name.alias("doc"), words_of(F.col("text")).alias("words"))
     exact = None
     grams = items.select("item", "text_no", "w", F.size("grams").alias("n"), F.explode("grams").alias("gram"))
     for w in lengths:
@@ -120,14 +138,15 @@ def contained(
         match = cut.join(own, "gram").select("key", "doc", "item", "text_no", "n", "gram").distinct()
         count = match.groupBy("key", "doc", "item", "text_no", "n").agg(F.count(F.lit(1)).alias("found"))
         exact = count if exact is None else exact.unionByName(count)
-    exact = exact.where(F.col("found") >= F.ceil(F.col("n") * threshold - 1e-9))
-    best = exact.groupBy("key", "item").agg(F.max(F.struct((F.col("found") / F.col("n")).alias("share"), "found", "n")).alias("best"))
-    return best.select(
-        F.col("key").alias(key), F.col("item").alias("item_id"), F.col("best.n").cast("int").alias("n_shingles"),
-        F.col("best.found").cast("int").alias("n_found"), F.col("best.share").alias("containment"),
-    )
+    return exact.where(F.col("found") >= F.ceil(F.col("n") * threshold - 1e-9))
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", **settings) -> DataFrame:
-    """``docs`` without the rows whose key stands in a pair of ``contained``; all columns stay as they are, and null keys stay."""
-    return without(docs, contained(docs, benchmark, key=key, **settings).select(F.col(key).alias("_gone")), key)
+def clean(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", **settings) -> DataFrame:
+    """``docs`` without the rows that stand in a pair of ``contained``, null keys included; all columns stay as they are.
+
+    Rows are named by key and text: another row of the same key stays.
+    """
+    found = verified(docs, benchmark, key, text, whole=True, **settings)
+    if found is None:
+        return docs
+    return without(docs, found.select("key", F.col("doc.own").alias("own"), F.col("doc.hash").alias("hash")), key, text)

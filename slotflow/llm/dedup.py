@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from slotflow.llm.common import key_filter, store, without
+from slotflow.llm.common import key_filter, row_hash, store, text_digest, without
 
 #: The characters that do not count: space, and tab to carriage return.
 BLANKS = r"[\x20\x09-\x0D]"
@@ -29,7 +29,27 @@ def exact_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", p
     size; what it lets through by mistake turns out to be alone. ``text_sha256`` is null for the texts that are alone
     by length or beginning, unless ``digests`` asks for all.
     """
-    plain = docs.select(F.col(key).alias("id"), normalised(text).alias("body"), F.char_length(F.coalesce(F.col(text), F.lit(""))).alias("points"))
+    members = hashed_rows(docs, key, text, prefix, digests)
+    first = F.struct(-F.col("points"), F.col("id").isNull(), "id")
+    groups = store(members.where("alive").groupBy("sha").agg(F.min(first).getField("id").alias("keep"), F.count(F.lit(1)).alias("n")))
+    shared = members.where("alive").join(groups, "sha").select("id", "keep", "n", "sha")
+    alone = members.where("not alive").select("id", F.col("id").alias("keep"), F.lit(1).cast("long").alias("n"), "sha")
+    return shared.unionByName(alone).select(
+        F.col("id").alias(key),
+        F.col("keep").alias("keep_id"),
+        F.col("n").alias("group_size"),
+        F.col("id").eqNullSafe(F.col("keep")).alias("kept"),
+        F.col("sha").alias("text_sha256"),
+    )
+
+
+def hashed_rows(docs: DataFrame, key: str, text: str, prefix: int, digests: bool, names: bool = False) -> DataFrame:
+    """Stored: ``id``, ``points``, ``alive`` (not alone in length and beginning) and ``sha``, a row per row of ``docs``.
+
+    With ``names`` also ``hash`` and ``own``, which name the row; ``own`` is null if the row is alone.
+    """
+    points = F.char_length(F.coalesce(F.col(text), F.lit(""))).alias("points")
+    plain = docs.select(F.col(key).alias("id"), normalised(text).alias("body"), points, F.col(text).alias("raw"))
     narrow = store(
         plain.select(F.char_length("body").alias("length"), F.xxhash64(F.char_length("body"), F.substring("body", 1, prefix)).alias("_hash"))
     )
@@ -43,31 +63,21 @@ def exact_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", p
     alive = F.lit(False) if survivors is None else survivors
     hashed = plain.withColumn("_hash", F.xxhash64(F.char_length("body"), F.substring("body", 1, prefix))).withColumn("alive", alive)
     whole = F.sha2(F.encode("body", "UTF-8"), 256)
-    members = store(hashed.select("id", "points", "alive", (whole if digests else F.when(F.col("alive"), whole)).alias("sha")))
-    first = F.struct(-F.col("points"), F.col("id").isNull(), "id")
-    groups = store(members.where("alive").groupBy("sha").agg(F.min(first).getField("id").alias("keep"), F.count(F.lit(1)).alias("n")))
-    shared = members.where("alive").join(groups, "sha").select("id", "keep", "n", "sha")
-    alone = members.where("not alive").select("id", F.col("id").alias("keep"), F.lit(1).cast("long").alias("n"), "sha")
-    return shared.unionByName(alone).select(
-        F.col("id").alias(key),
-        F.col("keep").alias("keep_id"),
-        F.col("n").alias("group_size"),
-        F.col("id").eqNullSafe(F.col("keep")).alias("kept"),
-        F.col("sha").alias("text_sha256"),
-    )
+    more = [row_hash("id", "raw").alias("hash"), F.when(F.col("alive"), text_digest(F.col("raw"))).alias("own")] if names else []
+    return store(hashed.select("id", "points", "alive", (whole if digests else F.when(F.col("alive"), whole)).alias("sha"), *more))
 
 
-def without_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row of each group of equal texts, all columns as they are; rows with a null key stay.
+def without_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", keyless: bool = False) -> DataFrame:
+    """One row of each group of equal texts, all columns as they are.
 
-    Of repeated rows with the same key and equal text one stays, too.
+    The row that stays has the most code points, then the smallest key, then the least digest; null keys come last. Rows are
+    named by key and text, so other rows of the same key do not matter; of repeated rows one stays. Rows with a null key
+    all stay, unless ``keyless`` asks to decide on them too.
     """
-    found = store(exact_duplicates(docs, key, text))
-    left = without(docs, found.where("not kept").select(F.col(key).alias("_gone")), key)
-    again = found.where(F.col("kept") & F.col(key).isNotNull()).groupBy(key).count().where("count > 1")
-    repeated = key_filter(again.select(F.xxhash64(key).alias("hash")), "hash")
-    if repeated is None:
-        return left
-    marked = left.withColumn("_hash", F.xxhash64(F.col(key))).withColumn("_again", F.col(key).isNotNull() & repeated)
-    once = marked.where("_again").withColumn("_body", F.sha2(F.encode(normalised(text), "UTF-8"), 256)).dropDuplicates([key, "_body"])
-    return marked.where("not _again").unionByName(once.drop("_body")).select(*docs.columns)
+    alive = hashed_rows(docs, key, text, prefix=64, digests=False, names=True).where("alive")
+    first = F.struct((-F.col("points")).alias("points"), F.col("id").isNull().alias("none"), "id", "own")
+    groups = store(alive.groupBy("sha").agg(F.min(first).alias("keep"), F.count(F.lit(1)).alias("n")).where("n > 1"))
+    kept = F.col("id").eqNullSafe(F.col("keep.id")) & (F.col("own") == F.col("keep.own"))
+    found = store(alive.join(groups, "sha").select(F.col("id").alias("key"), "own", "hash", kept.alias("kept")))
+    again = found.where("kept").groupBy("key", "own", "hash").count().where("count > 1")
+    return without(docs, found.where("not kept"), key, text, again, keyless)

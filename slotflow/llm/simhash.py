@@ -14,7 +14,7 @@ from itertools import combinations
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from slotflow.llm.common import store, summed, without
+from slotflow.llm.common import row_hash, store, summed, text_digest, without
 from slotflow.llm.components import components
 
 BITS = 64
@@ -43,15 +43,18 @@ def fingerprint(text: str | None, words: int = 3, at_once: int = 1 << 16) -> int
     return int(np.packbits(counts * 2 > n, bitorder="little").view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
-    """``key`` as text, and its fingerprint; a row per row of ``docs``."""
+def fingerprints(docs: DataFrame, key: str, text: str, words: int, names: bool = False) -> DataFrame:
+    """``key`` as text, and its fingerprint; a row per row of ``docs``. With ``names`` also what names the row: ``hash`` and ``own``."""
+    more = [row_hash(key, text).alias("hash"), text_digest(F.col(text)).alias("own")] if names else []
+    columns = ["key", "fp"] + ["hash", "own"] * names
 
     def run(batches) -> Iterator:
         for batch in batches:
             batch["fp"] = [fingerprint(t, words) for t in batch["text"]]
-            yield batch[["key", "fp"]]
+            yield batch[columns]
 
-    return docs.select(F.col(key).cast("string").alias("key"), F.col(text).alias("text")).mapInPandas(run, "key string, fp bigint")
+    rows = docs.select(F.col(key).cast("string").alias("key"), F.col(text).alias("text"), *more)
+    return rows.mapInPandas(run, "key string, fp bigint" + ", hash bigint, own binary" * names)
 
 
 def bit_moments(distinct: DataFrame) -> tuple[int, np.ndarray]:
@@ -190,19 +193,35 @@ def near_duplicates(
     it. Null, empty and blank texts have fingerprint zero and are linked like others. Null keys are kept and never name a
     component, unless all its keys are null. Keys compare in their own type; other columns are not looked at.
     """
+    rows, by_node = grouped(docs, key, text, words, distance, bucket, F.col("key"))
+    shown = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
+    return rows.join(by_node, "fp").select(F.col("key").alias(key), shown, F.col("least").alias("component_id"))
+
+
+def grouped(
+    docs: DataFrame, key: str, text: str, words: int, distance: int, bucket: int, order: Column, names: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``fingerprints``, and for each fingerprint the ``least`` value of ``order`` in its component."""
     kind = docs.schema[key].dataType
-    rows = store(fingerprints(docs, key, text, words).select(F.col("key").cast(kind).alias("key"), "fp"))
-    nodes = store(rows.groupBy("fp").agg(F.min("key").alias("least")))
+    rows = store(fingerprints(docs, key, text, words, names).withColumn("key", F.col("key").cast(kind)))
+    nodes = store(rows.groupBy("fp").agg(F.min(order).alias("least")))
     roots = components(links(nodes.select("fp"), distance, bucket))
     named = nodes.join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     named = store(named)
-    least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_node = store(named.join(least, "root").select("fp", "component_id"))
-    shown = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
-    return rows.join(by_node, "fp").select(F.col("key").alias(key), shown, "component_id")
+    least = named.groupBy("root").agg(F.min("least").alias("least"))
+    return rows, store(named.drop("least").join(least, "root").select("fp", "least"))
 
 
-def without_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", **settings) -> DataFrame:
-    """The rows whose key names their component, all columns as they are: one document a component. Null keys stay."""
-    found = near_duplicates(docs, key, text, **settings).where(~F.col(key).eqNullSafe(F.col("component_id")))
-    return without(docs, found.select(F.col(key).alias("_gone")), key)
+def without_near_duplicates(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 3, distance: int = 2, bucket: int = 1000
+) -> DataFrame:
+    """One row of each component, all columns as they are: the smallest key, then the least text digest; null keys come last.
+
+    Rows are named by key and text, so other rows of the same key do not matter; of repeated rows one stays.
+    """
+    order = F.struct(F.col("key").isNull().alias("none"), "key", "own")
+    rows, by_node = grouped(docs, key, text, words, distance, bucket, order, names=True)
+    kept = F.col("key").eqNullSafe(F.col("least.key")) & (F.col("own") == F.col("least.own"))
+    found = store(rows.join(by_node, "fp").select("key", "own", "hash", kept.alias("kept")))
+    again = found.where("kept").groupBy("key", "own", "hash").count().where("count > 1")
+    return without(docs, found.where("not kept"), key, text, again)

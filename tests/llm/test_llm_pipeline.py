@@ -65,6 +65,21 @@ def test_odd_and_empty_tables(text_spark, stage):
         assert found.where(F.col("doc_id").isNull()).count() in (0, 1, 2)
 
 
+def test_reused_and_missing_ids(text_spark):
+    make = lambda rows: text_spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    a, b = "a text that stands here", "b text that stands here"
+    once = rows(corpus_pipeline.exact_once(text_spark, make([(5, a), (9, a), (5, b), (3, b), (None, a), (None, "x y"), (None, "xy"), (4, "q"), (4, "q")]), FOLDER))
+    assert Counter(once) == Counter([(5, a), (3, b), (None, "x y"), (4, "q")])
+
+    c = "quite other words make another fingerprint for this one"
+    near = rows(corpus_pipeline.near_once(text_spark, make([(5, a), (9, a), (5, c), (3, c), (None, a), (None, "z"), (None, "z"), (5, a)]), FOLDER))
+    assert Counter(near) == Counter([(5, a), (3, c), (None, "z")])
+
+    item = text_spark.read.parquet(f"{FOLDER}/benchmark.parquet").where("length(text) > 50").first()["text"]
+    clean = rows(corpus_pipeline.decontaminated(text_spark, make([(1, item), (1, a), (None, item), (None, b), (2, c)]), FOLDER))
+    assert Counter(clean) == Counter([(1, a), (None, b), (2, c)])
+
+
 def test_queries_are_registered():
     numbers = [int(name[2:].split("_")[0]) for name in queries.QUERIES if name.startswith("op")]
     assert numbers == list(range(1, 11)) and "pipeline" in queries.QUERIES and set(queries.ORACLES) <= set(queries.QUERIES)
