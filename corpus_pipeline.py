@@ -7,7 +7,7 @@ Each stage takes what the one before kept, as a stored table. Decisions are by r
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from slotflow.llm import bpe, decontaminate, dedup, language, quality, simhash
 from slotflow.llm.common import prepare, store
@@ -17,7 +17,9 @@ def good_quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame
     """Documents whose score is at least 0.5, by a model of the labelled ones that are not held out."""
     labels = prepare(spark).read.parquet(f"{folder}/labels.parquet")
     model = quality.learn(docs, labels, language.fold("doc_id", 3) != 1)
-    return docs.withColumn("_score", quality.score_column(model)).where("_score >= 0.5").drop("_score")
+    # the columns travel as one struct, so none clashes with the score
+    scored = docs.select(F.struct("*").alias("_row"), quality.score_column(model).alias("_score"))
+    return scored.where("_score >= 0.5").select("_row.*")
 
 
 def exact_once(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

@@ -80,6 +80,22 @@ def test_reused_and_missing_ids(text_spark):
     assert Counter(clean) == Counter([(1, a), (None, b), (2, c)])
 
 
+def test_values_of_clashing_columns(text_spark):
+    names = ["_hash", "_suspect", "_again", "_score", "_row", "_key", "_own", "_digest", "_gone", "key", "own", "hash", "doc", "alive", "least", "fp"]
+    item = text_spark.read.parquet(f"{FOLDER}/benchmark.parquet").where("length(text) > 50").first()["text"]
+    good = text_spark.read.parquet(f"{FOLDER}/documents.parquet").where("doc_id is not null").limit(40)
+    made = [(1, "same words"), (2, "same words"), (3, "same words"), (3, "same words"), (4, item), (4, "other"), (None, "same words")]
+    docs = text_spark.createDataFrame(made, "doc_id bigint, text string")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        given = good.select("doc_id", "text") if stage is corpus_pipeline.good_quality else docs
+        for clash in names:
+            given = given.withColumn(clash, F.lit(f"clash {clash}"))
+        found = stage(text_spark, given, FOLDER)
+        assert found.columns == given.columns and found.schema == given.schema
+        left = found.collect()
+        assert left and all(r[clash] == f"clash {clash}" for r in left for clash in names), name
+
+
 def test_queries_are_registered():
     numbers = [int(name[2:].split("_")[0]) for name in queries.QUERIES if name.startswith("op")]
     assert numbers == list(range(1, 11)) and "pipeline" in queries.QUERIES and set(queries.ORACLES) <= set(queries.QUERIES)
