@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from slotflow.llm import bpe, decontaminate, dedup, language, pii, quality, sharding, simhash, tokens, warc
+from slotflow.llm import bpe, codes, conversations, decontaminate, dedup, language, mixing, pii, quality, sharding, simhash, tokens, warc
 from slotflow.llm.common import prepare
 from slotflow.session import new_table_path
 
@@ -93,6 +93,36 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return dedup.exact_duplicates(table(spark, folder, "documents"), digests=True)
 
 
+def op11_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    coded, books = codes.compressed(table(spark, folder, "embeddings"), parts=16, entries=64, rounds=2, scale=256)
+    digest = F.lit(codes.book_digest(books)).alias("codebooks_sha256")
+    return codes.with_label_errors(coded).select("vec_id", "code", "error", "label_error", digest)
+
+
+def op12_source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mixed(table(spark, folder, "documents"), weights=(3, 1, 2), share=1.5, most=2)
+
+
+def damaged(turns: DataFrame) -> DataFrame:
+    """Conversations with the contract's faults; a dropped turn stays as a row that is not ``present``."""
+    text_of = lambda name: F.coalesce(F.col(name).cast("string"), F.lit(" "))
+    lot = F.crc32(F.encode(F.concat(text_of("conv_id"), F.lit(":"), text_of("turn")), "UTF-8")) % 20
+    rows = turns.select("conv_id", "turn", text_of("role").alias("role"), text_of("text").alias("text"), lot.alias("lot"))
+    text = F.when(F.col("lot") == 1, "").when(F.col("lot") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    return rows.select(
+        "conv_id",
+        "turn",
+        F.when(F.col("lot") == 4, "user").otherwise(F.col("role")).alias("role"),
+        text.alias("text"),
+        (F.col("lot") != 0).alias("present"),
+        F.explode(F.when(F.col("lot") == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("copy"),
+    ).drop("copy")
+
+
+def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return conversations.repair_report(damaged(table(spark, folder, "conversations")), present="present")
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -110,9 +140,34 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_warc": op9_warc,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_source_mix": op12_source_mix,
+    "op13_conversation_repair": op13_conversation_repair,
     "pipeline": pipeline,
 }
 
+def _nearest(r: int) -> str:
+    """near{r}: the entry of book{r} that every piece is nearest to."""
+    far = "list_sum(list_transform(list_zip(piece, centre), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+    return f"""near{r} AS (
+    SELECT row_no, part, piece, entry, far FROM (SELECT *, {far} AS far FROM pieces JOIN book{r} USING (part))
+    QUALIFY row_number() OVER (PARTITION BY row_no, part ORDER BY far, entry) = 1
+)"""
+
+
+def _round(r: int) -> str:
+    """near{r}, and book{r + 1}: its entries as floored means of their pieces, unused ones as they were."""
+    return f"""{_nearest(r)}, sums{r} AS (
+    SELECT part, entry, place, sum(value) AS total, count(*) AS n
+    FROM (SELECT part, entry, unnest(piece) AS value, generate_subscripts(piece, 1) AS place FROM near{r}) GROUP BY ALL
+), means{r} AS (
+    -- // rounds towards zero
+    SELECT part, entry, list(CAST((total - (((total % n) + n) % n)) // n AS BIGINT) ORDER BY place) AS mean FROM sums{r} GROUP BY ALL
+), book{r + 1} AS (
+    SELECT part, entry, coalesce(mean, centre) AS centre FROM book{r} LEFT JOIN means{r} USING (part, entry)
+)"""
+
+
 ORACLES = {
     "op8_decontamination": r"""
 WITH cut AS (
@@ -159,5 +214,23 @@ WITH cut AS (
     SELECT *, first_value(doc_id) OVER (PARTITION BY text_sha256 ORDER BY points DESC, doc_id NULLS LAST) AS keep_id, count(*) OVER (PARTITION BY text_sha256) AS group_size FROM cut
 )
 SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, text_sha256 FROM grouped
+""",
+    "op11_vector_codes": f"""
+WITH kept AS (
+    SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 256) AS BIGINT)) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), numbered AS (
+    SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, v) - 1 AS row_no, vec_id, label, v, len(v) // 16 AS w FROM kept
+), pieces AS (
+    SELECT row_no, p AS part, v[p * w + 1:(p + 1) * w] AS piece FROM numbered, range(16) parts(p)
+), book0 AS (
+    SELECT part, row_no AS entry, piece AS centre FROM pieces WHERE row_no < 64
+), {_round(0)}, {_round(1)}, {_nearest(2)}, books AS (
+    SELECT string_agg(array_to_string(centre, ','), ',' ORDER BY part, entry) AS numbers FROM book2
+), coded AS (
+    SELECT row_no, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, CAST(sum(far) AS BIGINT) AS error FROM near2 GROUP BY row_no
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, sha256(numbers) AS codebooks_sha256
+FROM coded JOIN numbered USING (row_no), books
 """,
 }

@@ -1,0 +1,160 @@
+"""Repair of conversations against a plain search from the end."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+from functools import lru_cache
+
+import pytest
+from pyspark.sql import functions as F
+
+from slotflow.llm import conversations
+
+SCHEMA = "conv_id bigint, turn bigint, role string, text string"
+
+
+def faults(turns):
+    """Of (turn, role, text), in order."""
+    out, seen = [], set()
+    for _, role, text in turns:
+        body = text.strip(" \t\n\x0b\x0c\r")
+        out.append("blank" if not body else "duplicate" if (role, text) in seen else "" if body[-1] in ".!?" else "truncated")
+        seen.add((role, text))
+    return out
+
+
+def plain(turns):
+    """The report of one conversation: cost and audit by trying every edit from each turn on."""
+    turns = [(n, " " if r is None else r, " " if t is None else t) for n, r, t in turns]
+    turns.sort(key=lambda x: (x[0] is not None, x[0] or 0, x[1], x[2]))
+    fault = faults(turns)
+
+    @lru_cache(None)
+    def best(i, done, room):
+        """(cost, audit, repaired) of the rest, after ``done``: '', 's', 'u' or 'a' is the last initial; ``room`` insertions in a row."""
+        options = [(0, "", ())] if i == len(turns) and done in ("", "a") else []
+        need = "a" if done == "u" else "u"
+        name = {"u": "user", "a": "assistant"}[need]
+        if room:
+            cost, audit, rest = best(i, need, room - 1)
+            options.append((cost + 5, "I" + audit, (f"{name}:",) + rest))
+        if i < len(turns):
+            _, role, text = turns[i]
+            cost, audit, rest = best(i + 1, done, 3)
+            options.append((cost + 2, "D" + audit, rest))
+            if fault[i] in ("", "truncated"):
+                more = 5 * (fault[i] == "truncated")
+                cost, audit, rest = best(i + 1, need, 3)
+                options.append((cost + 1 + more, "R" + audit, (f"{name}:{text}",) + rest))
+                if role[:1] == need or (role[:1] == "s" and done == ""):
+                    cost, audit, rest = best(i + 1, role[:1], 3)
+                    options.append((cost + more, "K" + audit, (f"{role}:{text}",) + rest))
+        return min(options, default=(10**9, "", ()))
+
+    cost, audit, repaired = best(0, "", 3)
+    numbers = [n for n, _, _ in turns if n is not None]
+    illegal = sum(a[1][:1] + b[1][:1] not in ("su", "ua", "au") for a, b in zip(turns, turns[1:]))
+    gaps = max(numbers) - min(numbers) + 1 - len(set(numbers)) if numbers else 0
+    digest = hashlib.sha256("\n".join(repaired).encode()).hexdigest()
+    return (gaps, *(fault.count(f) for f in ("blank", "duplicate", "truncated")), illegal, cost, audit, digest), repaired
+
+
+TEXTS = ["Yes.", "No!", "Well", "", " ", "Is it?  ", "a:b\n", None, "end.\n", "Yes."]
+ROLES = ["user", "assistant", "system", "user", "assistant", "tool", "", None, "User", "ally"]
+
+
+def odd_turns(seed, most=9):
+    chance = random.Random(seed)
+    size = chance.randrange(most + 1)
+    return [(chance.choice([None, *range(12)]), chance.choice(ROLES[: chance.choice([3, 5, 10])]), chance.choice(TEXTS)) for _ in range(size)]
+
+
+def own(turns):
+    """The report of one conversation by the operator's class, without Spark."""
+    turns = [(n, " " if r is None else r, " " if t is None else t) for n, r, t in turns]
+    turns.sort(key=lambda x: (x[0] is not None, x[0] or 0, x[1], x[2]))
+    reader = conversations.Conversation()
+    for (n, r, t), fault in zip(turns, faults(turns)):
+        reader.add(n, r, t, fault)
+    return tuple(reader.report().values())
+
+
+@pytest.mark.parametrize("piece", [1, 2, 3, 64])
+def test_any_piece_gives_the_cheapest_edits(monkeypatch, piece):
+    monkeypatch.setattr(conversations, "PIECE", piece)
+    for seed in range(1500):
+        turns = odd_turns(seed)
+        assert own(turns) == plain(turns)[0], turns
+
+
+def test_long_conversations_are_repaired_in_pieces():
+    turns = [(i, r, t) for i, (_, r, t) in enumerate(x for seed in range(60) for x in odd_turns(seed, 8))]
+    assert len(turns) > 150 and own(turns) == plain(turns)[0]
+
+
+def weigh(cost, audit):
+    return cost, audit
+
+
+def test_weights_never_fall_along_a_deduction():
+    """What makes the agenda right: a conclusion weighs no less than its premise."""
+    for last in range(4):
+        for code in ("u-", "a-", "s-", "?-", "ut", "ax"):
+            for more, letter, _ in conversations.axioms(code, last):
+                assert weigh(3 + more, "KD" + letter) >= weigh(3, "KD")
+
+
+def table(spark, seeds, extra=True):
+    rows = [(c, *t) for c in seeds for t in odd_turns(c)] + [(None, n, r, t) for n, r, t in odd_turns(77)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    for name in ("key", "here", "fault", "repeated", "audit", "place", "edit", "present") if extra else ():
+        df = df.withColumn(name, F.lit(f"clash {name}"))
+    return df, rows
+
+
+def test_report_and_repaired_turns_of_odd_conversations(text_spark):
+    df, rows = table(text_spark, range(60))
+    groups = {}
+    for c, *turn in rows:
+        groups.setdefault(c, []).append(tuple(turn))
+    found = {r[0]: tuple(r)[1:] for r in conversations.repair_report(df).collect()}
+    assert found == {c: plain(turns)[0] for c, turns in groups.items()}
+    lines = {}
+    for r in conversations.repaired_turns(df).orderBy("place").collect():
+        lines.setdefault(r.conv_id, []).append(f"{r.role}:{r.text}")
+        assert r.place == len(lines[r.conv_id]) - 1 and (r.edit != "I" or (r.turn is None and r.text == ""))
+    assert lines == {c: list(plain(turns)[1]) for c, turns in groups.items() if plain(turns)[1]}
+
+
+def test_rows_not_present_only_name_their_conversation(text_spark):
+    rows = [(1, 0, "user", "A.", False), (1, 1, "user", "A.", True), (1, 2, "assistant", "B.", True), (2, 0, "user", "A.", False), (3, 0, "user", "A.", None)]
+    df = text_spark.createDataFrame(rows, f"{SCHEMA}, there boolean")
+    found = {r.conv_id: r for r in conversations.repair_report(df, present="there").collect()}
+    assert found[1].audit == "KK" and found[1].cost == 0 and found[1].duplicate == 0
+    for c in (2, 3):
+        assert tuple(found[c])[1:] == (0, 0, 0, 0, 0, 0, "", hashlib.sha256(b"").hexdigest())
+
+
+def test_empty_tables_and_large_turn_numbers(text_spark):
+    assert conversations.repair_report(table(text_spark, range(3))[0].where("false")).collect() == []
+    assert conversations.repaired_turns(table(text_spark, range(3))[0].where("false")).collect() == []
+    rows = [(1, 2**53 + 1, "user", "A."), (1, 2**53 + 2, "assistant", "B."), (1, None, "system", "C.")]
+    row = conversations.repair_report(text_spark.createDataFrame(rows, SCHEMA)).first()
+    assert (row.gaps, row.audit, row.cost) == (0, "KKK", 0)
+
+
+def test_whole_query_against_the_plain_version(text_spark):
+    import zlib
+
+    from slotflow.llm.queries import op13_conversation_repair
+
+    folder = "/root/testdata/sf0.01"
+    groups = {}
+    for c, n, r, t in text_spark.read.parquet(f"{folder}/conversations.parquet").select("conv_id", "turn", "role", "text").collect():
+        lot = zlib.crc32(f"{c}:{n}".encode()) % 20
+        own = groups.setdefault(c, [])
+        t = "" if lot == 1 else "".join(x for x in t if x not in ".!?") if lot == 2 else t
+        own += [(n, "user" if lot == 4 else r, t)] * (0 if lot == 0 else 2 if lot == 3 else 1)
+    found = {r[0]: tuple(r)[1:] for r in op13_conversation_repair(text_spark, folder).collect()}
+    assert found == {c: plain(turns)[0] for c, turns in groups.items()}
