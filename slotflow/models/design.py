@@ -114,21 +114,29 @@ def fit_scale(matrix: DataFrame, width: int) -> Scale:
 
 @dataclass(frozen=True)
 class Problem:
-    """A regression ready to fit: scaled training rows [id, label, x] and query rows [id, x]."""
+    """A regression ready to fit: scaled training rows [id, label, x], and query rows [id, x] if there are any yet."""
 
     train: DataFrame
-    queries: DataFrame
     design: Design
     scale: Scale
+    queries: DataFrame | None = None
 
 
-def prepare(train: DataFrame, features: DataFrame) -> Problem:
-    """Encodes and scales by the training rows."""
+def encoded(features: DataFrame, design: Design, scale: Scale) -> DataFrame:
+    """[id, x] of ``features``, in the columns and on the scale of a fit."""
+    return features.select(F.col(KEY).alias("id"), design.row().alias("x")).withColumn("x", scale.apply())
+
+
+def prepare_rows(train: DataFrame) -> Problem:
+    """Encodes and scales the training rows."""
     train = materialize(train)
     design = fit_design(train)
     raw = train.select(F.col(KEY).alias("id"), F.col(LABEL).cast("double").alias("label"), design.row().alias("x"))
     scale = fit_scale(raw, design.width)
-    queries = features.select(F.col(KEY).alias("id"), design.row().alias("x"))
-    return Problem(
-        raw.withColumn("x", scale.apply()), queries.withColumn("x", scale.apply()), design, scale
-    )
+    return Problem(raw.withColumn("x", scale.apply()), design, scale)
+
+
+def prepare(train: DataFrame, features: DataFrame) -> Problem:
+    """Encodes and scales by the training rows."""
+    rows = prepare_rows(train)
+    return Problem(rows.train, rows.design, rows.scale, encoded(features, rows.design, rows.scale))

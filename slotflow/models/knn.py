@@ -19,7 +19,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from slotflow.functions.columns import hash_number, key_hash
-from slotflow.models.design import KEY, LABEL, fit_design, moments, prepare
+from slotflow.models.design import KEY, LABEL, encoded, fit_design, moments, prepare_rows
+from slotflow.models.fitted import Regressor
 from slotflow.session import materialize
 
 KS = (5, 7, 9)  # fixed values: the candidates for k
@@ -37,7 +38,7 @@ def _matrix(pdf: pd.DataFrame) -> np.ndarray:
     return np.stack(pdf["x"].to_numpy()).astype(float)
 
 
-def _nearest(asked: np.ndarray, rows: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def nearest_rows(asked: np.ndarray, rows: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Query, row and distance of the k nearest ``rows`` of each query; earlier rows win ties."""
     lengths, last = (rows**2).sum(axis=1), min(k, len(rows)) - 1
     step = max(1, CELLS_AT_ONCE // max(1, len(rows)))
@@ -88,7 +89,7 @@ def neighbours(train: DataFrame, queries: DataFrame, k: int, scales: Scales) ->
                 mine = np.flatnonzero(asked["problems"].map(lambda p: problem in p))
                 fit = np.flatnonzero(~held.map(lambda h: problem in h).to_numpy(bool))
                 if len(fit):
-                    for a, t, far in _nearest(_scaled(q[mine], *scales[problem]), _scaled(x[fit], *scales[problem]), k):
+                    for a, t, far in nearest_rows(_scaled(q[mine], *scales[problem]), _scaled(x[fit], *scales[problem]), k):
                         t = fit[t]
                         found.append(
                             pd.DataFrame({"problem": problem, "query": names[mine[a]], "id": ids[t], "label": labels[t], "distance": far})
@@ -149,13 +150,38 @@ def best_k(tuning: DataFrame) -> int:
     return tuning.orderBy("rmse", "k").first().k
 
 
-def knn_forecast(train: DataFrame, features: DataFrame, k: int | None = None, seed: int = 101, repeats: int = 3) -> DataFrame:
-    """[prod_id, prediction]: the mean label of the k nearest. Without ``k`` it is tuned first, by ``repeats`` cross-validations."""
+def knn_forecast(
+    train: DataFrame, features: DataFrame, k: int | None = None, seed: int = 101, repeats: int = 3, method: str = "exact", tables: int = 8
+) -> DataFrame:
+    """[prod_id, prediction]: the mean label of the k nearest. Without ``k`` it is tuned first, by ``repeats`` cross-validations.
+
+    ``method`` is "exact", all distances, or "candidates", those within the cells of ``tables`` trees (``slotflow.models.index``): some
+    neighbours may then be others than the nearest, and ``k`` must be given, as tuning compares all.
+    """
+    if method not in ("exact", "candidates") or (method == "candidates" and k is None):
+        raise ValueError('method is "exact", or "candidates" with k given')
+    model = knn_fit(train, k, seed, repeats)
+    if method == "exact":
+        return model.predict(features)
+    from slotflow.models.index import candidates, fit_index
+
+    asked = materialize(encoded(features, model.design, model.scale))
+    found = candidates(model.rows, asked, model.values["k"], fit_index(model.rows, tables, seed=seed))
+    return found.groupBy(F.col("query").alias(KEY)).agg(F.avg("label").alias("prediction"))
+
+
+def knn_fit(train: DataFrame, k: int | None = None, seed: int = 101, repeats: int = 3) -> Regressor:
+    """The scaled training rows and ``k``, tuned by ``repeats`` cross-validations unless given."""
     train = materialize(train)
     if k is None:
         k = best_k(knn_tuning(train, seed=seed, repeats=repeats))
-    problem = prepare(train, features)
+    problem = prepare_rows(train)
+    return Regressor("knn", problem.design, problem.scale, {"k": int(k)}, materialize(problem.train))
+
+
+def predicted(model: Regressor, asked: DataFrame) -> DataFrame:
+    k, width = model.values["k"], model.design.width
     none, one = F.array().cast("array<int>").alias("held"), F.array(F.lit(0)).alias("problems")
-    same = {0: (np.zeros(problem.design.width), np.ones(problem.design.width))}
-    found = neighbours(problem.train.select("id", "label", "x", none), problem.queries.select("id", "x", one), k, same)
+    same = {0: (np.zeros(width), np.ones(width))}
+    found = neighbours(model.rows.select("id", "label", "x", none), asked.select("id", "x", one), k, same)
     return _means(found, [k]).select(F.col("query").alias(KEY), F.col(f"k{k}").alias("prediction"))

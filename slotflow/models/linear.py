@@ -1,7 +1,6 @@
-"""Partial least squares, radial features with a ridge penalty, and hinges with term selection.
+"""Partial least squares, and what linear fits share: sums of products per fold, ridge, selection of terms.
 
-All three are fitted and tuned from one pass over the training rows: sums of products per fold. The last two
-stand for a radial support-vector regression and for adaptive splines.
+A model is fitted and tuned from one pass over the training rows.
 """
 
 from __future__ import annotations
@@ -12,12 +11,11 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from slotflow.models.design import KEY, prepare
+from slotflow.models.design import KEY, prepare_rows
+from slotflow.models.fitted import Regressor
 from slotflow.models.knn import fold_numbers
 
 COMPONENTS = (1, 2, 3)  # fixed values: the candidates for the number of components
-COSTS = (0.25, 0.5, 1.0)  # fixed values: the candidates for the cost of an error
-TERMS = (2, 7, 13, 21)  # candidates for the number of hinges kept
 
 Line = tuple[float, np.ndarray]
 
@@ -132,7 +130,7 @@ def term_path(sums: np.ndarray, most: int, least_gain: float = 1e-3) -> dict[int
     return path
 
 
-def term_coefficients(sums: np.ndarray, terms: int, most: int = max(TERMS)) -> Line:
+def term_coefficients(sums: np.ndarray, terms: int, most: int = 21) -> Line:
     """Least squares on the ``terms`` selected columns; the others get a slope of 0."""
     means, spreads, centred = _scaled(sums)
     path = term_path(sums, most)
@@ -143,7 +141,7 @@ def term_coefficients(sums: np.ndarray, terms: int, most: int = max(TERMS)) -> L
     return _line(means, spreads, slopes)
 
 
-def _held_out_error(sums: np.ndarray, intercept: float, slopes: np.ndarray) -> float:
+def held_out_error(sums: np.ndarray, intercept: float, slopes: np.ndarray) -> float:
     weights = np.concatenate([[-intercept], -slopes, [1.0]])
     return float(np.sqrt(max(0.0, weights @ sums @ weights) / sums[0, 0]))
 
@@ -156,7 +154,7 @@ def tuning(sums: dict[int, np.ndarray], folds: int, fit: Callable[[np.ndarray, f
     errors = {}
     for candidate in candidates:
         scores = [
-            _held_out_error(held, *fit(totals[number // folds] - held, candidate))
+            held_out_error(held, *fit(totals[number // folds] - held, candidate))
             for number, held in sums.items()
             if held[0, 0] and (totals[number // folds] - held)[0, 0] > 0.5
         ]
@@ -173,65 +171,20 @@ def _tuned(sums: dict[int, np.ndarray], folds: int, fit: Callable[[np.ndarray, f
     return fit(sum(s for f, s in sums.items() if f < folds), candidate)
 
 
-def pls_forecast(
-    train: DataFrame, features: DataFrame, components: int | None = None, folds: int = 10, repeats: int = 3, seed: int = 101
-) -> DataFrame:
-    """[prod_id, prediction] by partial least squares; without ``components`` they are tuned, scaled anew within each fold."""
-    problem = prepare(train, features)
+def pls_fit(train: DataFrame, components: int | None = None, folds: int = 10, repeats: int = 3, seed: int = 101) -> Regressor:
+    """Partial least squares; without ``components`` they are tuned, scaled anew within each fold."""
+    problem = prepare_rows(train)
     sums = fold_sums(problem.train, folds, repeats, seed)
     intercept, slopes = _tuned(sums, folds, pls_coefficients, COMPONENTS if components is None else (components,))
-    terms = " + ".join([f"({float(intercept)!r}D)"] + [f"x[{i}] * ({float(b)!r}D)" for i, b in enumerate(slopes)])
-    return problem.queries.select(F.col("id").alias(KEY), F.expr(terms).alias("prediction"))
+    return Regressor("pls", problem.design, problem.scale, {"intercept": float(intercept), "slopes": [float(b) for b in slopes]})
 
 
-def rbf_forecast(
-    train: DataFrame, features: DataFrame, size: int = 200, gamma: float | None = None, costs: Sequence[float] = COSTS,
-    folds: int = 10, repeats: int = 3, seed: int = 101,
-) -> DataFrame:
-    """[prod_id, prediction] by random Fourier features of a radial kernel and squared errors.
+def predicted(model: Regressor, asked: DataFrame) -> DataFrame:
+    slopes = model.values["slopes"]
+    terms = " + ".join([f"({model.values['intercept']!r}D)"] + [f"x[{i}] * ({b!r}D)" for i, b in enumerate(slopes)])
+    return asked.select(F.col("id").alias(KEY), F.expr(terms).alias("prediction"))
 
-    The cost of an error is tuned by cross-validation; ``gamma`` is 1 / columns unless given.
-    """
-    problem = prepare(train, features)
-    width = problem.design.width
-    generator = np.random.default_rng(seed)
-    spread = np.sqrt(2 * (gamma if gamma is not None else 1 / width))
-    weights, shifts = generator.normal(0, spread, (width, size)), generator.uniform(0, 2 * np.pi, size)
-
-    def waves(x: np.ndarray) -> np.ndarray:
-        return np.sqrt(2 / size) * np.cos(x @ weights + shifts)
-
-    intercept, slopes = _tuned(fold_sums(problem.train, folds, repeats, seed, waves), folds, ridge_coefficients, costs)
-
-    @F.pandas_udf("double")
-    def predict(x: pd.Series) -> pd.Series:
-        return pd.Series(intercept + waves(np.stack(x.to_numpy())) @ slopes) if len(x) else pd.Series([], dtype=float)
 
-    return problem.queries.select(F.col("id").alias(KEY), predict("x").alias("prediction"))
-
-
-def hinge_forecast(
-    train: DataFrame, features: DataFrame, knots: int = 5, terms: Sequence[int] = TERMS, folds: int = 10, repeats: int = 3, seed: int = 101
-) -> DataFrame:
-    """[prod_id, prediction] by hinges at quantiles of each number.
-
-    Terms are selected forward and backward; how many stay is tuned by cross-validation, with the selection
-    made anew within each fold.
-    """
-    problem = prepare(train, features)
-    width, numbers = problem.design.width, len(problem.design.numbers)
-    columns = problem.train.select(*[F.col("x")[i].alias(f"x{i}") for i in range(numbers)])
-    at = columns.approxQuantile(columns.columns, [(i + 1) / (knots + 1) for i in range(knots)], 0.01)
-    places = [(i, float(place)) for i, found in enumerate(at) for place in sorted(set(found))]
-    column, place = np.array([i for i, _ in places], int), np.array([p for _, p in places])
-
-    def hinges(x: np.ndarray) -> np.ndarray:
-        above = x[:, column] - place
-        return np.hstack([x, np.maximum(above, 0), np.maximum(-above, 0)])
-
-    sums = fold_sums(problem.train, folds, repeats, seed, hinges)
-    intercept, slopes = _tuned(sums, folds, term_coefficients, terms)
-    cells = [f"x[{i}]" for i in range(width)]
-    cells += [f"greatest(x[{i}] - ({p!r}D), 0D)" for i, p in places] + [f"greatest(({p!r}D) - x[{i}], 0D)" for i, p in places]
-    used = [f"{cell} * ({float(b)!r}D)" for cell, b in zip(cells, slopes) if b]
-    return problem.queries.select(F.col("id").alias(KEY), F.expr(" + ".join([f"({float(intercept)!r}D)", *used])).alias("prediction"))
+def pls_forecast(train: DataFrame, features: DataFrame, **options) -> DataFrame:
+    """[prod_id, prediction] by ``pls_fit`` of ``train``."""
+    return pls_fit(train, **options).predict(features)

@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from slotflow.models import classifier, compare, linear
 from slotflow.models.design import KEY
 from slotflow.models.knn import knn_forecast, knn_tuning
-from slotflow.models.linear import hinge_forecast, rbf_forecast
+from slotflow.models.radial import rbf_forecast
+from slotflow.models.splines import hinge_forecast
 from slotflow.operators import demand, expected, ledger, moves, outcomes, prices, sampling
 from slotflow.plans import jobs
 from slotflow.session import materialize, shared_folder

@@ -13,7 +13,9 @@ from pyspark.sql import DataFrame, functions as F
 from slotflow.models import classifier
 from slotflow.models.design import LABEL
 from slotflow.models.knn import knn_forecast
-from slotflow.models.linear import hinge_forecast, pls_forecast, rbf_forecast
+from slotflow.models.linear import pls_forecast
+from slotflow.models.radial import rbf_forecast
+from slotflow.models.splines import hinge_forecast
 from slotflow.operators import demand
 from slotflow.operators.expected import expected_demand, forecast_demand
 from slotflow.operators.moves import instructions, plan_moves

@@ -1,0 +1,115 @@
+"""The candidate search against all distances."""
+
+from __future__ import annotations
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from slotflow.models import index
+
+SCHEMA = "id string, label double, x array<double>"
+
+
+def clustered(n, seed, columns=21):
+    """Rows that depend on a few hidden numbers, like demand features do, with some 0/1 columns."""
+    random = np.random.default_rng(seed)
+    hidden = random.normal(0, 1, (n, 5))
+    mix = np.random.default_rng(0).normal(0, 1, (5, columns))
+    x = hidden @ mix + random.normal(0, 0.1, (n, columns))
+    x[:, -4:] = x[:, -4:] > 0.5
+    return x
+
+
+def frame(spark, x, prefix):
+    return spark.createDataFrame([(f"{prefix}{i:06d}", float(i % 17), row.tolist()) for i, row in enumerate(x)], SCHEMA).repartition(8)
+
+
+def exact(train, asked, k):
+    """Per query the (distance, id) of the k nearest."""
+    far = np.sqrt(((asked[:, None] - train[None]) ** 2).sum(axis=2)).round(9)
+    order = np.argsort(far, axis=1, kind="stable")[:, :k]
+    return [[(far[q, t], f"t{t:06d}") for t in row] for q, row in enumerate(order)]
+
+
+@pytest.fixture(scope="module")
+def searched(spark):
+    train, asked = clustered(12_000, 1), clustered(600, 2)
+    rows, queries = frame(spark, train, "t").cache(), frame(spark, asked, "q").select("id", "x").cache()
+    trees = index.fit_index(rows, tables=8, cell_rows=512)
+    found = {}
+    for r in index.candidates(rows, queries, 9, trees).orderBy("rank").collect():
+        found.setdefault(r.query, []).append((r.distance, r.id))
+    return train, asked, rows, queries, trees, found
+
+
+def test_recall_is_nine_in_ten_and_the_estimate_tells_it(searched):
+    train, asked, rows, queries, trees, found = searched
+    wanted = exact(train, asked, 9)
+    hits = [sum(d <= w[-1][0] for d, _ in found[f"q{q:06d}"]) for q, w in enumerate(wanted)]
+    recall = sum(hits) / (9 * len(wanted))
+    assert trees[0].depth >= 4 and recall >= 0.9
+    assert abs(index.recall_estimate(rows, queries, 9, trees, sample_rows=600) - recall) < 1e-9
+    assert abs(index.recall_estimate(rows, queries, 9, trees, sample_rows=200) - recall) < 0.05
+
+
+def test_every_distance_is_right_and_no_neighbour_comes_twice(searched):
+    train, asked, *_, found = searched
+    assert len(found) == len(asked)
+    for name, near in found.items():
+        q, ids = asked[int(name[1:])], [i for _, i in near]
+        assert len(near) == 9 == len(set(ids)) and near == sorted(near)
+        for far, i in near:
+            assert abs(far - np.sqrt(((q - train[int(i[1:])]) ** 2).sum())) < 1e-6
+
+
+def test_rows_travel_once_per_tree(searched):
+    _, _, rows, queries, trees, _ = searched
+    placed = index.placed(rows, trees)
+    assert placed.count() == len(trees) * rows.count()
+    sizes = placed.groupBy("tree", "cell").count().agg(F.max("count")).first()[0]
+    assert sizes < 4 * 12_000 / 2 ** trees[0].depth
+
+
+def test_a_single_cell_is_the_exact_search(spark):
+    train, asked = clustered(300, 3), clustered(40, 4)
+    train[50:100] = train[7]
+    asked[:5] = train[7]
+    rows, queries = frame(spark, train, "t"), frame(spark, asked, "q").select("id", "x")
+    trees = index.fit_index(rows, tables=1)
+    assert trees[0].depth == 0
+    found = {}
+    for r in index.candidates(rows, queries, 7, trees).orderBy("rank").collect():
+        found.setdefault(r.query, []).append((r.distance, r.id))
+    assert found == {f"q{q:06d}": near for q, near in enumerate(exact(train, asked, 7))}
+
+
+def test_copies_of_one_row_make_no_cell_large(spark):
+    """A third of all training rows and of all queries are copies."""
+    train, asked = clustered(3000, 5), clustered(300, 6)
+    train[::3], asked[::3] = train[0], train[0]
+    rows, queries = frame(spark, train, "t"), frame(spark, asked, "q").select("id", "x")
+    trees = index.fit_index(rows, tables=4, cell_rows=256)
+    found = index.candidates(rows, queries, 9, trees)
+    near = {r.query: r.n for r in found.groupBy("query").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert len(near) == 300 and set(near.values()) == {9}
+    copies = {r.id for r in found.filter("query = 'q000003'").collect()}
+    assert copies == {f"t{3 * i:06d}" for i in range(9)}
+
+
+def test_few_rows_and_none(spark):
+    rows = frame(spark, clustered(3, 7), "t")
+    queries = frame(spark, clustered(4, 8), "q").select("id", "x")
+    assert index.candidates(rows, queries, 9, index.fit_index(rows)).count() == 12
+    assert index.candidates(rows, queries.limit(0), 9, index.fit_index(rows)).count() == 0
+    with pytest.raises(ValueError, match="no training rows"):
+        index.fit_index(rows.limit(0))
+
+
+def test_the_forecast_takes_candidates_only_when_asked(spark, monkeypatch):
+    from slotflow.models import knn
+
+    with pytest.raises(ValueError, match="k given"):
+        knn.knn_forecast(None, None, method="candidates")
+    with pytest.raises(ValueError):
+        knn.knn_forecast(None, None, k=5, method="fast")

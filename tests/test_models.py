@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from slotflow.models import classifier, design, knn, linear
+from slotflow.models import classifier, design, knn, linear, radial, splines
 from slotflow.models.compare import model_comparison, rounded_predictions, side_by_side
 from slotflow.plans import jobs
 from slotflow.sources.fixture import AS_OF, Fixture
@@ -164,8 +164,8 @@ def test_every_regressor_beats_the_mean(spark, data):
     predictions = {
         "knn": knn.knn_forecast(train, asked, k=5),
         "pls": linear.pls_forecast(train, asked, folds=5, repeats=2),
-        "svm": linear.rbf_forecast(train, asked, size=100),
-        "earth": linear.hinge_forecast(train, asked),
+        "svm": radial.rbf_forecast(train, asked, size=100),
+        "earth": splines.hinge_forecast(train, asked),
     }
     errors = {r.model: r.rmse for r in model_comparison(predictions, held).collect()}
     spread = held.agg(F.stddev_pop("sold_rep_units")).first()[0]
@@ -175,7 +175,7 @@ def test_every_regressor_beats_the_mean(spark, data):
     joined = side_by_side(predictions, held)
     row = rounded_predictions(joined, list(predictions)).first()
     assert row.pls >= 0 and isinstance(row.pls, int)
-    again = {r.prod_id: r.prediction for r in linear.rbf_forecast(train, asked, size=100).collect()}
+    again = {r.prod_id: r.prediction for r in radial.rbf_forecast(train, asked, size=100).collect()}
     assert all(abs(again[r.prod_id] - r.prediction) < 1e-6 for r in predictions["svm"].collect())
 
 

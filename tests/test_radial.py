@@ -1,0 +1,120 @@
+"""The radial model's width and loss, and stored regressors."""
+
+from __future__ import annotations
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+from test_models import SCHEMA, make_rows
+
+from slotflow.models import fitted, knn, linear, radial, splines
+from slotflow.models.radial import waves
+
+
+def labelled(spark, x, y, folds=5):
+    rows = [(f"r{i:05d}", float(v), row.tolist()) for i, (row, v) in enumerate(zip(x, y))]
+    frame = spark.createDataFrame(rows, "id string, label double, x array<double>").repartition(4)
+    return frame.withColumn("held", knn.fold_numbers(folds, 1, 101))
+
+
+def squares(x):
+    return ((x[:, None] - x[None]) ** 2).sum(axis=2)[np.triu_indices(len(x), 1)]
+
+
+def test_width_of_a_sample_is_that_of_all_pairs(spark):
+    x = np.random.default_rng(1).normal(0, [1, 2, 0.5, 3], (3000, 4))
+    frame = labelled(spark, x, x[:, 0])
+    far = squares(x)
+    want = (1 / np.quantile(far[far > 0], [0.1, 0.9])).mean()
+    assert np.isclose(radial.kernel_width(x), want)
+    # a quantile of the pairs of n rows has an error of some 1 / sqrt(n)
+    for size in (1000, 2000):
+        sample = radial.pair_sample(frame, size)
+        assert sample.shape == (size, 4) and abs(radial.kernel_width(sample) / want - 1) < 3 / size**0.5
+    sample = radial.pair_sample(frame, 1000)
+    # mergeable: the least of both halves' samples is the sample of all
+    halves = [radial.pair_sample(frame.filter(F.substring("id", 6, 1).cast("int") % 2 == i), 1000) for i in (0, 1)]
+    both = {tuple(r) for r in np.vstack(halves)}
+    assert {tuple(r) for r in sample} <= both
+    assert radial.kernel_width(np.zeros((5, 3))) == 1.0 and radial.kernel_width(np.zeros((0, 3))) == 1.0
+
+
+def test_parabolas_lie_above_the_cost_and_touch_it():
+    errors = np.array([-3.0, -0.5, -0.02, 0.0, 0.05, 0.3, 2.0])
+    weight, centre = radial.parabolas(errors)
+    line = np.linspace(-4, 4, 4001)
+    for e, w, c in zip(errors, weight, centre):
+        # shifted so that it meets the cost where it was taken
+        bound = w * (line - c) ** 2 + radial.tube_cost(np.array([e]))[0] - w * (e - c) ** 2
+        assert (bound - radial.tube_cost(line)).min() > -1e-9
+
+
+def test_robust_fit_beats_squares_where_outliers_are(spark):
+    random = np.random.default_rng(2)
+    x = random.normal(0, 1, (1500, 3))
+    clean = np.sin(x[:, 0]) * 3 + x[:, 1]
+    y = clean + random.normal(0, 0.1, 1500)
+    y[::12] += random.choice([40, 80], len(y[::12]))
+    rows = labelled(spark, x, y).cache()
+    sums = linear.fold_sums(rows, 5, 1, 101, lambda z: waves(z, 100, 0.2, 101))
+    (line,), (costs,) = radial.robust_lines(rows, [(-1, 1.0)], sums, 5, 100, 0.2, 101)
+    intercept, slopes = linear.ridge_coefficients(sum(sums.values()), 1.0)
+    z = waves(x, 100, 0.2, 101)
+    robust, squared = (np.sqrt(np.mean((clean - a - z @ b) ** 2)) for a, b in ((line[0], line[1:]), (intercept, slopes)))
+    # within the tube, which outliers widen, errors are free
+    assert robust < radial.TUBE * y.std() and 3 * robust < squared, (robust, squared)
+    assert all(b <= a * (1 + 1e-9) for a, b in zip(costs, costs[1:])) and len(costs) > 2
+
+
+def test_the_fit_is_the_least_cost(spark):
+    """No line near it costs less."""
+    random = np.random.default_rng(3)
+    x = random.normal(0, 1, (300, 2))
+    y = x[:, 0] + random.standard_t(1.5, 300) * 0.3
+    rows = labelled(spark, x, y).cache()
+    sums = linear.fold_sums(rows, 5, 1, 101, lambda z: waves(z, 20, 0.5, 101))
+    (line,), _ = radial.robust_lines(rows, [(-1, 1.0)], sums, 5, 20, 0.5, 101)
+    z, spread, mean = waves(x, 20, 0.5, 101), y.std(ddof=1), y.mean()
+
+    def cost(l):
+        return radial.tube_cost((y - l[0] - z @ l[1:]) / spread).sum() + 0.5 * ((l[1:] / spread) ** 2).sum()
+
+    least = cost(line)
+    for _ in range(300):
+        assert cost(line + random.normal(0, 0.05 * spread, 21)) > least * (1 - 5e-3)
+    assert least < 0.9 * cost(np.concatenate([[mean], np.zeros(20)]))
+
+
+def test_tuned_forecast_survives_outliers(spark):
+    train = make_rows(240, 1, "t")
+    wild = [(*r[:-1], r[-1] + (400 if i % 15 == 0 else 0)) for i, r in enumerate(train)]
+    asked = make_rows(60, 2, "q")
+    model = radial.rbf_fit(spark.createDataFrame(wild, SCHEMA), size=60, folds=4, losses=("tube",))
+    assert model.values["cost"] in radial.COSTS and 0 < model.values["gamma"] < 1
+    found = {r.prod_id: r.prediction for r in model.predict(spark.createDataFrame(asked, SCHEMA)).collect()}
+    wanted = {r[0]: r[-1] for r in asked}
+    error = np.sqrt(np.mean([(found[k] - v) ** 2 for k, v in wanted.items()]))
+    assert len(found) == 60 and error < 2 * np.std(list(wanted.values())), error
+
+
+@pytest.mark.parametrize(
+    "fit",
+    [
+        lambda t: knn.knn_fit(t, k=5),
+        lambda t: linear.pls_fit(t, folds=4, repeats=1),
+        lambda t: radial.rbf_fit(t, size=30, folds=3, costs=(1.0,)),
+        lambda t: radial.rbf_fit(t, size=30, folds=3, losses=("tube",), costs=(1.0,)),
+        lambda t: splines.hinge_fit(t, folds=3, repeats=1, pairs=3),
+    ],
+    ids=["knn", "pls", "svm", "tube", "earth"],
+)
+def test_stored_models_forecast_what_the_fit_does(spark, tmp_path, fit):
+    train, asked = spark.createDataFrame(make_rows(150, 1, "t"), SCHEMA), spark.createDataFrame(make_rows(40, 2, "q"), SCHEMA)
+    model, path = fit(train), str(tmp_path / "model")
+    for _ in range(2):
+        fitted.save_regressor(spark, model, path)
+    again = fitted.load_regressor(spark, path)
+    answers = [sorted((r.prod_id, r.prediction) for r in m.predict(asked).collect()) for m in (model, again)]
+    assert len(answers[0]) == 40 and answers[0] == answers[1]
+    # a level that the fit has not seen counts as the first one
+    assert again.predict(asked.withColumn("directorate", F.lit("NEW"))).count() == 40
