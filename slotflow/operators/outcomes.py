@@ -7,6 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame, functions as F
 
 from slotflow.functions.columns import half_up, within
+from slotflow.functions.special import binomial_tail, chi_square_tail, exact_interval
 
 # Sales channel of the averages, item group left out of an evaluation.
 SHOP = "SHOP"
@@ -63,9 +64,11 @@ def confusion_counts(df: DataFrame, prediction: str, label: str) -> DataFrame:
 
 
 def confusion_matrix(df: DataFrame, prediction: str, label: str, positive) -> DataFrame:
-    """One row: the four counts and the rates that follow from them.
+    """One row: the four counts, the rates that follow from them, and how sure they are.
 
-    A rate whose base is empty is NULL.
+    ``accuracy_low`` and ``accuracy_high`` are the exact 95% interval of the accuracy, ``no_information_rate`` the share of the more
+    frequent class, ``accuracy_p`` the chance that guessing it would do as well (one-sided binomial test), ``mcnemar_p`` that both
+    kinds of error are as frequent (McNemar's test, corrected for continuity). A rate whose base is empty is NULL.
     """
     said, was = F.col(prediction) == F.lit(positive), F.col(label) == F.lit(positive)
     cells = {"tp": said & was, "fp": said & ~was, "fn": ~said & was, "tn": ~said & ~was}
@@ -88,8 +91,20 @@ def confusion_matrix(df: DataFrame, prediction: str, label: str, positive) -> Da
         "neg_pred_value": rate(tn, tn + fn),
         "prevalence": rate(tp + fn, n),
         "detection_rate": rate(tp, n),
+        "detection_prevalence": rate(tp + fp, n),
         "balanced_accuracy": (sensitivity + specificity) / 2,
     }
+    right, most = tp + tn, F.greatest(tp + fn, tn + fp)
+    low, high = exact_interval(right, n)
+    uneven = F.when(fp == fn, 0.0).otherwise((F.abs(fp - fn) - 1) ** 2 / (fp + fn))
+    tests = {
+        "accuracy_low": low,
+        "accuracy_high": high,
+        "no_information_rate": rate(most, n),
+        "accuracy_p": binomial_tail(right, n, most / n),
+        "mcnemar_p": F.when(fp + fn > 0, chi_square_tail(uneven)),
+    }
+    statistics |= {name: F.when(n > 0, value) for name, value in tests.items()}
     return counts.select(*cells, *[value.alias(name) for name, value in statistics.items()])
 
 

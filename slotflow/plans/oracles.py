@@ -237,6 +237,31 @@ PARTS: dict[str, tuple[str, str]] = {
         """select cast(likelihood >= 0.5 as bigint) as said, move as was from complete_facts
         where item_group_name <> 'KAB'""",
     ),
+    "cells": (
+        "guessed",
+        """select *, greatest(tp + fn, tn + fp) as most,
+            ((tp + fp) / n) * ((tp + fn) / n) + ((fn + tn) / n) * ((fp + tn) / n) as chance
+        from (
+            select count(*) filter (said = 1 and was = 1) as tp, count(*) filter (said = 1 and was = 0) as fp,
+                count(*) filter (said = 0 and was = 1) as fn, count(*) filter (said = 0 and was = 0) as tn, count(*) as n
+            from guessed)""",
+    ),
+    # Both ends of the exact interval, by halving: the shares where one tail of the binomial sum is 2.5%.
+    "bounds": (
+        "cells",
+        """with recursive halved as (
+            select 0 as step, tp + tn as k, n, 0::double as l0, 1::double as l1, 0::double as h0, 1::double as h1 from cells
+            union all
+            select step + 1, k, n, if(above < 0.025, lm, l0), if(above < 0.025, l1, lm), if(below > 0.025, hm, h0), if(below > 0.025, h1, hm)
+            from (
+                select *,
+                    list_sum(list_transform(range(k, n + 1), lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1)
+                        + i * ln(lm) + (n - i) * ln(1 - lm)))) as above,
+                    list_sum(list_transform(range(0, k + 1), lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1)
+                        + i * ln(hm) + (n - i) * ln(1 - hm)))) as below
+                from (select *, (l0 + l1) / 2 as lm, (h0 + h1) / 2 as hm from halved where step < 50)))
+        select (l0 + l1) / 2 as low, (h0 + h1) / 2 as high from halved where step = 50""",
+    ),
     "ledger": (
         "instructed",
         "select licenceplate, target_state_name from instructed",
@@ -623,21 +648,24 @@ ORACLES: dict[str, str] = {
     ),
     "confusion_counts": statement("select said as prediction, was as observed, count(*) as n from guessed group by all", "guessed"),
     "confusion_matrix": statement(
-        """select tp, fp, fn, tn, round((tp + tn) / n, 9) as accuracy,
-            round(((tp + tn) / n - chance) / (1 - chance), 9) as kappa,
-            round(tp / (tp + fn), 9) as sensitivity, round(tn / (tn + fp), 9) as specificity,
-            round(tp / (tp + fp), 9) as pos_pred_value, round(tn / (tn + fn), 9) as neg_pred_value,
-            round((tp + fn) / n, 9) as prevalence, round(tp / n, 9) as detection_rate,
-            round((tp / (tp + fn) + tn / (tn + fp)) / 2, 9) as balanced_accuracy
+        """select * replace (round(accuracy_low, 9) as accuracy_low, round(accuracy_high, 9) as accuracy_high)
         from (
-            select *, tp + fp + fn + tn as n,
-                ((tp + fp) / (tp + fp + fn + tn)) * ((tp + fn) / (tp + fp + fn + tn))
-                + ((fn + tn) / (tp + fp + fn + tn)) * ((fp + tn) / (tp + fp + fn + tn)) as chance
-            from (
-                select count(*) filter (said = 1 and was = 1) as tp, count(*) filter (said = 1 and was = 0) as fp,
-                    count(*) filter (said = 0 and was = 1) as fn, count(*) filter (said = 0 and was = 0) as tn
-                from guessed))""",
-        "guessed",
+            select tp, fp, fn, tn, round((tp + tn) / n, 9) as accuracy,
+                round(((tp + tn) / n - chance) / (1 - chance), 9) as kappa,
+                round(tp / (tp + fn), 9) as sensitivity, round(tn / (tn + fp), 9) as specificity,
+                round(tp / (tp + fp), 9) as pos_pred_value, round(tn / (tn + fn), 9) as neg_pred_value,
+                round((tp + fn) / n, 9) as prevalence, round(tp / n, 9) as detection_rate, round((tp + fp) / n, 9) as detection_prevalence,
+                round((tp / (tp + fn) + tn / (tn + fp)) / 2, 9) as balanced_accuracy,
+                bounds.low as accuracy_low, bounds.high as accuracy_high, round(most / n, 9) as no_information_rate,
+                round(least(list_sum(list_transform(range(tp + tn, n + 1), lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1)
+                    + i * ln(most / n) + (n - i) * ln(1 - most / n)))), 1), 9) as accuracy_p,
+                -- the normal tail by Simpson's rule, over twelve deviations
+                round(case when fp = fn then 1 else 2 / sqrt(2 * pi()) * list_sum(list_transform(range(24001), lambda i:
+                    exp(-power((abs(fp - fn) - 1) / sqrt(fp + fn) + i / 2000, 2) / 2)
+                    * case when i in (0, 24000) then 1 when i % 2 = 1 then 4 else 2 end)) / 6000 end, 9) as mcnemar_p
+            from cells, bounds)""",
+        "cells",
+        "bounds",
     ),
 }
 
