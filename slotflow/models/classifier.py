@@ -6,12 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, functions as F
 
-from slotflow.operators.sampling import hash_folds
+from slotflow.models.resampling import resampled_accuracy
 from slotflow.session import materialize
 
 ID_COLUMNS = ("insert_date", "item_number", "licenceplate", "locno")
@@ -55,38 +53,31 @@ def model_frame(df: DataFrame) -> DataFrame:
     return df.select("*", *texts, F.col(LABEL).cast("double").alias("label"))
 
 
+KEY = ("insert_date", "licenceplate", "item_number")
+TRIES = ("2", "0.5", "1.0")  # candidates for the columns per split: two, half of them, all
+
+
+def tote_resampling(
+    df: DataFrame, folds: int = 10, repeats: int = 10, seed: int = 102, trees: int = 500, tries: Sequence[str] = TRIES, key: Sequence[str] = KEY
+) -> DataFrame:
+    """[place, columns, accuracy, spread, resamples]: held-out accuracy of forests by repeated cross-validation, for each of ``tries``."""
+    return resampled_accuracy(df, NUMBERS, FACTORS, LABEL, POSITIVE, key, tries, folds, repeats, trees, seed, MOST_DEPTH)
+
+
 def tote_classifier(
-    df: DataFrame,
-    folds: int = 10,
-    repeats: int = 10,
-    seed: int = 102,
-    trees: int = 500,
-    tries: Sequence[str] = ("2", "0.5", "1.0"),
-    key: Sequence[str] = ("insert_date", "licenceplate", "item_number"),
-    parallelism: int = 4,
+    df: DataFrame, folds: int = 10, repeats: int = 10, seed: int = 102, trees: int = 500, tries: Sequence[str] = TRIES, key: Sequence[str] = KEY
 ) -> PipelineModel:
     """A forest whose columns per split are chosen by repeated cross-validation, fitted on all of ``df``.
 
-    ``tries`` are the candidates: a number of columns or a share of them. Folds come from
-    hashes, a new set per repeat; accuracies are averaged over repeats.
+    ``tries`` are the candidates: a number of columns or a share of them; the first of the best is taken. All resamples are one job.
     """
     frame = materialize(model_frame(df))
     stages, forest = _stages(trees, seed)
-    pipeline = Pipeline(stages=stages)
-    scores = [0.0] * len(tries)
-    for repeat in range(repeats if len(tries) > 1 else 0):
-        validator = CrossValidator(
-            estimator=pipeline,
-            estimatorParamMaps=ParamGridBuilder().addGrid(forest.featureSubsetStrategy, list(tries)).build(),
-            evaluator=MulticlassClassificationEvaluator(labelCol="label", metricName="accuracy"),
-            numFolds=folds,
-            foldCol="fold",
-            parallelism=parallelism,
-        )
-        folded = hash_folds(frame, key, folds, f"{seed}-{repeat}")
-        scores = [s + m for s, m in zip(scores, validator.fit(folded).avgMetrics)]
-    best = tries[max(range(len(tries)), key=lambda i: (scores[i], -i))]
-    return pipeline.copy({forest.featureSubsetStrategy: best}).fit(frame)
+    best = tries[0]
+    if len(tries) > 1:
+        scored = tote_resampling(frame, folds, repeats, seed, trees, tries, key).collect()
+        best = min(scored, key=lambda r: (-r.accuracy, r.place)).columns if scored else best
+    return Pipeline(stages=stages).copy({forest.featureSubsetStrategy: best}).fit(frame)
 
 
 def classify(model: PipelineModel, df: DataFrame) -> DataFrame:

@@ -9,8 +9,10 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from slotflow.models import classifier, compare, linear
-from slotflow.models.design import KEY
-from slotflow.models.knn import knn_forecast, knn_tuning
+from slotflow.models.design import KEY, prepare
+from slotflow.models.fitted import load_regressor, save_regressor
+from slotflow.models.index import candidates, fit_index
+from slotflow.models.knn import knn_fit, knn_forecast, knn_tuning
 from slotflow.models.radial import rbf_forecast
 from slotflow.models.splines import hinge_forecast
 from slotflow.operators import demand, expected, ledger, moves, outcomes, prices, sampling
@@ -293,6 +295,18 @@ def _tuned(site: Fixture) -> DataFrame:
 QUERIES["knn_forecast"] = lambda spark, folder: _tuned(Fixture(spark, folder))
 
 
+@query
+def knn_candidates(site):
+    """Neighbours by candidates, in small cells: how many each product got, and how many of their distances are not what the rows say."""
+    problem = prepare(*jobs.model_data(site, AS_OF))
+    rows, asked = materialize(problem.train), materialize(problem.queries)
+    found = candidates(rows, asked, 9, fit_index(rows, tables=8, cell_rows=64))
+    far = F.round(F.sqrt(F.aggregate(F.zip_with("x", "other", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v)), 6)
+    both = found.join(asked.select(F.col("id").alias("query"), "x"), "query").join(rows.select("id", F.col("x").alias("other")), "id")
+    wrong = F.count_if(F.abs(far - F.col("distance")) > 1e-5)
+    return both.groupBy(F.col("query").alias(KEY)).agg(F.count_distinct("id").alias("neighbours"), wrong.alias("wrong"))
+
+
 @query
 def knn_cross_validation(site):
     tuning = knn_tuning(jobs.model_data(site, AS_OF)[0])
@@ -330,6 +344,24 @@ def pls_one_component(site):
     return predicted.select(KEY, F.round("prediction", 6).alias("prediction"))
 
 
+def _stored(site: Fixture, model, name: str) -> DataFrame:
+    """What a model forecasts after it was stored and read back."""
+    path = _new_path(site, name)
+    save_regressor(site.spark, model, path)
+    return load_regressor(site.spark, path).predict(jobs.model_data(site, AS_OF)[1])
+
+
+@query
+def pls_stored(site):
+    predicted = _stored(site, linear.pls_fit(jobs.model_data(site, AS_OF)[0]), "pls")
+    return predicted.select(KEY, F.round("prediction", 4).alias("prediction"))
+
+
+@query
+def knn_stored(site):
+    return _stored(site, knn_fit(jobs.model_data(site, AS_OF)[0], k=9), "knn")
+
+
 @query
 def model_comparison(site):
     return compare.model_comparison(*jobs.model_study(site, AS_OF))
@@ -402,31 +434,50 @@ def confusion_matrix(site):
     return scored.select(*cells, *[F.round(c, 9).alias(c) for c in scored.columns if c not in cells])
 
 
-def _forest(site: Fixture) -> tuple[PipelineModel, DataFrame]:
-    """A small forest, stored and loaded again, and its hold-out."""
+def _split(site: Fixture) -> DataFrame:
+    """A balanced sample of the complete rows, split for training and hold-out."""
     rows = sampling.balanced_sample(_facts(site), "move", 10_000, TOTE_KEY)
-    split = materialize(sampling.stratified_split(materialize(rows), "move", 0.8, TOTE_KEY))
-    model = classifier.tote_classifier(split.filter("in_train").drop("in_train"), folds=3, repeats=1, trees=20)
+    return materialize(sampling.stratified_split(materialize(rows), "move", 0.8, TOTE_KEY))
+
+
+def _forest(site: Fixture) -> tuple[PipelineModel, DataFrame]:
+    """A forest of 20 trees, tuned by ten times ten folds, stored and loaded again, and its hold-out."""
+    split = _split(site)
+    model = classifier.tote_classifier(split.filter("in_train").drop("in_train"), trees=20)
     path = _new_path(site, "forest")
     classifier.save_model(model, path)
     return classifier.load_model(path), split.filter("not in_train").drop("in_train")
 
 
-def _judged(scored: DataFrame) -> DataFrame:
-    """[rows, positives, learned]: what was scored, and whether agreement is well above chance."""
-    rows, positives = F.expr("tp + fp + fn + tn"), F.expr("tp + fn")
-    return scored.select(rows.cast("long").alias("rows"), positives.cast("long").alias("positives"), (F.col("kappa") > 0.3).alias("learned"))
+def _counted(rows: DataFrame) -> DataFrame:
+    """[rows, positives]: what a confusion matrix is about, whatever a model says."""
+    return rows.agg(F.count(F.lit(1)).alias("rows"), F.sum("move").alias("positives"))
+
+
+@query
+def tote_holdout(site):
+    return _counted(_split(site).filter("not in_train"))
+
+
+@query
+def tote_back_test_rows(site):
+    return _counted(outcomes.evaluation_set(_facts(site)))
+
+
+@query
+def tote_resampling(site):
+    """Accuracy of the candidates over a hundred resamples."""
+    return classifier.tote_resampling(_split(site).filter("in_train").drop("in_train"), trees=20)
 
 
 @query
 def tote_classifier(site):
-    """The confusion matrix of the hold-out, in short: its cells are a random forest's."""
+    """The confusion matrix of the hold-out."""
     model, held = _forest(site)
-    scored = classifier.classify(model, held)
-    return _judged(outcomes.confusion_matrix(scored, "predicted", classifier.LABEL, classifier.POSITIVE))
+    return outcomes.confusion_matrix(classifier.classify(model, held), "predicted", classifier.LABEL, classifier.POSITIVE)
 
 
 @query
 def tote_back_test(site):
-    """The same of all complete rows."""
-    return _judged(jobs.back_test(_forest(site)[0], _facts(site)))
+    """The confusion matrix of all complete rows."""
+    return jobs.back_test(_forest(site)[0], _facts(site))

@@ -587,6 +587,12 @@ ORACLES: dict[str, str] = {
     "knn_forecast_nine": statement(
         "select prod_id, avg(label) as prediction from near where place <= 9 group by prod_id", "near"
     ),
+    "knn_stored": statement("select prod_id, avg(label) as prediction from near where place <= 9 group by prod_id", "near"),
+    "knn_candidates": statement(
+        "select prod_id, cast(9 as bigint) as neighbours, cast(0 as bigint) as wrong from query_x where (select count(*) from train_x) >= 9",
+        "query_x",
+        "train_x",
+    ),
     "knn_forecast": whole("tuned"),
     "knn_cross_validation": statement("select cast(k as bigint) as k, round(rmse, 6) as rmse from tuning", "tuning"),
     "forecast_demand": whole("foreseen"),
@@ -603,6 +609,12 @@ ORACLES: dict[str, str] = {
         "pls_lines",
         "pls_errors",
     ),
+    "pls_stored": statement(
+        """select prod_id, round(case when e1 <= e2 and e1 <= e3 then p1 when e2 <= e3 then p2 else p3 end, 4) as prediction
+        from pls_lines, pls_errors where f = 30""",
+        "pls_lines",
+        "pls_errors",
+    ),
     "rmse": statement("select round(sqrt(avg(power(avg_rep_units_lst7 - sold_rep_units, 2))), 6) as rmse from training", "training"),
     "tote_features": whole("tote_facts"),
     "drop_incomplete": whole("complete_facts"),
@@ -620,8 +632,8 @@ ORACLES: dict[str, str] = {
         where directorate is not null""",
         "tote_facts",
     ),
-    "tote_classifier": statement(
-        f"""select count(*) as rows, cast(sum(move) as bigint) as positives, true as learned from (
+    "tote_holdout": statement(
+        f"""select count(*) as rows, cast(sum(move) as bigint) as positives from (
             select *, row_number() over (partition by move order by {_HASH.format(seed=102)})
                 <= ceil(0.8 * count(*) over (partition by move)) as in_train
             from (
@@ -631,8 +643,8 @@ ORACLES: dict[str, str] = {
         where not in_train""",
         "tote_facts",
     ),
-    "tote_back_test": statement(
-        "select count(*) as rows, cast(sum(was) as bigint) as positives, true as learned from guessed", "guessed"
+    "tote_back_test_rows": statement(
+        "select count(*) as rows, cast(sum(was) as bigint) as positives from guessed", "guessed"
     ),
     "stratified_split": statement(
         f"""select insert_date, licenceplate, item_number, move,
