@@ -21,8 +21,9 @@ def exact_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", p
     """Groups of equal texts: ``key``, ``keep_id``, ``group_size``, ``kept``, ``text_sha256``, a row per row of ``docs``.
 
     Texts are equal when identical without blanks; null counts as empty. Of equal texts the row with the most code
-    points stays, then the smallest key; null keys come last. Of repeated rows (same key and text) each one is a member
-    of the group and all carry the same key, hence the same ``kept``. Other columns are not looked at.
+    points stays, then the smallest key; null keys come last. One row of each group is kept: of rows with the same key and number of
+    code points, repeated ones among them, any one. Very long texts are hashed whole; an empty table gives no rows; other columns
+    are not looked at.
 
     Lengths and hashes of beginnings are counted with map-side sums. What is not alone in both goes on: only its text
     is hashed as a whole, where the scan meets it, so no text is shuffled. The filter between the rounds has a fixed
@@ -30,21 +31,22 @@ def exact_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", p
     by length or beginning, unless ``digests`` asks for all.
     """
     members = hashed_rows(docs, key, text, prefix, digests)
-    first = F.struct(-F.col("points"), F.col("id").isNull(), "id")
-    groups = store(members.where("alive").groupBy("sha").agg(F.min(first).getField("id").alias("keep"), F.count(F.lit(1)).alias("n")))
-    shared = members.where("alive").join(groups, "sha").select("id", "keep", "n", "sha")
-    alone = members.where("not alive").select("id", F.col("id").alias("keep"), F.lit(1).cast("long").alias("n"), "sha")
+    first = F.struct((-F.col("points")).alias("points"), F.col("id").isNull().alias("none"), "id", "row")
+    groups = store(members.where("alive").groupBy("sha").agg(F.min(first).alias("first"), F.count(F.lit(1)).alias("n")))
+    stays = (F.col("row") == F.col("first.row")).alias("stays")
+    shared = members.where("alive").join(groups, "sha").select("id", F.col("first.id").alias("keep"), "n", stays, "sha")
+    alone = members.where("not alive").select("id", F.col("id").alias("keep"), F.lit(1).cast("long").alias("n"), F.lit(True).alias("stays"), "sha")
     return shared.unionByName(alone).select(
         F.col("id").alias(key),
         F.col("keep").alias("keep_id"),
         F.col("n").alias("group_size"),
-        F.col("id").eqNullSafe(F.col("keep")).alias("kept"),
+        F.col("stays").alias("kept"),
         F.col("sha").alias("text_sha256"),
     )
 
 
 def hashed_rows(docs: DataFrame, key: str, text: str, prefix: int, digests: bool, names: bool = False) -> DataFrame:
-    """Stored: ``id``, ``points``, ``alive`` (not alone in length and beginning) and ``sha``, a row per row of ``docs``.
+    """Stored: ``row`` (a number), ``id``, ``points``, ``alive`` (not alone in length and beginning) and ``sha``, a row per row of ``docs``.
 
     With ``names`` also ``hash`` and ``own``, which name the row; ``own`` is null if the row is alone.
     """
@@ -64,7 +66,8 @@ def hashed_rows(docs: DataFrame, key: str, text: str, prefix: int, digests: bool
     hashed = plain.withColumn("_hash", F.xxhash64(F.char_length("body"), F.substring("body", 1, prefix))).withColumn("alive", alive)
     whole = F.sha2(F.encode("body", "UTF-8"), 256)
     more = [row_hash("id", "raw").alias("hash"), F.when(F.col("alive"), text_digest(F.col("raw"))).alias("own")] if names else []
-    return store(hashed.select("id", "points", "alive", (whole if digests else F.when(F.col("alive"), whole)).alias("sha"), *more))
+    number = F.monotonically_increasing_id().alias("row")
+    return store(hashed.select(number, "id", "points", "alive", (whole if digests else F.when(F.col("alive"), whole)).alias("sha"), *more))
 
 
 def without_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", keyless: bool = False) -> DataFrame:

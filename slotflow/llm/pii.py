@@ -7,6 +7,7 @@ every character it writes, where that character came from; identifiers found in
 from __future__ import annotations
 
 import re
+import string
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -18,7 +19,7 @@ KINDS = ["email", "ip", "card", "phone"]
 
 # The plain forms of identifiers. An address is found from its @, a number from the start of a run of
 # digits; both give the leftmost matches of the full patterns in linear time.
-LOCAL = re.compile(r"[A-Za-z0-9._%+-]+")
+LOCAL = frozenset(string.ascii_letters + string.digits + "._%+-")
 DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
@@ -44,7 +45,7 @@ SPELLED = [
     "cero uno dos tres cuatro cinco seis siete ocho nueve".split(),
 ]
 DIGIT_OF = {word: str(d) for words in SPELLED for d, word in enumerate(words)}
-#: So many digit words in a row are a number; fewer are prose.
+#: So many digit words in a row are a number; fewer are prose, unless figures stand beside them.
 LEAST_WORDS = 3
 # Domain ends after which a written-out "at" is an address, though no dot of the host is written out.
 DOMAIN_ENDS = "com org net edu gov info io co biz de fr es uk eu us ch at it nl example test".split()
@@ -56,6 +57,10 @@ DOT_WORDS = "dot|punkt|point|punto"
 _words = "|".join(sorted(DIGIT_OF, key=len, reverse=True))
 _gap = rf"(?:[\x20\t-]{{1,3}}|[\x20\t](?:{DOT_WORDS})[\x20\t])"
 SPELLED_RUN = re.compile(rf"\b(?:plus{_gap})?(?:{_words})\b(?:{_gap}(?:{_words})\b){{{LEAST_WORDS - 1},}}", re.I)
+# Shorter runs count beside figures: after or before one with a written dot between, between two, or after a plus.
+_run = rf"(?:{_words})\b(?:{_gap}(?:{_words})\b){{0,{LEAST_WORDS - 2}}}"
+_dot = rf"[\x20\t](?:{DOT_WORDS})[\x20\t]"
+SPELLED_NEAR = re.compile(rf"(?<=[0-9]){_dot}({_run})|(?<=[0-9])[\x20\t-]({_run})(?=[\x20\t-][0-9])|(?<=\+)({_run})|\b({_run})(?={_dot}[0-9])", re.I)
 SPELLED_WORD = re.compile(rf"\bplus\b|\b(?:{_words})\b", re.I)
 BRACKETED = re.compile(rf"[\[({{<]\s?(at|arroba|@|{DOT_WORDS}|\.)\s?[\])}}>]", re.I)
 AT = re.compile(r"[A-Za-z0-9._%+-][\x20\t](?=at|arroba)", re.I)
@@ -75,11 +80,14 @@ ODD = re.compile(f"[{_classes}]")
 
 
 def addresses(text: str) -> Iterator[tuple[int, int]]:
+    """Where addresses start and end. From each @ the name is walked back, to the last address or @ at most."""
     end = 0
     for found in DOMAIN.finditer(text):
-        before = LOCAL.match(text[end : found.start()][::-1])
-        if before:
-            yield found.start() - before.end(), found.end()
+        start = found.start()
+        while start > end and text[start - 1] in LOCAL:
+            start -= 1
+        if start < found.start():
+            yield start, found.end()
             end = found.end()
 
 
@@ -142,10 +150,14 @@ def look_alikes(m: Mapped) -> list[tuple[int, int, str]]:
 
 def spelled_digits(m: Mapped) -> list[tuple[int, int, str]]:
     """Each word becomes its digit; what lies between the words of a run goes, but for a written dot."""
-    out = []
-    for run in SPELLED_RUN.finditer(m.text):
-        last = None
-        for word in SPELLED_WORD.finditer(m.text, *run.span()):
+    runs = [run.span() for run in SPELLED_RUN.finditer(m.text)]
+    runs += [run.span(run.lastindex) for run in SPELLED_NEAR.finditer(m.text)]
+    out, end = [], 0
+    for a, b in sorted(runs):
+        if a < end:
+            continue
+        end, last = b, None
+        for word in SPELLED_WORD.finditer(m.text, a, b):
             if last is not None:
                 out.append((last, word.start(), "." if WRITTEN_DOT.fullmatch(m.text, last, word.start()) else ""))
             out.append((*word.span(), DIGIT_OF.get(word.group().lower(), "+")))
@@ -201,7 +213,7 @@ def disguised(text: str) -> bool:
         bool(BRACKETED.search(text))
         or (not NAMES_AT.isdisjoint(words) and any(True for _ in hosts(text)))
         or (dots and (bool(NUMBER_DOT.search(text)) or any(WRITTEN_DOT.search(found.group()) for found in AFTER_SIGN.finditer(text))))
-        or (not DIGIT_OF.keys().isdisjoint(words) and bool(SPELLED_RUN.search(text)))
+        or (not DIGIT_OF.keys().isdisjoint(words) and bool(SPELLED_RUN.search(text) or SPELLED_NEAR.search(text)))
     )
 
 

@@ -79,13 +79,15 @@ def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
     path = new_table_path(spark)
     warc.write_archive(pages, path)
     kind = pages.schema["page_id"].dataType
-    return warc.read_archive(spark, path).select(
+    records = warc.rebuilt(spark, path)
+    return records.select(
         F.col("key").alias("page_id"),
         "payload_bytes",
         F.col("digest").alias("payload_digest"),
         "record_type",
         F.col("refers_to").cast(kind).alias("refers_to"),
         "content_length",
+        F.octet_length("record").cast("long").alias("record_bytes"),
     )
 
 
@@ -194,7 +196,7 @@ FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY found /
 """,
     "op9_warc": r"""
 WITH cut AS (
-    SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+    SELECT page_id, url, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
 ), typed AS (
     SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM cut
 ), chosen AS (
@@ -203,17 +205,28 @@ WITH cut AS (
 SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
     CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN again THEN first END AS refers_to,
     -- the block is the HTTP header, and the payload unless it is a revisit
-    CAST(length('HTTP/1.1 200 OK') + 2 + length('Content-Type: text/html; charset=utf-8') + 2 + length('Content-Length: ') + length(CAST(payload_bytes AS VARCHAR)) + 4
-        + CASE WHEN again THEN 0 ELSE payload_bytes END AS BIGINT) AS content_length
-FROM chosen
+    CAST(length(http) + CASE WHEN again THEN 0 ELSE payload_bytes END AS BIGINT) AS content_length,
+    -- header lines, the block, and two line ends
+    CAST(strlen(lines) + length(http) + CASE WHEN again THEN 0 ELSE payload_bytes END + 4 AS BIGINT) AS record_bytes
+FROM (
+    SELECT *, 'WARC/1.1' || e || 'WARC-Type: ' || CASE WHEN again THEN 'revisit' ELSE 'response' END || e || 'WARC-Record-ID: <urn:page:' || page_id || '>' || e
+        || 'WARC-Date: 1970-01-01T00:00:00Z' || e || 'WARC-Target-URI: ' || regexp_replace(coalesce(url, ''), '[\r\n]', '', 'g') || e
+        || 'WARC-Payload-Digest: sha256:' || payload_digest || e
+        || CASE WHEN again THEN 'WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest' || e || 'WARC-Refers-To: <urn:page:' || first || '>' || e ELSE '' END
+        || 'Content-Type: application/http; msgtype=response' || e
+        || 'Content-Length: ' || (length(http) + CASE WHEN again THEN 0 ELSE payload_bytes END) || e || e AS lines
+    FROM (SELECT *, 'HTTP/1.1 200 OK' || e || 'Content-Type: text/html; charset=utf-8' || e || 'Content-Length: ' || payload_bytes || e || e AS http
+        FROM (SELECT *, chr(13) || chr(10) AS e FROM chosen))
+)
 """,
     "op10_exact_dedup": r"""
 WITH cut AS (
     SELECT doc_id, length(coalesce(text, '')) AS points, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256 FROM documents
 ), grouped AS (
-    SELECT *, first_value(doc_id) OVER (PARTITION BY text_sha256 ORDER BY points DESC, doc_id NULLS LAST) AS keep_id, count(*) OVER (PARTITION BY text_sha256) AS group_size FROM cut
+    SELECT *, first_value(doc_id) OVER (PARTITION BY text_sha256 ORDER BY points DESC, doc_id NULLS LAST) AS keep_id,
+        row_number() OVER (PARTITION BY text_sha256 ORDER BY points DESC, doc_id NULLS LAST) AS place, count(*) OVER (PARTITION BY text_sha256) AS group_size FROM cut
 )
-SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, text_sha256 FROM grouped
+SELECT doc_id, keep_id, group_size, place = 1 AS kept, text_sha256 FROM grouped
 """,
     "op11_vector_codes": f"""
 WITH kept AS (

@@ -18,8 +18,10 @@ LEAST_REVISIT = 100
 SAME_PAYLOAD = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
-def record_id(key: Column) -> Column:
-    return F.concat(F.lit("<urn:page:"), F.coalesce(key.cast("string"), F.lit("null")), F.lit(">"))
+def record_id(key: Column, number: Column | None = None) -> Column:
+    """The name of a key's record, its text escaped; a record without a key is named by ``number``."""
+    named = F.concat(F.lit("<urn:page:"), F.url_encode(key.cast("string")), F.lit(">"))
+    return named if number is None else F.coalesce(named, F.concat(F.lit("<urn:unnamed:"), number.cast("string"), F.lit(">")))
 
 
 def http_header(length: Column) -> Column:
@@ -27,7 +29,7 @@ def http_header(length: Column) -> Column:
 
 
 def headers(date: str) -> Column:
-    """What stands before the payload, from ``key``, ``url``, ``digest``, ``length`` and ``refers_to`` (null: a response).
+    """What stands before the payload, from ``key``, ``number``, ``url``, ``digest``, ``length`` and ``refers_to`` (null: a response).
 
     A revisit's block is the HTTP header alone. Line ends within a URL are dropped, as they would end its line.
     """
@@ -37,7 +39,7 @@ def headers(date: str) -> Column:
     lines = [
         F.lit("WARC/1.1"),
         F.concat(F.lit("WARC-Type: "), F.when(revisit, "revisit").otherwise("response")),
-        F.concat(F.lit("WARC-Record-ID: "), record_id(F.col("key"))),
+        F.concat(F.lit("WARC-Record-ID: "), record_id(F.col("key"), F.col("number"))),
         F.lit(f"WARC-Date: {date}"),
         F.concat(F.lit("WARC-Target-URI: "), F.regexp_replace(F.coalesce(F.col("url"), F.lit("")), r"[\r\n]", "")),
         F.concat(F.lit("WARC-Payload-Digest: sha256:"), F.col("digest")),
@@ -54,7 +56,8 @@ def write_archive(pages: DataFrame, path: str, key: str = "page_id", url: str =
 
     Of records with equal payloads of at least 100 bytes the one with the smallest key is the response, the others revisit
     it; smaller payloads are responses each. Null pages have an empty payload. Rows that repeat the smallest key are all
-    responses. Null keys come last; a payload that only null keys have is a response each time. Only the three
+    responses. Null keys come last; a payload that only null keys have is a response each time. Record names hold the escaped key; rows
+    without one are numbered. Very long pages are payloads like others, an empty table makes an empty archive. Only the three
     columns are read. What is shuffled besides one copy of each payload are digests and headers.
     """
     payload = F.encode(F.coalesce(F.col(html), F.lit("")), "UTF-8")
@@ -64,6 +67,7 @@ def write_archive(pages: DataFrame, path: str, key: str = "page_id", url: str =
     narrow = rows.select("key", "url", "digest", F.octet_length("payload").cast("long").alias("length"))
     first = store(narrow.where(F.col("length") >= LEAST_REVISIT).groupBy("digest").agg(F.min("key").alias("first")))
     typed = narrow.join(first, "digest", "left").withColumn("refers_to", F.when(~F.col("key").eqNullSafe(F.col("first")), F.col("first")))
+    typed = typed.withColumn("number", F.monotonically_increasing_id())
     typed.select("key", "digest", headers(date).alias("header")).write.option("compression", "zstd").parquet(f"{path}/records")
 
 
@@ -89,7 +93,8 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
         "header",
         field("WARC-Type", "([a-z]+)").alias("record_type"),
         field("WARC-Payload-Digest", "sha256:([0-9a-f]{64})").alias("digest"),
-        field("WARC-Refers-To", "<urn:page:([^>]*)>").alias("refers_to"),
+        # an empty key is a key: only a missing field is null
+        F.when(text.contains("\r\nWARC-Refers-To: "), F.url_decode(F.regexp_extract(text, r"\r\nWARC-Refers-To: <urn:page:([^>]*)>\r\n", 1))).alias("refers_to"),
         field("Content-Length", "([0-9]+)").cast("long").alias("content_length"),
     )
     return parsed.join(payloads(spark, path), "digest")
@@ -101,6 +106,24 @@ def record_bytes() -> Column:
     return F.concat(F.col("header"), own, F.lit((CRLF * 2).encode()))
 
 
+def rebuilt(spark: SparkSession, path: str) -> DataFrame:
+    """The records as ``read_archive`` gives them, without ``payload``, and ``record``, their bytes as they stand in a WARC file.
+
+    A record whose block is not as long as its header says stops the job. Payloads are joined to responses alone, as revisits
+    hold none; what revisits need of them are digest and size.
+    """
+    kept = read_archive(spark, path)
+    responses = kept.where("record_type = 'response'")
+    others = kept.where("record_type <> 'response'").withColumn("payload", F.lit(b""))
+    both = responses.unionByName(others).withColumn("record", record_bytes())
+    # the block lies between the record's header and the two line ends after it
+    head = F.locate("\r\n\r\n", F.decode("header", "UTF-8"))
+    before = F.octet_length(F.encode(F.substring(F.decode("header", "UTF-8"), F.lit(1), head - 1), "UTF-8")) + 4
+    block = F.octet_length("record") - before - 4
+    wrong = F.raise_error(F.concat(F.lit("record damaged: "), F.col("digest"))).cast("bigint")
+    return both.withColumn("content_length", F.when(block == F.col("content_length"), F.col("content_length")).otherwise(wrong)).drop("payload")
+
+
 def export_warc(spark: SparkSession, path: str, to: str) -> None:
     """Write the archive as WARC files: records one after the other, each followed by two line ends.
 

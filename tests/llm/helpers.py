@@ -58,15 +58,14 @@ def sha(text: str) -> str:
 
 
 def exact_groups(rows):
-    """For each row: (key, keep, size, kept, sha), by the contract's rule."""
+    """For each row: (key, keep, size, kept, sha), by the contract's rule: one row of each group is kept."""
     groups = defaultdict(list)
-    for k, t in rows:
-        groups[normalised(t)].append((-len(t or ""), k is None, k if k is not None else 0, k))
+    for n, (k, t) in enumerate(rows):
+        groups[normalised(t)].append((-len(t or ""), k is None, k if k is not None else 0, n, k))
     out = []
-    for k, t in rows:
-        members = groups[normalised(t)]
-        keep = min(members)[3]
-        out.append((k, keep, len(members), k == keep, sha(normalised(t))))
+    for n, (k, t) in enumerate(rows):
+        first = min(groups[normalised(t)])
+        out.append((k, first[4], len(groups[normalised(t)]), n == first[3], sha(normalised(t))))
     return out
 
 

@@ -120,3 +120,10 @@ def test_one_of_each_component_stays(text_spark):
     docs = text_spark.createDataFrame(rows, "doc_id bigint, text string")
     kept = {r["doc_id"] for r in simhash.without_near_duplicates(docs).collect()}
     assert kept == set(components([k for k, _ in rows], [plain_simhash(t) for _, t in rows]))
+
+
+def test_one_row_of_a_group_is_kept_whatever_its_key(text_spark):
+    rows = [(5, "a b"), (5, "ab"), (5, "a b"), (None, "a  b"), (None, "x"), (None, "x"), (7, "y")]
+    docs = text_spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    found = Counter(map(tuple, dedup.exact_duplicates(docs, digests=True).collect()))
+    assert found == Counter(exact_groups(rows)) and sum(n for row, n in found.items() if row[3]) == 3
