@@ -68,9 +68,9 @@ class Model:
     def predict(self, text: str | None) -> tuple[str, float, list[tuple[str, float]]]:
         """The main language, its proportion, and the proportions of the languages selected.
 
-        The set grows by the language with the largest share in a rough mixture of all, as long as the log likelihood
-        gains more than the penalty: half the log of the number of n-grams for each proportion more. A share below one in
-        two hundred is not tried.
+        Languages are tried one after the other, by their share in a rough mixture of all, and taken where the log likelihood gains more
+        than the penalty: half the log of the number of n-grams for each proportion more. The log likelihood is concave, so its
+        slope towards a language bounds what that one can gain; where the bound is below the penalty the trial is settled.
         """
         buckets, times = ngrams(text, self.bits)
         if not len(buckets) or not self.languages:
@@ -82,13 +82,14 @@ class Model:
         penalty = 0.5 * np.log(times.sum())
         chosen = order[:1]
         share, best = self.mixture(likely[:, chosen], times)
+        mix = likely[:, chosen] @ share
         for nxt in order[1:]:
-            if everything[nxt] < 0.005:
-                break
+            if times @ (likely[:, nxt] / mix) - times.sum() <= penalty:
+                continue
             more, fit = self.mixture(likely[:, [*chosen, nxt]], times)
-            if fit - penalty <= best:
-                break
-            chosen, share, best = [*chosen, nxt], more, fit - penalty
+            if fit - penalty > best:
+                chosen, share, best = [*chosen, nxt], more, fit - penalty
+                mix = likely[:, chosen] @ share
         top = int(np.argmax(share))
         found = [(self.languages[c], float(s)) for c, s in zip(chosen, share)]
         return found[top][0], min(1.0, found[top][1]), found

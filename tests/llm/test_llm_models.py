@@ -131,3 +131,25 @@ def test_held_out_quality(text_spark):
     assert (found["held_out"] == [zlib.crc32(str(k).encode()) % 3 == 1 for k in found["doc_id"]]).all()
     held = found[found["held_out"]]
     assert (held["quality"] == held["predicted"]).mean() > 0.95
+
+
+def test_small_passages_are_found_and_no_trial_is_missed(languages):
+    """The set is that of trying every language with full rounds, also for a passage of a third of a percent."""
+    rng = random.Random(3)
+    long = prose("aa", 20_000, rng) + " " + prose("bb", 70, rng)
+    assert {name for name, _ in languages.predict(long)[2]} == {"aa", "bb"}
+    mixed = [" ".join(prose(lang, rng.randint(0, 60), rng) for lang in SYLLABLES) for _ in range(60)]
+    for text in (long, *mixed):
+        buckets, times = language.ngrams(text, languages.bits)
+        if not len(buckets):
+            continue
+        times, likely = times.astype(float), languages.by_bucket[buckets]
+        everything, _ = languages.mixture(likely, times, rounds=12, close=5e-3)
+        order = np.argsort(-everything, kind="stable").tolist()
+        chosen, penalty = order[:1], 0.5 * np.log(times.sum())
+        best = languages.mixture(likely[:, chosen], times)[1]
+        for nxt in order[1:]:
+            fit = languages.mixture(likely[:, [*chosen, nxt]], times)[1]
+            if fit - penalty > best:
+                chosen, best = [*chosen, nxt], fit - penalty
+        assert [name for name, _ in languages.predict(text)[2]] == [languages.languages[c] for c in chosen]
