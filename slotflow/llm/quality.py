@@ -10,7 +10,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from slotflow.llm.common import store, summed
+from slotflow.llm.common import key_filter, store, summed
 
 #: Kinds of UTF-8 bytes, one column each: lower, upper, digit, space, line end, byte of a longer character, and marks.
 KINDS = np.zeros((256, 9))
@@ -170,10 +170,15 @@ def learn(
     Several labels of a key count as their mean; null labels and keys are left out. ``stats`` are the documents' statistics, if
     they are there already.
     """
-    stats = with_statistics(docs, key, text) if stats is None else stats
     kind = docs.schema[key].dataType
     marks = labels.where(F.col(key).isNotNull() & F.col(label).isNotNull()).groupBy(F.col(key).cast("string").alias("key"))
     marks = marks.agg(F.avg(F.col(label).cast("double")).alias("y"))
+    if stats is None:
+        # statistics of documents that may have a label; the others need none
+        marks = store(marks)
+        wanted = key_filter(marks.select(F.xxhash64("key").alias("hash")), "hash")
+        rows = docs.select(F.col(key), F.col(text), F.xxhash64(F.col(key).cast("string")).alias("_hash")).where(F.lit(False) if wanted is None else wanted)
+        stats = with_statistics(rows.drop("_hash"), key, text)
     chosen = stats.withColumn(key, F.col("key").cast(kind)).where(admit).select("key", "x")
     return fit(store(chosen.join(marks, "key").select("x", "y")), **settings)
 
