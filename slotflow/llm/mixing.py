@@ -131,7 +131,8 @@ def mixed(
     Each level of the tree has a row per block of the level below.
     """
     size = word_count(text)
-    narrow = docs.select(F.col(key).alias("id"), F.col(source).alias("source"), size.alias("size"))
+    # stored, so that texts are counted once: the range sort reads its input twice
+    narrow = store(docs.select(F.col(key).alias("id"), F.col(source).alias("source"), size.alias("size")))
     placed = ranked(narrow, F.col("source").asc_nulls_last(), F.xxhash64(F.lit(seed), "id", "size"), F.col("id").asc_nulls_last(), F.col("size"))
     sums = placed.groupBy("source").agg(F.sum("size").alias("own"), F.count(F.lit(1)).alias("n"), F.min("_rank").alias("start"))
     numbered = ranked(sums, F.col("start")).withColumnRenamed("_rank", "source_no")
