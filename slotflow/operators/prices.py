@@ -5,6 +5,8 @@ A message is a list of fixed-width records between pipes. All parsing is on colu
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 from slotflow.functions.columns import to_number, without_first
@@ -33,13 +35,13 @@ LINE_RECORD = "ORL"
 MARK = "@"
 
 
-def price_lines(messages: DataFrame, trim: bool = False) -> DataFrame:
-    """The 16 fields of every line record whose five numbers all parse.
+def price_lines(messages: DataFrame, trim: bool = False, keep: Sequence[str] = ()) -> DataFrame:
+    """The 16 fields of every line record whose five numbers all parse, behind the columns ``keep`` of its message.
 
     The first ``@`` of a field is dropped. Blanks stay, unless ``trim``. Works row by row, so
     it takes a stream as well.
     """
-    records = messages.select(F.explode(F.split("raw_message", r"\|")).alias("record"))
+    records = messages.select(*keep, F.explode(F.split("raw_message", r"\|")).alias("record"))
     lines = records.filter(F.substring("record", 39, 3) == LINE_RECORD)
 
     def field(name: str, first: int, last: int):
@@ -48,7 +50,7 @@ def price_lines(messages: DataFrame, trim: bool = False) -> DataFrame:
         return (to_number(text) if name in NUMERIC else text).alias(name)
 
     # Text cut out of a record is never NULL, so only the numbers can be missing.
-    parsed = lines.select(*[field(*spec) for spec in FIELDS])
+    parsed = lines.select(*keep, *[field(*spec) for spec in FIELDS])
     return parsed.filter(" and ".join(f"{name} is not null" for name in NUMERIC))
 
 

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from slotflow.models import classifier, compare, linear
 from slotflow.models.design import KEY, prepare
@@ -21,7 +23,7 @@ from slotflow.session import materialize, shared_folder
 from slotflow.sources import sinks
 from slotflow.sources.fixture import AS_OF, CREATED_AT, Fixture, message_events
 from slotflow.sources.tables import order_messages
-from slotflow.streaming.messages import ingest_price_lines, stream_files
+from slotflow.streaming.messages import ingest_least_prices, ingest_messages, ingest_price_lines, least_prices, stream_files
 
 TOTE_KEY = ["insert_date", "licenceplate", "item_number"]
 
@@ -235,6 +237,24 @@ def refresh_features(site):
     return site.spark.read.parquet(path).select(*demand.FEATURE_COLUMNS)
 
 
+def _days(site: Fixture) -> str:
+    """Sums of all days but one stored together, the last day by itself."""
+    path = _new_path(site, "days")
+    jobs.add_days(site, path, AS_OF - timedelta(days=1), days=demand.LONGEST)
+    jobs.add_days(site, path, AS_OF)
+    return path
+
+
+@query
+def features_of_days(site):
+    return jobs.features_of_days(site, site.spark, _days(site), AS_OF)
+
+
+@query
+def training_features_of_days(site):
+    return jobs.features_of_days(site, site.spark, _days(site), AS_OF, lag=1)
+
+
 @query
 def refresh_training(site):
     path = _new_path(site, "training")
@@ -275,6 +295,21 @@ def price_lines_stream(site):
     return site.spark.read.parquet(path)
 
 
+@query
+def least_prices_stream(site):
+    """Lowest price and lines of each product, kept as state: messages arrive in several files, every one of them twice."""
+    inbox, seen, path = _new_path(site, "inbox"), _new_path(site, "seen"), _new_path(site, "least")
+    events = site.events().where(F.col("creation_time") >= F.lit(AS_OF - timedelta(days=2)))
+    for copy in (3, 2):
+        events.repartition(copy).write.mode("append").parquet(inbox)
+    schema = events.schema
+    ingest_messages(stream_files(site.spark, inbox, schema, "*.parquet", at_once=2), seen, _new_path(site, "progress")).awaitTermination()
+    messages = stream_files(site.spark, seen, StructType.fromDDL("received timestamp, raw_message string"), "*.parquet", at_once=3)
+    ingest_least_prices(messages, path, _new_path(site, "progress")).awaitTermination()
+    found = least_prices(site.spark, path).where(F.col("day") == F.lit(AS_OF - timedelta(days=1)))
+    return found.select("prodid", "saleprice", "lines")
+
+
 @query
 def priced_features(site):
     return prices.priced_features(jobs.features(site, AS_OF), jobs.sale_prices(site, AS_OF))
@@ -477,6 +512,18 @@ def tote_classifier(site):
     return outcomes.confusion_matrix(classifier.classify(model, held), "predicted", classifier.LABEL, classifier.POSITIVE)
 
 
+@query
+def tote_chances(site):
+    """The calibrated probability of every complete row to move, from a balanced sample weighed as the classes really are."""
+    facts = _facts(site)
+    rows = outcomes.evaluation_set(facts)
+    sample = materialize(sampling.balanced_sample(facts, "move", 10_000, TOTE_KEY))
+    model = classifier.calibrated(classifier.tote_classifier(sample, trees=20, tries=("2",)), sample, trees=20, population=rows)
+    path = _new_path(site, "chances")
+    classifier.save_model(model, path)
+    return classifier.chances(classifier.load_model(path), rows).select(*TOTE_KEY, "move", "chance")
+
+
 @query
 def tote_back_test(site):
     """The confusion matrix of all complete rows."""

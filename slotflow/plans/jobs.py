@@ -8,7 +8,7 @@ from functools import partial
 from typing import Protocol
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from slotflow.models import classifier
 from slotflow.models.design import LABEL
@@ -23,6 +23,7 @@ from slotflow.operators.outcomes import confusion_matrix, evaluation_set, tote_f
 from slotflow.operators.prices import min_sale_price, price_lines, priced_features
 from slotflow.operators.sampling import stratified_split
 from slotflow.session import materialize, materialize_all
+from slotflow.sources import sinks
 from slotflow.sources.tables import merge_live_archive, order_messages
 
 
@@ -75,6 +76,33 @@ def training_data(site: Warehouse, as_of: date) -> DataFrame:
     return demand.training_set(_features(site, daily, site.snapshots(), as_of, 1), daily, as_of)
 
 
+def add_days(site: Warehouse, path: str, as_of: date, days: int = 1, lines: DataFrame | None = None) -> None:
+    """Stores sums by product of the ``days`` before ``as_of``; a day that is run again is replaced.
+
+    A daily run reads the headers and snapshots of one day. ``lines`` are the order lines of both systems that may belong to these
+    days, where a site can read them by date; otherwise all lines meet the day's headers.
+    """
+    headers = site.headers_live().unionByName(site.headers_archive())
+    lines = site.lines_live().unionByName(site.lines_archive()) if lines is None else lines
+    sinks.refresh_days(
+        demand.daily_orders(headers, lines, site.products(), as_of, days=days, repeated_lines=True), f"{path}/orders", "orderdate"
+    )
+    sinks.refresh_days(demand.daily_stock(site.snapshots(), as_of, days=days), f"{path}/stock", "snap_date")
+
+
+def stored_days(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """The sums of orders and of stock that ``add_days`` stored; a window of days reads its folders only."""
+    orders = spark.read.schema("order_type int, prod_id string, orders bigint, units bigint, orderdate date").parquet(f"{path}/orders")
+    stock = spark.read.schema("prod_id string, units bigint, snap_date date").parquet(f"{path}/stock")
+    return orders, stock
+
+
+def features_of_days(site: Warehouse, spark: SparkSession, path: str, as_of: date, lag: int = 0) -> DataFrame:
+    """``features`` with all windows composed from stored days: no order line and no snapshot is read."""
+    orders, stock = stored_days(spark, path)
+    return _features(site, orders, stock, as_of, lag)
+
+
 def sale_prices(site: Warehouse, as_of: date) -> DataFrame:
     """Lowest sale price per product in the messages of the day before."""
     return min_sale_price(price_lines(order_messages(site.events(), as_of)))

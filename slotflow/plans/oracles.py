@@ -564,6 +564,8 @@ ORACLES: dict[str, str] = {
     ),
     "demand_features": whole("features0"),
     "refresh_features": whole("features0"),
+    "features_of_days": whole("features0"),
+    "training_features_of_days": whole("features1"),
     "training_features": whole("features1"),
     "training_set": whole("training"),
     "refresh_training": whole("training"),
@@ -583,6 +585,9 @@ ORACLES: dict[str, str] = {
         "parsed",
     ),
     "min_sale_price": whole("prices"),
+    "least_prices_stream": statement(
+        "select prodid, min(saleprice / 100) as saleprice, count(*) as lines from parsed group by prodid", "parsed"
+    ),
     "priced_features": whole("priced"),
     "knn_forecast_nine": statement(
         "select prod_id, avg(label) as prediction from near where place <= 9 group by prod_id", "near"

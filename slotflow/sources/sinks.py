@@ -24,6 +24,11 @@ def refresh_features(features: DataFrame, path: str) -> None:
     )
 
 
+def refresh_days(sums: DataFrame, path: str, day: str) -> None:
+    """Replaces the days that ``sums`` holds, one folder each; other days in ``path`` stay, also those that ``sums`` has no row of."""
+    sums.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day).parquet(path)
+
+
 def refresh_training(training: DataFrame, table: str, path: str | None = None) -> None:
     """Replaces the training table; ``path`` makes it an external one."""
     writer = training.write.mode("overwrite").format("parquet")
