@@ -5,8 +5,10 @@ DataFrame functions only.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
+from slotflow.functions.checks import unique
 from slotflow.llm.common import store
 
 
@@ -43,13 +45,46 @@ def hilbert_index(point: Column, dimensions: int, bits: int) -> Column:
     return F.element_at(F.transform(F.array(gray), interleave), 1)
 
 
-def quantised(column: str, kind: str, bits: int) -> Column:
-    """A metadata column as an integer below 2**bits: numbers by their binary magnitude, text by its hash; null is 0."""
-    top = 2**bits - 1
-    if kind == "string":
-        return F.coalesce((F.pmod(F.xxhash64(column), F.lit(top)) + 1).cast("int"), F.lit(0))
-    steps = F.floor(F.log2(F.greatest(F.col(column).cast("double"), F.lit(0.0)) + 1) * 2)
-    return F.least(F.coalesce(steps, F.lit(0)), F.lit(top)).cast("int")
+def level_cuts(docs: DataFrame, column: str, bits: int) -> list[tuple[object, int]]:
+    """Where a column's levels begin: (least value, level), at most 2**bits of them, over all rows.
+
+    A value's level is its rank, half by the rows and half by the distinct values before it: frequent values spread over the levels,
+    and of up to 2**(bits-1) distinct values each has its own. Null is level 0 and not listed.
+
+    Values are counted first, so a hot value is one row; the counts are added up range by range.
+    """
+    values = docs.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    spread = values.repartitionByRange("value").sortWithinPartitions("value")
+    numbered = store(spread.withColumn("_at", F.monotonically_increasing_id()))
+    part = F.shiftright("_at", 33)
+    # a row per range: as many as the shuffle had partitions
+    found = numbered.groupBy(part.alias("part")).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("values")).orderBy("part").collect()
+    if not found:
+        return []
+    rows, distinct = sum(r["n"] for r in found), sum(r["values"] for r in found)
+    parts, rows_before, values_before, n, v = [], [], [], 0, 0
+    for r in found:
+        parts, rows_before, values_before = parts + [r["part"]], rows_before + [n], values_before + [v]
+        n, v = n + r["n"], v + r["values"]
+    place = F.array_position(F.lit(parts).cast("array<bigint>"), F.col("part")).cast("int")
+    before = F.element_at(F.lit(rows_before).cast("array<bigint>"), place), F.element_at(F.lit(values_before).cast("array<bigint>"), place)
+    running = F.sum("n").over(Window.partitionBy("part").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1))
+    counted = numbered.withColumn("part", part).withColumn("own", F.coalesce(running, F.lit(0)))
+    first_row, first_value = before[0] + F.col("own"), before[1] + F.col("_at").bitwiseAND(2**33 - 1)
+    share = (first_row / rows + first_value / distinct) / 2
+    levels = counted.select("value", F.floor(share * 2**bits).cast("int").alias("level"))
+    return [(r["value"], r["level"]) for r in levels.groupBy("level").agg(F.min("value").alias("value")).orderBy("level").collect()]
+
+
+def quantised(docs: DataFrame, column: str, bits: int) -> Column:
+    """A metadata column as an integer below 2**bits, its level by ``level_cuts``; null is 0."""
+    cuts = level_cuts(docs, column, bits)
+    if not cuts:
+        return F.lit(0)
+    kind = docs.schema[column].dataType
+    begins = F.array(*[F.lit(value).cast(kind) for value, _ in cuts])
+    place = F.size(F.filter(begins, lambda begin: begin <= F.col(column)))
+    return F.when(F.col(column).isNull(), 0).otherwise(F.element_at(F.lit([level for _, level in cuts]), place)).cast("int")
 
 
 def hilbert_shards(
@@ -59,15 +94,14 @@ def hilbert_shards(
 
     Returns ``key``, ``size`` (UTF-8 bytes of the text plus one), ``text_crc32``, ``curve``, ``shard`` and ``slot`` (the place
     within the shard, from 0). Ties on the curve go by checksum, then key, so equal texts with equal metadata are
-    neighbours. A null or empty text has size 1 and checksum 0; null metadata is the lowest value. Repeated rows each
-    take a slot; an empty table gives no rows. Of ``docs`` only the named columns are read.
+    neighbours. A null or empty text has size 1 and checksum 0, a text of any length is read whole; null metadata is the lowest
+    value. Repeated rows each take a slot; an empty table gives no rows. Of ``docs`` only the named columns are read.
 
-    One shuffle of narrow rows: a range sort spreads any hot value by checksum and key. A row's global number is
+    Metadata are quantised by rank, see ``level_cuts``. One shuffle of narrow rows: a range sort spreads any hot value by checksum and key. A row's global number is
     its place in its range plus the rows of the ranges before, so no task sorts or counts everything.
     """
     body = F.coalesce(F.col(text), F.lit(""))
-    kinds = dict(docs.dtypes)
-    point = F.array(*[quantised(c, kinds[c], bits) for c in by])
+    point = F.array(*[quantised(docs, c, bits) for c in by])
     narrow = docs.select(
         F.col(key).alias("_key"),
         (F.octet_length(body).cast("long") + 1).alias("size"),
@@ -101,10 +135,17 @@ def hilbert_shards(
 def write_shards(docs: DataFrame, placed: DataFrame, path: str, by: list[str], key: str = "doc_id", mode: str = "error") -> DataFrame:
     """Write ``docs`` as one folder a shard, in curve order, and return each shard's bounds for pruning.
 
-    ``key`` must be unique. Each shard is cut into files by slot, so a large shard is not one task's work.
+    A repeated key stops the job, as its rows could not be told apart; null is a key like others. Columns of ``docs`` may have any
+    names: the folders are named by the first of ``_shard``, ``_shard_`` and so on that is free. Each shard is cut into files by slot,
+    so a large shard is not one task's work. An empty table has no bounds.
     """
-    places = placed.select(F.col(key).alias("_key"), F.col("shard").alias("_shard"), F.col("slot").alias("_slot"))
-    rows = docs.join(places, F.col(key).eqNullSafe(F.col("_key"))).drop("_key")
-    rows.repartitionByRange("_shard", "_slot").sortWithinPartitions("_shard", "_slot").write.mode(mode).partitionBy("_shard").parquet(path)
+    folder = "_shard"
+    while folder in docs.columns:
+        folder += "_"
+    places = unique(placed.select(F.col(key).alias("_key"), "shard", "slot"), "_key")
+    rows = docs.select(F.struct("*").alias("_row")).join(places, F.col("_row").getField(key).eqNullSafe(F.col("_key")))
+    spread = rows.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot")
+    spread.select("_row.*", F.col("shard").alias(folder)).write.mode(mode).partitionBy(folder).parquet(path)
     bounds = [f(c).alias(f"{name}_{c}") for c in by for name, f in (("min", F.min), ("max", F.max))]
-    return docs.sparkSession.read.parquet(path).groupBy(F.col("_shard").alias("shard")).agg(F.count(F.lit(1)).alias("rows"), *bounds)
+    schema = StructType([*docs.schema.fields, StructField(folder, IntegerType())])
+    return docs.sparkSession.read.schema(schema).parquet(path).groupBy(F.col(folder).alias("shard")).agg(F.count(F.lit(1)).alias("rows"), *bounds)

@@ -55,6 +55,40 @@ def test_written_shards_prune(text_spark, tmp_path):
     assert text_spark.read.parquet(str(tmp_path / "s")).count() == 400
 
 
+@pytest.mark.parametrize("bits", [1, 3, 6])
+def test_levels_are_ranks_by_rows_and_values(text_spark, bits):
+    random.seed(bits)
+    values = [random.choice(["a", "a", "a", "b", "zz", None, "é", *map(str, range(200))]) for _ in range(3000)]
+    docs = text_spark.createDataFrame([(v,) for v in values], "v string").repartition(7)
+    counts = Counter(v for v in values if v is not None)
+    wanted, n = {None: 0}, 0
+    for i, v in enumerate(sorted(counts, key=lambda v: v.encode())):
+        wanted[v] = int((n / sum(counts.values()) + i / len(counts)) / 2 * 2**bits)
+        n += counts[v]
+    found = docs.select("v", sharding.quantised(docs, "v", bits).alias("level")).distinct().collect()
+    assert {r["v"]: r["level"] for r in found} == wanted
+
+
+def test_few_values_have_levels_of_their_own(text_spark):
+    docs = text_spark.range(3000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("s"), F.col("id") % 31)).alias("v"))
+    found = docs.select("v", sharding.quantised(docs, "v", 6).alias("level")).distinct().collect()
+    assert len({r["level"] for r in found}) == len(found) == 32
+    nothing = text_spark.createDataFrame([(None,), (None,)], "v double")
+    assert [r["l"] for r in nothing.select(sharding.quantised(nothing, "v", 6).alias("l")).collect()] == [0, 0]
+
+
+def test_written_shards_with_odd_columns_and_keys(text_spark, tmp_path):
+    docs = text_spark.createDataFrame([(None, "a", 1, "p"), (2, None, 2, "q"), (3, "", 3, "r")], "doc_id long, text string, _shard int, _row string")
+    placed = sharding.hilbert_shards(docs, ["_shard"], shards=2)
+    bounds = sharding.write_shards(docs, placed, str(tmp_path / "s"), ["_shard"]).collect()
+    assert sum(r["rows"] for r in bounds) == 3 and min(r["min__shard"] for r in bounds) == 1
+    back = text_spark.read.parquet(str(tmp_path / "s")).select(docs.columns)
+    assert Counter(map(tuple, back.collect())) == Counter(map(tuple, docs.collect()))
+    twice = docs.unionByName(docs.limit(2))
+    with pytest.raises(Exception, match="more than once"):
+        sharding.write_shards(twice, sharding.hilbert_shards(twice, ["_shard"], shards=2), str(tmp_path / "t"), ["_shard"])
+
+
 # Personal data
 
 
