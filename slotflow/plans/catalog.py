@@ -15,6 +15,7 @@ from slotflow.models.design import KEY, prepare
 from slotflow.models.fitted import load_regressor, save_regressor
 from slotflow.models.index import candidates, fit_index
 from slotflow.models.knn import knn_fit, knn_forecast, knn_tuning
+from slotflow.models.levels import fit_levels
 from slotflow.models.radial import rbf_forecast
 from slotflow.models.splines import hinge_forecast
 from slotflow.operators import demand, expected, ledger, moves, outcomes, prices, sampling
@@ -318,6 +319,14 @@ def priced_features(site):
 # Forecasts.
 
 
+@query
+def level_effects(site):
+    """How far the quantity of a line departs from the mean, for each of the many products ordered."""
+    _, lines = jobs.merged_orders(site)
+    fit = fit_levels(lines, "requested_quantity", [], ["item_id"], penalty=10.0)
+    return fit.effects[0].select(F.col("level").cast("long").alias("item_id"), "rows", F.round("effect", 6).alias("effect"))
+
+
 @query
 def knn_forecast_nine(site):
     return knn_forecast(*jobs.model_data(site, AS_OF), k=9)

@@ -589,6 +589,13 @@ ORACLES: dict[str, str] = {
         "select prodid, min(saleprice / 100) as saleprice, count(*) as lines from parsed group by prodid", "parsed"
     ),
     "priced_features": whole("priced"),
+    "level_effects": statement(
+        """select item_id, n as rows, round(n * (a - m) / (n + 10), 6) as effect
+        from (select item_id, count(*) as n, avg(requested_quantity) as a from lines group by item_id),
+            (select sum(n * 10.0 / (n + 10) * a) / sum(n * 10.0 / (n + 10)) as m
+            from (select item_id, count(*) as n, avg(requested_quantity) as a from lines group by item_id))""",
+        "lines",
+    ),
     "knn_forecast_nine": statement(
         "select prod_id, avg(label) as prediction from near where place <= 9 group by prod_id", "near"
     ),
