@@ -69,7 +69,9 @@ def unpack_words(data: bytes) -> list[str]:
     return zstandard.decompress(data).decode().split(SPACE)
 
 
-BLOCK = "block string, keys array<string>, sizes array<bigint>, ends array<int>, steps binary, times binary, words array<binary>"
+#: One word in so many, by hash, is looked at to tell how many distinct ones there are.
+SAMPLE = 1 << 10
+BLOCK = "block string, keys array<string>, sizes array<bigint>, ends array<int>, steps binary, times binary, words array<binary>, sample array<string>"
 
 
 def blocks(docs: DataFrame, key: str, text: str, buckets: int, block_chars: int) -> DataFrame:
@@ -77,7 +79,7 @@ def blocks(docs: DataFrame, key: str, text: str, buckets: int, block_chars: int)
 
     ``words[b]`` are the distinct pre-tokens of bucket b, sorted; through all buckets they are numbered on. Document i owns
     the numbers from ``ends[i-1]`` to ``ends[i]``, in rising order; ``steps`` are the differences from one to the next,
-    and ``times`` how often each occurs.
+    and ``times`` how often each occurs. ``sample`` are the pre-tokens whose hash begins with ten zero bits.
     """
 
     def split(batches) -> Iterator:
@@ -87,10 +89,10 @@ def blocks(docs: DataFrame, key: str, text: str, buckets: int, block_chars: int)
         keys, sizes, ends, word, times, seen, chars = [], [], [], [], [], {}, 0
 
         def block():
-            places = [zlib.crc32(w.encode()) % buckets for w in seen]
+            hashes = [zlib.crc32(w.encode()) for w in seen]
             listed: list[list[str]] = [[] for _ in range(buckets)]
-            for w, place in zip(seen, places):
-                listed[place].append(w)
+            for w, h in zip(seen, hashes):
+                listed[h % buckets].append(w)
             rank = np.empty(len(seen), np.int64)
             start = 0
             for some in listed:
@@ -108,6 +110,7 @@ def blocks(docs: DataFrame, key: str, text: str, buckets: int, block_chars: int)
                 "steps": pack(np.diff(numbers[order], prepend=0) % 2**32),
                 "times": pack(np.array(times, np.int64)[order]),
                 "words": [pack_words(some) for some in listed],
+                "sample": [w for w, h in zip(seen, hashes) if h < 2**32 // SAMPLE],
             }
             return pd.DataFrame({name: [value] for name, value in row.items()})
 
@@ -140,6 +143,7 @@ def token_counts(
     text: str = "text",
     buckets: int | None = None,
     block_chars: int = 8 << 20,
+    most_words: int = 1 << 20,
 ) -> DataFrame:
     """The tokens of every text as the model gives them: ``key``, ``n_bytes``, ``n_tokens``, a row per row of ``docs``.
 
@@ -147,11 +151,33 @@ def token_counts(
     other columns are not looked at. ``model_path`` must be readable by the executors. A pre-token travels once per
     block, as text; the task of its hash bucket counts its pieces once and sends the number back to the blocks, which
     add up number times frequency. A frequent pre-token is thus one short string a block: no key is hot.
-    ``buckets`` are as many as shuffle partitions, 64 at least; a task knows the pre-tokens of one bucket at a time.
+    ``buckets`` are as many as shuffle partitions, 64 at least, each in as many parts as it takes for a part to hold about
+    ``most_words`` distinct pre-tokens, by a hash sample of them all; a task knows those of one part at a time. A text of any length
+    is read whole, by one task. An empty table gives no rows.
     """
     buckets = buckets or max(64, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     kept = store(blocks(docs, key, text, buckets, block_chars))
     strings = kept.select("block", F.posexplode("words").alias("bucket", "words")).where("words is not null")
+    sample = kept.select(F.explode("sample").alias("word")).distinct()
+    # a row per bucket
+    sampled = sample.groupBy((F.crc32(F.encode("word", "UTF-8")) % buckets).alias("bucket")).agg(F.count(F.lit(1)).alias("n")).collect()
+    parts = {r["bucket"]: 1 + r["n"] * SAMPLE // most_words for r in sampled}
+
+    def cut(batches) -> Iterator:
+        """Lists by part of their bucket; ``at`` are the places of a part's words in the list, null if it is the whole list."""
+        for batch in batches:
+            rows = []
+            for block, bucket, packed in batch[["block", "bucket", "words"]].itertuples(index=False):
+                some = parts.get(bucket, 1)
+                if some == 1:
+                    rows.append((block, bucket, 0, None, packed))
+                    continue
+                words = unpack_words(packed)
+                part = np.array([zlib.crc32(w.encode()) // buckets % some for w in words])
+                for p in np.unique(part).tolist():
+                    at = np.flatnonzero(part == p)
+                    rows.append((block, bucket, p, pack(np.diff(at, prepend=0)), pack_words([words[i] for i in at])))
+            yield pd.DataFrame(rows, columns=["block", "bucket", "part", "at", "words"])
 
     def count(batches) -> Iterator:
         loaded = model(model_path)
@@ -159,19 +185,30 @@ def token_counts(
         at = None
         for batch in batches:
             pieces = []
-            for bucket, words in zip(batch["bucket"], map(unpack_words, batch["words"])):
-                if bucket != at:
-                    at, known = bucket, {}
+            for place, words in zip(zip(batch["bucket"], batch["part"]), map(unpack_words, batch["words"])):
+                if place != at:
+                    at, known = place, {}
                 new = [w for w in words if w not in known]
                 known.update(zip(new, piece_counts(loaded, new)))
                 pieces.append(pack([known[w] for w in words]))
-            yield batch[["block", "bucket"]].assign(pieces=pieces)
-
-    by_bucket = strings.repartition(F.col("bucket")).sortWithinPartitions("bucket")
-    counts = by_bucket.mapInPandas(count, "block string, bucket int, pieces binary")
+            yield batch[["block", "bucket", "at"]].assign(pieces=pieces)
+
+    lists = strings.mapInPandas(cut, "block string, bucket int, part int, at binary, words binary")
+    by_part = lists.repartition("bucket", "part").sortWithinPartitions("bucket", "part")
+    counts = by_part.mapInPandas(count, "block string, bucket int, at binary, pieces binary")
+
+    def whole(lists: pd.DataFrame) -> np.ndarray:
+        """The pieces of a bucket's words, in their order."""
+        pieces = [unpack(x).astype(np.int64) for x in lists["pieces"]]
+        if len(pieces) == 1:
+            return pieces[0]
+        every = np.empty(sum(map(len, pieces)), np.int64)
+        for at, some in zip(lists["at"], pieces):
+            every[np.cumsum(unpack(at), dtype=np.int64)] = some
+        return every
 
     def add(left, right):
-        pieces = [unpack(x).astype(np.int64) for x in right.sort_values("bucket")["pieces"]]
+        pieces = [whole(lists) for _, lists in right.groupby("bucket")]
         pieces = np.concatenate(pieces) if pieces else np.zeros(0, np.int64)
         parts = [pd.DataFrame({"key": [], "n_bytes": [], "n_tokens": []})]
         for row in left.itertuples():
@@ -180,6 +217,6 @@ def token_counts(
             parts.append(pd.DataFrame({"key": row.keys, "n_bytes": row.sizes, "n_tokens": np.diff(sums[np.asarray(row.ends)], prepend=0)}))
         return pd.concat(parts[1:] or parts)
 
-    blocks_only = kept.drop("words").groupBy("block")
+    blocks_only = kept.drop("words", "sample").groupBy("block")
     sums = blocks_only.cogroup(counts.groupBy("block")).applyInPandas(add, "key string, n_bytes bigint, n_tokens bigint")
     return sums.select(F.col("key").cast(docs.schema[key].dataType).alias(key), "n_bytes", "n_tokens")

@@ -68,3 +68,16 @@ def test_rows_with_other_key_types(text_spark):
     found = {r["name"]: r["n_tokens"] for r in bpe.bpe_digests(docs, WORDS, key="name", text="body").collect()}
     assert found.keys() == {"a", None} and found["a"] == 2
     assert tokens.token_counts(docs, PIECES, key="name", text="body").count() == 2
+
+
+@pytest.mark.parametrize("most_words", [1, 3000, 10**6])
+def test_buckets_in_parts_count_alike(text_spark, monkeypatch, most_words):
+    """Every word is sampled, so that small tables have buckets of many parts."""
+    monkeypatch.setattr(tokens, "SAMPLE", 1)
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    loaded = tokens.model(path)
+    random.seed(2)
+    texts = [" ".join(random.choice("abcdeé\U0001F600") * random.randint(1, 3) + str(random.randint(0, 4000)) for _ in range(300)) for _ in range(60)]
+    docs = text_spark.createDataFrame([*enumerate(texts), (60, None), (61, "")], "doc_id long, text string").repartition(3)
+    found = tokens.token_counts(docs, path, buckets=3, block_chars=20_000, most_words=most_words).collect()
+    assert {r["doc_id"]: r["n_tokens"] for r in found} == {60: 0, 61: 0} | {i: len(loaded.encode(t)) for i, t in enumerate(texts)}
