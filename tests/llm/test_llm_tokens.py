@@ -81,3 +81,39 @@ def test_buckets_in_parts_count_alike(text_spark, monkeypatch, most_words):
     docs = text_spark.createDataFrame([*enumerate(texts), (60, None), (61, "")], "doc_id long, text string").repartition(3)
     found = tokens.token_counts(docs, path, buckets=3, block_chars=20_000, most_words=most_words).collect()
     assert {r["doc_id"]: r["n_tokens"] for r in found} == {60: 0, 61: 0} | {i: len(loaded.encode(t)) for i, t in enumerate(texts)}
+
+
+def test_long_texts_pass_the_tree(text_spark):
+    """Cuts fall within words, marks, special tokens, composed letters and runs without an end; long texts repeat."""
+    codec, tokenizer = bpe.Codec(WORDS), Tokenizer.from_file(WORDS)
+    random.seed(4)
+    pieces = ["the", "Running", "don't", "e\u0301te\u0301", "ÇOK", "中文字", "<|endoftext|>", "--!?", "12345", "x" * 70, "\u00a0", "a\u2003b"]
+    texts = ["".join(random.choice(pieces) + random.choice(["", " ", "\n", "\r\n", "\t"]) for _ in range(random.randint(40, 400))) for _ in range(60)]
+    kinds = Counter(kind for text in texts for kind, _ in codec.cut(text, 100))
+    assert min(kinds[k] for k in (0, 1, 2)) > 100 and kinds[3]
+    rows = [*enumerate(texts), (0, texts[0]), (0, texts[0]), (70, texts[0]), (None, texts[1])]
+    docs = text_spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    for size in (50, 100, 333):
+        found = bpe.bpe_digests(docs, WORDS, run=size).collect()
+        assert Counter(map(tuple, found)) == Counter((k, *whole(tokenizer, t)) for k, t in rows)
+
+
+def test_plain_runs_are_the_librarys():
+    codec, tokenizer = bpe.Codec(WORDS), Tokenizer.from_file(WORDS)
+    assert codec.is_plain
+    random.seed(5)
+    letters = [c for c in map(chr, range(256)) if bpe.PLAIN.fullmatch(c)]
+    marks = [chr(i) for i in range(33, 127) if not chr(i).isalnum()]
+    runs = {"".join(random.choices(letters, k=random.randint(1, 9)) + random.choices(marks, k=random.randint(0, 4))) for _ in range(20_000)}
+    codec.learn(runs)
+    for run in runs:
+        ids = tokenizer.encode(run, add_special_tokens=False).ids
+        assert codec.runs[run] == (len(ids), " ".join(map(str, ids)), tokenizer.decode(ids, skip_special_tokens=False)), run
+
+
+def test_cutting_takes_linear_time():
+    codec = bpe.Codec(WORDS)
+    for text in ("x" * 3_000_000, "ab " * 1_000_000, "word" * 5000 + " " + "y" * 2_000_000):
+        parts = list(codec.cut(text, 10_000))
+        assert "".join("".join(bpe.split(part)) for _, part in parts) == text.replace(" ", "")
+        assert max(len(t) for _, t in parts) <= 10_000
