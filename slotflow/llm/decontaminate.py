@@ -11,6 +11,8 @@ r and cut-off. Of a document, only hashes below the largest cut-off that stand i
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from slotflow.llm.common import key_filter, row_hash, store, text_digest, without
@@ -40,6 +42,11 @@ def shingles(words: Column, n: int) -> Column:
     return F.element_at(F.transform(F.array(words), whole), 1)
 
 
+def every_length(words: Column, lengths: list[int], cut: Callable[[Column, int], Column]) -> Column:
+    """A row for each element of ``cut(words, w)``, for all lengths; the words are made once a text."""
+    return F.explode(F.element_at(F.transform(F.array(words), lambda found: F.concat(*[cut(found, w) for w in lengths])), 1))
+
+
 def item_shingles(benchmark: DataFrame, item: str, text: str, words: int) -> DataFrame:
     """Every item with words: ``item``, its shingle length ``w`` (an item of fewer words is one shingle), distinct ``grams`` and hashes."""
     cut = benchmark.select(F.col(item).alias("item"), words_of(F.col(text)).alias("words")).where(F.size("words") > 0)
@@ -60,10 +67,10 @@ def contained(
     """Pairs ``key``, ``item_id``, ``n_shingles`` (distinct, of the item), ``n_found`` (of them in the document), ``containment``.
 
     One row per document row and item with containment of at least ``threshold``; of an item with several texts, the best.
-    Null, empty and blank texts on either side match nothing. Repeated document rows with the same key and text are one
+    Null, empty and blank texts on either side match nothing, nor do empty tables; very long texts are cut whole. Repeated document rows with the same key and text are one
     pair; null keys on both sides are kept as null. Only the named columns are read.
 
-    The signatures go into a filter of fixed size, which the scan of the documents tests; what passes is joined by hash, so a
+    The signatures of all shingle lengths go into a filter of fixed size, which one scan of the documents tests; what passes is joined by hash, so a
     hash that many documents share is rows of a join that Spark can split, and the pairs of a document and an item are
     made distinct before anything is verified. Texts are never shuffled but for the candidates.
     """
@@ -109,15 +116,12 @@ def verified(
     cut_off = {r["w"]: r["most"] for r in cut_offs.groupBy("w").agg(F.max("most").alias("most")).collect()}
 
     same_text = F.xxhash64(F.col(key), F.col(text))
-    candidates = None
-    for w in lengths:
-        own = signatures.where(F.col("w") == w)
-        passes = key_filter(own, "hash")
-        found = docs.select(F.col(key).alias("key"), same_text.alias("doc"), F.explode(shingle_hashes(words_of(F.col(text)), w)).alias("_hash"))
-        found = found.where((F.col("_hash") <= cut_off[w]) & passes).select("key", "doc", F.col("_hash").alias("hash"))
-        hits = found.join(own, "hash").groupBy("key", "doc", "item", "text_no", "need").agg(F.count_distinct("hash").alias("hits"))
-        hits = hits.where("hits >= need").select("key", "doc").distinct()
-        candidates = hits if candidates is None else candidates.unionByName(hits)
+    # hashes of runs of different lengths go together: one reading of the documents, and equal hashes are verified below
+    low = lambda words, w: F.filter(shingle_hashes(words, w), lambda h: h <= cut_off[w])
+    found = docs.select(F.col(key).alias("key"), same_text.alias("doc"), every_length(words_of(F.col(text)), lengths, low).alias("_hash"))
+    found = found.where(key_filter(signatures, "hash")).select("key", "doc", F.col("_hash").alias("hash"))
+    hits = found.join(signatures, "hash").groupBy("key", "doc", "item", "text_no", "need").agg(F.count_distinct("hash").alias("hits"))
+    candidates = hits.where("hits >= need").select("key", "doc")
     wanted = store(candidates.distinct())
     is_wanted = key_filter(wanted, "doc")
     if is_wanted is None:
@@ -129,15 +133,12 @@ def verified(
     held = rows.join(wanted.select(F.col("key").alias("_key"), F.col("doc").alias("_doc")), same, "left_semi")
     name = F.struct(text_digest(F.col("text")).alias("own"), row_hash("key", "text").alias("hash")) if whole else F.col("_hash")
     held = held.select("key", name.alias("doc"), words_of(F.col("text")).alias("words"))
-    exact = None
-    grams = items.select("item", "text_no", "w", F.size("grams").alias("n"), F.explode("grams").alias("gram"))
-    for w in lengths:
-        own = grams.where(F.col("w") == w)
-        passes = key_filter(own.select(F.xxhash64("gram").alias("hash")), "hash")
-        cut = held.select("key", "doc", F.explode(F.array_distinct(shingles(F.col("words"), w))).alias("gram")).withColumn("_hash", F.xxhash64("gram")).where(passes)
-        match = cut.join(own, "gram").select("key", "doc", "item", "text_no", "n", "gram").distinct()
-        count = match.groupBy("key", "doc", "item", "text_no", "n").agg(F.count(F.lit(1)).alias("found"))
-        exact = count if exact is None else exact.unionByName(count)
+    grams = items.select("item", "text_no", F.size("grams").alias("n"), F.explode("grams").alias("gram"))
+    passes = key_filter(grams.select(F.xxhash64("gram").alias("hash")), "hash")
+    distinct = lambda words, w: F.array_distinct(shingles(words, w))
+    cut = held.select("key", "doc", every_length(F.col("words"), lengths, distinct).alias("gram"))
+    match = cut.withColumn("_hash", F.xxhash64("gram")).where(passes).join(grams, "gram").select("key", "doc", "item", "text_no", "n", "gram").distinct()
+    exact = match.groupBy("key", "doc", "item", "text_no", "n").agg(F.count(F.lit(1)).alias("found"))
     return exact.where(F.col("found") >= F.ceil(F.col("n") * threshold - 1e-9))
 
 
