@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date, datetime, timedelta
 from itertools import permutations
 
@@ -9,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from slotflow.operators.prices import min_sale_price, price_lines
-from slotflow.plans import jobs
+from slotflow.plans import catalog, jobs
 from slotflow.sources.fixture import AS_OF, Fixture
 from slotflow.streaming.messages import ingest_least_prices, ingest_messages, least_prices, stream_files
 from tests.test_prices import record
@@ -60,6 +61,27 @@ def test_what_arrives_after_the_delay_is_dropped(spark, tmp_path):
     assert streamed(spark, tmp_path, files) == [(1, "00000001", 3.0, 1), (19, "00000001", 0.9, 1), (20, "00000001", 2.8, 2)]
 
 
+def test_batches_do_not_grow_with_shuffle_partitions(spark, tmp_path, monkeypatch):
+    lines = spark.range(60).selectExpr(
+        "id * 5 l_orderkey", "id % 7 + 1 l_partkey", "id % 3 l_suppkey", "cast(id % 4 + 1 as int) l_linenumber", "cast(id % 9 as double) l_quantity",
+        "1D l_extendedprice", "0D l_discount", "0D l_tax", "'N' l_returnflag", "'O' l_linestatus", "cast('1998-01-01' as timestamp_ntz) l_shipdate",
+    )
+    lines = lines.withColumn("l_orderkey", F.col("l_orderkey") + F.when(F.col("l_linenumber") > 1, 1).otherwise(0))  # of both days
+    lines.coalesce(1).write.parquet(f"{tmp_path}/in/lineitem.parquet")
+    monkeypatch.setattr(catalog, "_new_path", lambda site, name: f"{tmp_path}/{name}-{uuid.uuid4().hex}")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "23")
+    try:
+        found = sorted(map(tuple, catalog.QUERIES["least_prices_stream"](spark, f"{tmp_path}/in").collect()))
+        site = Fixture(spark, f"{tmp_path}/in")
+        want = price_lines(site.events().where(F.col("creation_time") == F.lit(AS_OF - timedelta(days=1))))
+        want = want.groupBy("prodid").agg(F.min(F.col("saleprice") / 100), F.count(F.lit(1)))
+        assert found and found == sorted(map(tuple, want.collect()))
+        assert 1 < len(list(tmp_path.glob("least-*/batch=*"))) <= 4
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_thirty_daily_runs_equal_full_ones(spark, tmp_path):
     site, path = Fixture(spark, "/root/testdata/sf0.001"), str(tmp_path)
     first = AS_OF - timedelta(days=29)
