@@ -6,7 +6,9 @@ import random
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import Window, functions as F
 
+from slotflow.operators.running import running_totals
 from slotflow.operators.stock import located_stock, rank_stock, tote_stock
 
 LOCATED = "location string, locno string, z_pos long, licenceplate string, item_number string, quantity long"
@@ -119,3 +121,18 @@ def test_other_prefixes_containers_and_domains_are_left_out(spark):
 def test_stock_from_source_tables(spark):
     ranked = tote_stock(**source_tables(spark)).collect()
     assert sorted((r.licenceplate, r.location, r.cumunits, r.itemrank) for r in ranked) == [("T1", "OSR", 5, 1), ("T2", "ASRS", 7, 1)]
+
+
+def test_totals_are_joined_without_another_shuffle(spark):
+    """Sums of earlier slices meet the rows where the windows left them: three of the four exchanges move sums alone."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = spark.range(500).selectExpr("if(id % 5 = 0, null, id % 3) g", "id % 7 v", "id k")
+        ranked = running_totals(rows, ["g"], [F.col("k").asc()], "v", "t", "r", slices=4)
+        plan = ranked._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") <= 4, plan
+        whole = Window.partitionBy("g").orderBy("k")
+        assert ranked.exceptAll(rows.select("*", F.sum("v").over(whole).alias("t"), F.row_number().over(whole).cast("long").alias("r"))).isEmpty()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
