@@ -98,4 +98,4 @@ def test_values_of_clashing_columns(text_spark):
 
 def test_queries_are_registered():
     numbers = [int(name[2:].split("_")[0]) for name in queries.QUERIES if name.startswith("op")]
-    assert numbers == list(range(1, 11)) and "pipeline" in queries.QUERIES and set(queries.ORACLES) <= set(queries.QUERIES)
+    assert numbers == list(range(1, 14)) and "pipeline" in queries.QUERIES and set(queries.ORACLES) <= set(queries.QUERIES)
