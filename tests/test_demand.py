@@ -134,3 +134,13 @@ def test_average_sales(spark):
     daily = daily_frame(spark, [(1, "A", 2, 10), (2, "A", 1, 5)])
     row = D.average_daily_sales(daily).first()
     assert tuple(row) == ("A", "SHOP", round(2 / 30, 4), 0.5)
+
+
+def test_repeated_lines_are_dropped_by_a_sort(spark):
+    """What distinct gives, without a hash table of all lines of a task."""
+    rows = [(1, None, 0.0), (1, None, -0.0), (1, None, None), (1, None, None), (None, "a", float("nan")), (None, "a", float("nan")), (2, "a", 1.5), (2, "b", 1.5)]
+    df = spark.createDataFrame(rows, "k long, t string, x double").repartition(3, "k")
+    found = D.without_repeats(df)
+    assert found.columns == df.columns and found.count() == 5 and found.exceptAll(df.distinct()).isEmpty()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" not in plan and plan.count("Exchange") == 1
