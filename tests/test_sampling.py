@@ -7,8 +7,9 @@ import math
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
-from slotflow.operators.sampling import balanced_sample, drop_incomplete, hash_folds, stratified_split
+from slotflow.operators.sampling import DIGITS, balanced_sample, drop_incomplete, hash_cutoffs, hash_folds, stratified_split
 
 
 def md5(seed, *key):
@@ -70,3 +71,12 @@ def test_a_repeated_key_at_the_cut_stops_the_job(spark):
     with pytest.raises(Exception, match="share the key key"):
         balanced_sample(df, "kind", 105, ["key"]).collect()
     assert balanced_sample(df, "kind", 105, ["key", "value"]).count() == 105
+
+
+def test_counts_by_bucket_are_few(spark):
+    """A task counts many rows in few buckets, and the cut-off is that of sorting."""
+    df = spark.range(0, 60_000, numPartitions=2).selectExpr("id", "id % 2 kind")
+    cutoffs = {r.kind: r.cutoff for r in hash_cutoffs(df, "kind", ["id"], 7, lambda rows: F.lit(9_000).cast("long")).collect()}
+    for kind in (0, 1):
+        assert cutoffs[kind] == sorted(md5(7, i) for i in range(kind, 60_000, 2))[8_999]
+    assert 16**DIGITS < 10_000

@@ -10,6 +10,7 @@ from pyspark.sql import Window, functions as F
 
 from slotflow.operators.running import running_totals
 from slotflow.operators.stock import located_stock, rank_stock, tote_stock
+from slotflow.sources.fixture import Fixture
 
 LOCATED = "location string, locno string, z_pos long, licenceplate string, item_number string, quantity long"
 
@@ -136,3 +137,34 @@ def test_totals_are_joined_without_another_shuffle(spark):
         assert ranked.exceptAll(rows.select("*", F.sum("v").over(whole).alias("t"), F.row_number().over(whole).cast("long").alias("r"))).isEmpty()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange")
+
+
+def test_totes_and_stock_meet_where_their_lines_were_placed(spark):
+    """A shuffle of the lines each, none of totes and none for the join; their name is not shuffled."""
+    site = Fixture(spark, "/root/testdata/sf0.001")
+    stock, totes = site.stock(), site.totes()
+    assert exchanges(stock) == exchanges(totes) == 1
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert exchanges(stock.join(totes.withColumnRenamed("id", "cont_id"), "cont_id")) == 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_rows_are_worked_out_once_for_the_slices(spark):
+    """The sample that finds the ranges reads stored rows."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def looked(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(0, 400, numPartitions=4).selectExpr("id % 3 g", "id k", "id % 7 v")
+    running_totals(rows.mapInArrow(looked, rows.schema), ["g"], [F.col("k").asc()], "v", "t", "r", slices=4).count()
+    assert seen.value == 400
