@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pytest
 
@@ -95,3 +97,9 @@ def test_bounds_and_few_rows(spark):
     # a fold without rows is no resample
     assert all(r.resamples <= 6 for r in accuracy(spark, frame(spark, 3), folds=3, repeats=2).values())
     assert accuracy(spark, frame(spark, 3).where("false"), folds=2, repeats=1) == {}
+
+
+def test_there_is_room_for_a_task_per_resample(spark):
+    """Hashes fill the partitions unevenly: with two to a core, the fullest kept the others waiting."""
+    found = resampling.resampled_accuracy(frame(spark, 60), ["a"], ["b"], "yes", 1, ["id"], ["1"], trees=1, folds=10, repeats=3)
+    assert re.search(r"hashpartitioning\(part#\d+, 30\)", found._jdf.queryExecution().executedPlan().toString())
