@@ -168,3 +168,24 @@ def test_rows_are_worked_out_once_for_the_slices(spark):
     rows = spark.range(0, 400, numPartitions=4).selectExpr("id % 3 g", "id k", "id % 7 v")
     running_totals(rows.mapInArrow(looked, rows.schema), ["g"], [F.col("k").asc()], "v", "t", "r", slices=4).count()
     assert seen.value == 400
+
+
+@pytest.mark.parametrize("most", [0, 130, 400])
+def test_items_are_ranked_in_place_or_in_slices(spark, most):
+    """By the size of their bucket: all in slices, some, none."""
+    rows = make_rows(300, 3, 4) + make_rows(40, 1, 6) * 2 + [("OSR", "L1", 0, f"N{i}", "I1", None) for i in range(3)]
+    found = rank_stock(spark.createDataFrame(rows, LOCATED).repartition(4), most=most)
+    assert found_ranks(found) == found_ranks(rank_stock(spark.createDataFrame(rows, LOCATED), slices=1))
+
+
+def test_small_items_are_shuffled_once(spark):
+    """Ranks and whatever is joined by item come from one shuffle of the stock."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        ranked = rank_stock(spark.createDataFrame(make_rows(200, 5, 7), LOCATED))
+        assert exchanges(ranked) == 1
+        items = spark.createDataFrame([(f"I{i}", i) for i in range(5)], "item_number string, kind long")
+        assert exchanges(ranked.join(items, "item_number", "left")) == 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
