@@ -61,6 +61,18 @@ def test_what_arrives_after_the_delay_is_dropped(spark, tmp_path):
     assert streamed(spark, tmp_path, files) == [(1, "00000001", 3.0, 1), (19, "00000001", 0.9, 1), (20, "00000001", 2.8, 2)]
 
 
+def test_digests_stay_out_of_the_shuffle_and_files_are_packed(spark, tmp_path):
+    """Digests made up half of what was shuffled."""
+    spark.createDataFrame(FILES[0], EVENT).coalesce(1).write.parquet(f"{tmp_path}/inbox")
+    source = stream_files(spark, f"{tmp_path}/inbox", spark.createDataFrame([], EVENT).schema, "*.parquet")
+    query = ingest_messages(source, f"{tmp_path}/seen", f"{tmp_path}/p")
+    query.awaitTermination()
+    plan = query._jsq.explainInternal(False)
+    assert plan.count("Exchange") == 1 and "AS digest" in plan[: plan.index("Exchange")] and "AS digest" not in plan[plan.index("Exchange") :]
+    files = list(tmp_path.glob("seen/*.parquet"))
+    assert files and all(f.name.endswith(".zstd.parquet") for f in files)
+
+
 def test_batches_do_not_grow_with_shuffle_partitions(spark, tmp_path, monkeypatch):
     lines = spark.range(60).selectExpr(
         "id * 5 l_orderkey", "id % 7 + 1 l_partkey", "id % 3 l_suppkey", "cast(id % 4 + 1 as int) l_linenumber", "cast(id % 9 as double) l_quantity",
