@@ -30,6 +30,39 @@ def test_cells_give_the_nearest_of_all(kind):
     assert len(parts) > 1 and (far == want_far).all() and (place == want_place).all()
 
 
+@pytest.mark.parametrize("many", [1, 9])
+def test_all_problems_of_a_query_are_searched_at_once(monkeypatch, many):
+    """One pass for problems that differ in scale and in the rows left out; there was one for each."""
+    monkeypatch.setattr(boxes, "PAIRS_AT_ONCE", 100)
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(800, 3)).round(1)
+    held, problems = rng.integers(0, many + 1, 800), np.tile(np.arange(many + 1), (150, 1))
+    scales = 1 + rng.random((many + 1, 3)) / 20
+    met = []
+
+    def measure(a, column, t):
+        met.append(len(a))
+        far = np.round(np.sqrt((((x[a] - x[t]) / scales[problems[a, column]]) ** 2).sum(1)), knn.DIGITS)
+        return np.where(held[t] == problems[a, column], np.inf, far)
+
+    flat, limits = x / scales.max(0), np.full((150, many + 1), np.inf)
+    limits[:20, 0] = 0.2
+    parts = list(boxes.search_problems(flat[:150], flat, boxes.leaves(flat, 32), 4, limits, measure, 4000))
+    far, place = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
+    for p in range(many + 1):
+        want_far, want_place = nearest(x[:150] / scales[p], x / scales[p], 4, np.broadcast_to(held != p, (150, 800)))
+        near = want_far <= limits[:, [p]]
+        assert (far[:, p] == np.where(near, want_far, np.inf)).all() and (place[:, p] == np.where(near, want_place, -1)).all()
+    assert len(parts) > 1 and sum(met) < 150 * 800 * (many + 1) / 10
+
+
+def test_few_rows_take_part():
+    """Fewer than are asked for, behind many that are left out."""
+    x = np.arange(300.0)[:, None]
+    parts = list(boxes.search_problems(x[:40], x, boxes.leaves(x, 16), 3, np.full((40, 1), np.inf), lambda a, _, t: np.where(t > 297, np.abs(a - t) * 1.0, np.inf), 4000))
+    assert all((place[:, 0] == [298, 299, -1]).all() for _, place in parts) and sum(len(p) for _, p in parts) == 40
+
+
 def test_cuts_halve_a_sample():
     x = np.random.default_rng(2).normal(size=(1000, 3))
     cuts = boxes.fit_cuts(x, 4)
@@ -71,6 +104,20 @@ def test_queries_travel_only_where_something_can_be_near(spark, monkeypatch):
     assert met[1] < 6 * 1200
 
 
+def test_a_block_and_its_queries_meet_once_for_all_folds(spark, monkeypatch):
+    """Every fold was searched by itself."""
+    called = []
+    search = boxes.search_problems
+    monkeypatch.setattr(knn, "search_problems", lambda q, x, cells, k, limits, *rest: [called.append(limits.shape), *search(q, x, cells, k, limits, *rest)][1:])
+    rows = [(f"{i:03d}", float(i), [float(i % 17), float(i % 5)], [i % 3, 3 + i % 4]) for i in range(60)]
+    frame = spark.createDataFrame(rows, "id string, label double, x array<double>, held array<int>")
+    scales = {p: (np.zeros(2), np.array([1.0 + p / 9, 1.0])) for p in range(7)}
+    # the search runs here, not in a task
+    monkeypatch.setattr(knn, "_meeting", lambda asked, rows, run, schema: spark.createDataFrame(run(asked.toArrow(), rows.toArrow())))
+    found = knn.neighbours(frame, frame.withColumnRenamed("held", "problems"), 2, scales).collect()
+    assert called == [(60, 2)] and len(found) == 60 * 2 * 2
+
+
 def test_one_cell_of_copies_is_searched_in_shares(spark, monkeypatch):
     monkeypatch.setattr(knn, "BLOCK_ROWS", 50)
     rows = spark.range(400).select(F.format_string("%05d", "id").alias("id"), F.col("id").cast("double").alias("label"), F.array(F.lit(2.0)).alias("x"))
