@@ -7,7 +7,10 @@ import re
 import numpy as np
 import pytest
 
-from slotflow.models import resampling
+from pyspark.sql import functions as F
+
+from slotflow.models import classifier, resampling
+from slotflow.plans import catalog
 
 
 def plain_split(codes, y, weight, sizes):
@@ -41,6 +44,25 @@ def test_histograms_give_the_best_split_of_every_node():
         assert np.isclose(gain[n], wanted[0]) and (column[n], place[n]) == wanted[1:]
 
 
+def test_bins_are_counted_where_a_column_is_tried():
+    random = np.random.default_rng(6)
+    sizes = [6, -3, 5]
+    codes = np.stack([random.integers(0, abs(s), 200) for s in sizes], axis=1)
+    node, y = random.integers(0, 40, 200), random.integers(0, 2, 200)
+    hist = [np.bincount((node * abs(s) + codes[:, c]) * 2 + y, None, 40 * abs(s) * 2).reshape(40, abs(s), 2).astype(float) for c, s in enumerate(sizes)]
+    asked = []
+
+    def counted(c, some):
+        asked.append(len(some))
+        return hist[c][some]
+
+    want = resampling.best_splits(hist, sizes, 1, np.random.default_rng(7))
+    got = resampling.best_splits(counted, sizes, 1, np.random.default_rng(7), hist[0].sum(axis=1))
+    assert all((a == b).all() for a, b in zip(want, got))
+    mixed = (hist[0].sum(axis=1) > 0).all(axis=1).sum()
+    assert sum(asked) == mixed < 40
+
+
 def test_few_columns_are_tried_at_random():
     random = np.random.default_rng(2)
     sizes = [4, -3, 5]
@@ -103,3 +125,15 @@ def test_there_is_room_for_a_task_per_resample(spark):
     """Hashes fill the partitions unevenly: with two to a core, the fullest kept the others waiting."""
     found = resampling.resampled_accuracy(frame(spark, 60), ["a"], ["b"], "yes", 1, ["id"], ["1"], trees=1, folds=10, repeats=3)
     assert re.search(r"hashpartitioning\(part#\d+, 30\)", found._jdf.queryExecution().executedPlan().toString())
+
+
+def test_the_query_grows_whole_forests(spark, tmp_path, monkeypatch):
+    """Twenty trees were grown for each of the reference's 500."""
+    rows = frame(spark, 10).withColumn("in_train", F.lit(True))
+    monkeypatch.setattr(catalog, "_facts", lambda site: rows)
+    monkeypatch.setattr(catalog, "_split", lambda facts: facts)
+    asked = []
+    monkeypatch.setattr(classifier, "resampled_accuracy", lambda df, *args: asked.append(args))
+    catalog.QUERIES["tote_resampling"](spark, str(tmp_path))
+    tries, folds, repeats, trees = asked[0][5:9]
+    assert (tries, folds, repeats, trees) == (("2", "0.5", "1.0"), 10, 10, 500)
