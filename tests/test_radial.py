@@ -118,3 +118,27 @@ def test_stored_models_forecast_what_the_fit_does(spark, tmp_path, fit):
     assert len(answers[0]) == 40 and answers[0] == answers[1]
     # a level that the fit has not seen counts as the first one
     assert again.predict(asked.withColumn("directorate", F.lit("NEW"))).count() == 40
+
+
+def test_sums_of_a_pass_are_a_product_of_a_matrix_with_itself(spark, monkeypatch):
+    """Left-out rows weigh nothing, and the sums of the others are symmetric to the last bit."""
+    rng = np.random.default_rng(8)
+    x, held = rng.normal(size=(400, 3)), rng.integers(0, 4, (400, 1))
+    y = x[:, 0] * 3 + rng.normal(size=400)
+    given = []
+
+    def summed(rows, measure):
+        found = dict(measure(x, y, held))
+        given.append(found)
+        return found
+
+    monkeypatch.setattr(radial, "problem_sums", summed)
+    z = np.column_stack([np.ones(400), radial.waves(x, 6, 0.5, 1), y])
+    sums = {f: z[held[:, 0] == f].T @ z[held[:, 0] == f] for f in range(4)}
+    lines, _ = radial.robust_lines(None, [(f, 1.0) for f in range(4)], sums, 4, 6, 0.5, 1)
+    for cells in given[0].values():
+        products = cells[:-1].reshape(8, 8)
+        assert (products == products.T).all()
+    y = np.where(held[:, 0] == 2, 1e6, y)
+    again, _ = radial.robust_lines(None, [(2, 1.0)], sums, 4, 6, 0.5, 1)
+    assert np.allclose(lines[2], again[0])
